@@ -114,7 +114,7 @@ select airport_code, type, ts, cast(cnt as bigint) as total from active""",
     "state_forward_fill": f"""
 with {DENSE},
 {GRID}
-select airport_code, type, ts, active from filled""",
+select airport_code, type, ts, next_ts, active from filled where active > 0""",
     "active_type_sets": f"""
 with {DENSE},
 {GRID}

@@ -159,26 +159,29 @@ def timeline_segments(spark, sf_dir):
 
 
 def running_active_count(spark, sf_dir):
-    markers = intervals.net_markers(_spans(spark, sf_dir, *AIRPORT_TYPE), AIRPORT_TYPE)
-    return timeline.running_total(markers, AIRPORT_TYPE, "ts_s", "net").select(
-        *AIRPORT_TYPE, cal.wall_timestamp("ts_s").alias("ts"), "total"
+    counts = timeline.running_counts(_spans(spark, sf_dir, *AIRPORT_TYPE), AIRPORT_TYPE)
+    return counts.where("real").select(
+        *AIRPORT_TYPE, cal.wall_timestamp("ts_s").alias("ts"), F.col("active").alias("total")
     )
 
 
-def _grid(spark, sf_dir):
-    markers = intervals.net_markers(_spans(spark, sf_dir, *AIRPORT_TYPE), AIRPORT_TYPE)
-    return timeline.state_on_grid(markers, ["airport_code"], "type")
+def _state(spark, sf_dir):
+    spans = _spans(spark, sf_dir, *AIRPORT_TYPE)
+    return timeline.state_on_segments(spans, ["airport_code"], "type")
 
 
 def state_forward_fill(spark, sf_dir):
-    """Active count of every type on every segment of the airport (as-of lookup)."""
-    return _grid(spark, sf_dir).select(
-        *AIRPORT_TYPE, cal.wall_timestamp("ts_s").alias("ts"), "active"
+    """Active events of every type on every segment of the airport (as-of lookup)."""
+    return _state(spark, sf_dir).select(
+        *AIRPORT_TYPE,
+        cal.wall_timestamp("ts_s").alias("ts"),
+        cal.wall_timestamp("next_s").alias("next_ts"),
+        "active",
     )
 
 
 def active_type_sets(spark, sf_dir):
-    found = timeline.active_sets(_grid(spark, sf_dir), ["airport_code"], "type")
+    found = timeline.active_sets(_state(spark, sf_dir), ["airport_code"], "type")
     return found.select(
         "airport_code",
         cal.wall_timestamp("ts_s").alias("ts"),
@@ -189,7 +192,7 @@ def active_type_sets(spark, sf_dir):
 
 def active_type_pairs(spark, sf_dir):
     """Seconds per airport and unordered pair of types active together."""
-    found = timeline.active_sets(_grid(spark, sf_dir), ["airport_code"], "type")
+    found = timeline.active_sets(_state(spark, sf_dir), ["airport_code"], "type")
     pairs = found.select(
         "airport_code",
         (F.col("next_s") - F.col("ts_s")).alias("seconds"),

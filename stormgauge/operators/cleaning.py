@@ -17,9 +17,8 @@ def normalise_headers(raw: DataFrame) -> DataFrame:
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
-    """Cast and enrich every raw row; unparseable values become NULL."""
-    src = normalise_headers(raw)
-    typed = src.select(
+    """Cast every raw row; unparseable values become NULL."""
+    return normalise_headers(raw).select(
         F.col("eventid").alias("event_id"),
         F.upper(F.trim("type")).alias("type"),
         F.initcap(F.trim("severity")).alias("severity"),
@@ -35,23 +34,15 @@ def typed_events(raw: DataFrame) -> DataFrame:
         F.col("locationlng").try_cast("double").alias("location_lng"),
         F.col("precipitation_in_").try_cast("double").alias("precipitation_in"),
     )
+
+
+def enrich_events(typed: DataFrame) -> DataFrame:
+    """Duration, calendar parts and local times of typed events."""
     start, end, zone = F.col("start_time_utc"), F.col("end_time_utc"), F.col("timezone")
     return typed.select(
-        "event_id",
-        "type",
-        "severity",
-        "start_time_utc",
-        "end_time_utc",
+        *typed.columns[:5],
         ((cal.wall_seconds(end) - cal.wall_seconds(start)) / 60.0).alias("duration_min"),
-        "timezone",
-        "airport_code",
-        "state",
-        "county",
-        "city",
-        "zip_code",
-        "location_lat",
-        "location_lng",
-        "precipitation_in",
+        *typed.columns[5:],
         F.to_date(start).alias("event_date"),
         F.dayofmonth(start).alias("event_day"),
         F.hour(start).alias("hour_of_day"),
@@ -66,8 +57,10 @@ def typed_events(raw: DataFrame) -> DataFrame:
 
 
 def clean_events(raw: DataFrame) -> DataFrame:
-    """Typed events, one row per event id: the one that starts first.
+    """Typed, enriched events, one row per event id: the one that starts first.
 
     As NULL sorts first, a row whose start cannot be parsed wins over its copies.
+    Copies are dropped before enrichment, so only the typed source columns are
+    shuffled, and of each id at most one row per map task.
     """
-    return keep_first(typed_events(raw), ["event_id"], ["start_time_utc"])
+    return enrich_events(keep_first(typed_events(raw), ["event_id"], ["start_time_utc"]))

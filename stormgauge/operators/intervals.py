@@ -205,9 +205,46 @@ def merge_islands(events: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def net_markers(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Start (+1) and end (-1) markers, netted per (keys, second ``ts_s``)."""
-    starts = spans.select(*keys, F.col("start_s").alias("ts_s"), F.lit(1).alias("delta"))
-    ends = spans.select(*keys, F.col("end_s").alias("ts_s"), F.lit(-1).alias("delta"))
-    return starts.unionByName(ends).groupBy(*keys, "ts_s").agg(F.sum("delta").alias("net"))
+    return (
+        spans.select(
+            *keys,
+            F.inline(
+                F.array(
+                    F.struct(F.col("start_s").alias("ts_s"), F.lit(1).alias("delta")),
+                    F.struct(F.col("end_s").alias("ts_s"), F.lit(-1).alias("delta")),
+                )
+            ),
+        )
+        .groupBy(*keys, "ts_s")
+        .agg(F.sum("delta").alias("net"))
+    )
+
+
+def day_markers(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Net markers per (keys, ``day``, ``ts_s``), complete within each day.
+
+    An event running on from an earlier day also counts in at 00:00.  ``real``
+    tells whether an event starts or ends at that second, or only runs on.
+    """
+    first_day, last_day = day_number("start_s"), day_number("end_s")
+    day_start = F.col("day").cast("bigint") * DAY_SECONDS
+    enter = F.struct(
+        F.greatest(F.col("start_s"), day_start).alias("ts_s"),
+        F.lit(1).alias("delta"),
+        (F.col("day") == first_day).alias("real"),
+    )
+    leave = F.struct(
+        F.col("end_s").alias("ts_s"), F.lit(-1).alias("delta"), F.lit(True).alias("real")
+    )
+    ends_here = F.col("day") == last_day
+    return (
+        spans.withColumn("day", F.explode(F.sequence(first_day, last_day)))
+        .select(
+            *keys, "day", F.inline(F.when(ends_here, F.array(enter, leave)).otherwise(F.array(enter)))
+        )
+        .groupBy(*keys, "day", "ts_s")
+        .agg(F.sum("delta").alias("net"), F.bool_or("real").alias("real"))
+    )
 
 
 def overlap_seconds_daily(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

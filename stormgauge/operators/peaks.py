@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from stormgauge.functions.calendar import (
     DAY_SECONDS,
     HOUR_SECONDS,
-    day_number,
     day_to_date,
     wall_timestamp,
 )
 from stormgauge.functions.weather import RISK_SEVERITIES, RISK_TYPES, severity_in, type_in
 from stormgauge.operators.intervals import as_seconds, day_islands
 from stormgauge.operators.ranking import top_per_group
+from stormgauge.operators.timeline import running_counts
 
 PLACE = ["airport_code", "day"]
 
@@ -112,37 +112,14 @@ def peak_exposure_segments(
     """
     width = hours * HOUR_SECONDS
     spans = _risk_spans(events, types, severities)
-    first_day, last_day = day_number("start_s"), day_number("end_s")
-    day_start = F.col("day").cast("bigint") * DAY_SECONDS
-    starts_here = F.col("day") == first_day
-    # What runs on from an earlier day is counted in at 00:00, which is no marker.
-    enter = F.struct(
-        F.greatest(F.col("start_s"), day_start).alias("ts_s"),
-        F.lit(1).alias("delta"),
-        starts_here.alias("real"),
-    )
-    leave = F.when(
-        F.col("day") == last_day,
-        F.struct(F.col("end_s").alias("ts_s"), F.lit(-1).alias("delta"), F.lit(True).alias("real")),
-    )
-    markers = (
-        spans.withColumn("day", F.explode(F.sequence(first_day, last_day)))
-        .withColumn("mark", F.explode(F.array_compact(F.array(enter, leave))))
-        .select(*PLACE, "mark.*")
-        .groupBy(*PLACE, "ts_s")
-        .agg(F.sum("delta").alias("net"), F.max("real").alias("real"))
-        .repartition(*PLACE)
-    )
+    counts = running_counts(spans, ["airport_code"])
     w = Window.partitionBy(*PLACE).orderBy("ts_s")
     segments = (
-        markers.withColumn(
-            "active", F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, 0)) > 0
-        )
-        .where("real")
+        counts.where("real")
         .withColumn("next_s", F.lead("ts_s").over(w))
         .withColumn(
             "risk",
-            F.when(F.col("active"), F.col("next_s") - F.col("ts_s")).otherwise(0),
+            F.when(F.col("active") > 0, F.col("next_s") - F.col("ts_s")).otherwise(0),
         )
         .withColumn("rolling", F.coalesce(F.sum("risk").over(w.rangeBetween(-width, 0)), F.lit(0)))
     )
@@ -151,7 +128,7 @@ def peak_exposure_segments(
     days = segments.groupBy(*PLACE).agg(
         F.max(F.when(~is_last, candidate)).alias("inner"),
         F.max(F.when(is_last, candidate)).alias("last"),
-        F.bool_or(is_last & F.col("active")).alias("runs_on"),
+        F.bool_or(is_last & (F.col("active") > 0)).alias("runs_on"),
         F.min("ts_s").alias("first_s"),
     )
     next_first = F.lead("first_s").over(Window.partitionBy("airport_code").orderBy("day"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stormgauge.functions.calendar import (
     HOUR_SECONDS,
     bucket_number,
+    day_number,
     wall_seconds,
     wall_timestamp,
 )
@@ -27,68 +28,68 @@ def risky_sequences(
     hours: int = 48,
     label: str = FREEZE_LABEL,
     keys: Sequence[str] = COUNTY,
-    bucket_seconds: int = HOUR_SECONDS,
 ) -> DataFrame:
     """Directly consecutive rows of a county whose types spell ``pattern``.
 
-    Rows are ordered by (start, event id); the last end must lie within ``hours``
-    of the first start.  Rows are ordered per (county, time bucket), so the rows
-    of a busy county spread over many tasks.  Only the first and last
-    ``len(pattern) - 1`` rows of a bucket are ordered again along the county, to
-    find the matches that run over bucket borders.
+    Rows are ordered by (start, type, end); the last end must lie within ``hours``
+    of the first start.
+
+    Equal (county, start second, type) rows stand next to each other in this
+    order, so they are first reduced map-side to one row with a count.  The
+    ordered step then runs per county day, on a bounded number of rows.  Only the
+    first and last ``len(pattern) - 1`` rows of a day are ordered again along the
+    county, to find the matches that run over midnight.
     """
     steps = len(pattern) - 1
-    order = ["start_s", "event_id"]
+    if steps < 1:
+        raise ValueError("a pattern has at least two types")
     rows = events.where(F.col("local_start_ts").isNotNull()).select(
         *keys,
-        "event_id",
         "type",
         wall_seconds("local_start_ts").alias("start_s"),
         wall_seconds("local_end_ts").alias("end_s"),
     )
-    rows = rows.withColumn("bucket", bucket_number("start_s", bucket_seconds))
+    if any(a == b for a, b in zip(pattern, pattern[1:])):
+        rows = rows.withColumn("copies", F.lit(1))  # copies can match among themselves
+    else:
+        rows = rows.groupBy(*keys, "type", "start_s").agg(
+            F.min("end_s").alias("end_s"), F.count(F.lit(1)).alias("copies")
+        )
+    rows = rows.withColumn("day", day_number("start_s"))
 
     def looked_ahead(df: DataFrame, group: str) -> DataFrame:
-        w = Window.partitionBy(*keys, group).orderBy(*order)
-        spelled = [
-            (F.col("type") if i == 0 else F.lead("type", i).over(w)) == name
-            for i, name in enumerate(pattern)
-        ]
-        last_end = F.lead("end_s", steps).over(w) if steps else F.col("end_s")
-        last_start = F.lead("start_s", steps).over(w) if steps else F.col("start_s")
+        w = Window.partitionBy(*keys, group).orderBy("start_s", "type", "end_s")
+        follows = [F.lead("type", i).over(w) == pattern[i] for i in range(1, steps + 1)]
+        # between the ends of the pattern a row must stand alone
+        single = [F.lead("copies", i).over(w) == 1 for i in range(1, steps)]
         return df.withColumns(
             {
-                "spelled": reduce(and_, spelled),
-                "last_end": last_end,
-                "complete": last_start.isNotNull(),
+                "spelled": reduce(and_, [F.col("type") == pattern[0], *follows, *single]),
+                "last_end": F.lead("end_s", steps).over(w),
+                "complete": F.lead("start_s", steps).over(w).isNotNull(),
                 "position": F.row_number().over(w),
             }
         )
 
-    local = looked_ahead(rows, "bucket").withColumns(
-        {
-            "matched": F.col("complete") & F.col("spelled"),
-            "matched_end": F.col("last_end"),
-            "decided": F.col("complete"),
-            "edge": ~F.col("complete") | (F.col("position") <= steps),
-        }
+    local = looked_ahead(rows, "day").select(
+        *rows.columns,
+        F.col("complete").alias("decided"),
+        (F.col("complete") & F.col("spelled")).alias("matched"),
+        F.col("last_end").alias("matched_end"),
+        (~F.col("complete") | (F.col("position") <= steps)).alias("edge"),
     )
+    chain = F.when(F.col("edge"), F.lit(EDGE)).otherwise(F.col("day"))
     chained = looked_ahead(
-        local.where(F.col("edge") | F.col("matched")).withColumn(
-            "chain", F.when(F.col("edge"), F.lit(EDGE)).otherwise(F.col("bucket"))
-        ),
-        "chain",
-    )
-    end_s = F.when(F.col("decided"), F.col("matched_end")).otherwise(F.col("last_end"))
-    found = (
-        chained.withColumn(
-            "is_match", F.when(F.col("decided"), F.col("matched")).otherwise(F.col("spelled"))
-        )
-        .withColumn("final_end", end_s)
-        .where(
-            F.col("is_match") & (F.col("final_end") - F.col("start_s") <= hours * HOUR_SECONDS)
-        )
+        local.where(F.col("edge") | F.col("matched")).withColumn("chain", chain), "chain"
     )
+    found = chained.select(
+        *keys,
+        "start_s",
+        F.when(F.col("decided"), F.col("matched")).otherwise(F.col("spelled")).alias("is_match"),
+        F.when(F.col("decided"), F.col("matched_end"))
+        .otherwise(F.col("last_end"))
+        .alias("final_end"),
+    ).where(F.col("is_match") & (F.col("final_end") - F.col("start_s") <= hours * HOUR_SECONDS))
     return _labelled(found, keys, "final_end", label)
 
 

@@ -1,4 +1,10 @@
-"""Segments of a place's timeline and the state that holds on them."""
+"""Segments of a place's timeline and the state that holds on them.
+
+A *marker* is an event start or end.  The distinct marker seconds of a place cut
+its time into segments; on each segment the number of active events of a kind is
+constant.  All counting happens per day: events running on from an earlier day
+are counted in at 00:00, so no day waits for the one before.
+"""
 
 from __future__ import annotations
 
@@ -8,61 +14,96 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormgauge.functions.calendar import day_number
+from stormgauge.operators.intervals import EDGE, day_markers
+
+
+def _chain(edge: Column) -> Column:
+    """Group for the step along the whole history: all edges, or the row's own day."""
+    return F.when(edge, F.lit(EDGE)).otherwise(F.col("day"))
 
 
-def segments(markers: DataFrame, keys: Sequence[str], time: str = "ts_s") -> DataFrame:
-    """Stretches [time, next_s) between the distinct markers of each key.
+def segments(markers: DataFrame, place: Sequence[str], time: str = "ts_s") -> DataFrame:
+    """Stretches [time, next_s) between the distinct markers of each place.
 
-    Neighbours are found per (key, day); only the first marker of each day is
-    ordered along the key, to close the last stretch of the day before.
+    Neighbours are found per (place, day).  The first and last marker of each day
+    are ordered along the place, to close the last stretch of a day.
     """
-    distinct = markers.select(*keys, time).distinct().withColumn("day", day_number(time))
-    by_day = Window.partitionBy(*keys, "day").orderBy(time)
-    within = distinct.withColumns(
-        {"next_s": F.lead(time).over(by_day), "position": F.row_number().over(by_day)}
-    )
-    # the last marker of a day and the first of the next form the chain
+    by_day = Window.partitionBy(*place, "day").orderBy(time)
+    along = Window.partitionBy(*place, "chain").orderBy(time)
     edge = F.col("next_s").isNull() | (F.col("position") == 1)
-    chained = Window.partitionBy(
-        *keys, F.when(edge, F.lit(None).cast("int")).otherwise(F.col("day"))
-    ).orderBy(time)
     return (
-        within.withColumn("next_s", F.coalesce("next_s", F.lead(time).over(chained)))
+        markers.select(*place, time)
+        .distinct()
+        .withColumn("day", day_number(time))
+        .withColumns({"next_s": F.lead(time).over(by_day), "position": F.row_number().over(by_day)})
+        .withColumn("chain", _chain(edge))
+        .withColumn("next_s", F.coalesce("next_s", F.lead(time).over(along)))
         .where(F.col("next_s").isNotNull())
-        .select(*keys, time, "next_s")
+        .select(*place, time, "next_s")
     )
 
 
-def forward_fill(
-    frame: DataFrame, keys: Sequence[str], time: str, column: str, default=None
+def running_counts(
+    spans: DataFrame, keys: Sequence[str], place: Sequence[str] | None = None
 ) -> DataFrame:
-    """The last known value of ``column`` at or before each row, per key.
+    """Active events per key after each marker: keys, ``day``, ``ts_s``, ``real``, ``active``.
+
+    Rows that are not ``real`` carry the count into a day at 00:00.
+    """
+    w = Window.partitionBy(*keys, "day").orderBy("ts_s")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = day_markers(spans, keys).repartition(*(place or [*keys, "day"]))
+    return placed.withColumn("active", F.sum("net").over(so_far)).drop("net")
+
+
+def state_on_segments(spans: DataFrame, place: Sequence[str], kind: str) -> DataFrame:
+    """Active events of each kind on every segment of a place, where there are any.
 
-    Within a (key, day) the value is carried row by row.  What a day starts with
-    comes from one summary row per (key, day).
+    Each marker is crossed with the kinds seen at the place that day (a small
+    vocabulary); the kinds it says nothing about get their last known count.
     """
-    day = day_number(time)
-    by_day = Window.partitionBy(*keys, "day").orderBy(time)
-    running = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = frame.withColumn("day", day).withColumn(
-        "carried", F.last(column, ignorenulls=True).over(running)
+    day = [*place, "day"]
+    counts = running_counts(spans, [*place, kind], place=day)
+    kinds = F.collect_set(kind).over(Window.partitionBy(*day))
+    grid = (
+        counts.withColumn("kinds", kinds)
+        .withColumn("other", F.explode("kinds"))
+        .withColumn("known", F.when(F.col("other") == F.col(kind), F.col("active")))
+        .groupBy(*day, "ts_s", F.col("other").alias(kind))
+        .agg(F.max("known").alias("known"), F.max("real").alias("real"))
     )
-    per_day = frame.groupBy(*keys, day.alias("day")).agg(
-        F.max_by(column, F.when(F.col(column).isNotNull(), F.col(time))).alias("closing")
+    w = Window.partitionBy(*day, kind).orderBy("ts_s")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = grid.withColumn(
+        "active", F.coalesce(F.last("known", ignorenulls=True).over(so_far), F.lit(0))
+    ).where("real")
+    within = filled.withColumns(
+        {"next_s": F.lead("ts_s").over(w), "position": F.row_number().over(w)}
     )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    edge = F.col("next_s").isNull() | (F.col("position") == 1)
+    # latest first: the smallest second seen so far is the nearest later marker
+    later = (
+        Window.partitionBy(*place, "chain")
+        .orderBy(-F.col("ts_s"))
+        .rangeBetween(Window.unboundedPreceding, -1)
     )
-    opening = per_day.select(
-        *keys, "day", F.last("closing", ignorenulls=True).over(earlier).alias("opening")
+    return (
+        within.where(edge | (F.col("active") > 0))
+        .withColumn("chain", _chain(edge))
+        .withColumn("next_s", F.coalesce("next_s", F.min("ts_s").over(later)))
+        .where((F.col("active") > 0) & F.col("next_s").isNotNull())
+        .select(*place, kind, "ts_s", "next_s", "active")
     )
-    filled = F.coalesce("carried", "opening")
-    if default is not None:
-        filled = F.coalesce(filled, F.lit(default))
+
+
+def active_sets(
+    state: DataFrame, place: Sequence[str], kind: str, at_least: int = 2
+) -> DataFrame:
+    """Sorted set of active kinds per segment, where there are ``at_least`` so many."""
     return (
-        local.join(opening, [*keys, "day"], "left")
-        .withColumn(column, filled)
-        .drop("day", "carried", "opening")
+        state.groupBy(*place, "ts_s", "next_s")
+        .agg(F.array_sort(F.collect_set(kind)).alias("kinds"))
+        .where(F.size("kinds") >= at_least)
     )
 
 
@@ -78,56 +119,3 @@ def unordered_pairs(items: Column) -> Column:
             ),
         )
     )
-
-
-def running_total(frame: DataFrame, keys: Sequence[str], time: str, column: str) -> DataFrame:
-    """Adds ``total``: the sum of ``column`` up to each row, per key.
-
-    ``frame`` has one row per (key, ``time``).  The sum runs within a (key, day)
-    and starts from the totals of the earlier days of the key.
-    """
-    frame = frame.withColumn("day", day_number(time))
-    by_day = Window.partitionBy(*keys, "day").orderBy(time)
-    local = frame.withColumn(
-        "total",
-        F.sum(column).over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
-    earlier = (
-        Window.partitionBy(*keys).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    opening = (
-        frame.groupBy(*keys, "day")
-        .agg(F.sum(column).alias("of_day"))
-        .select(*keys, "day", F.coalesce(F.sum("of_day").over(earlier), F.lit(0)).alias("opening"))
-    )
-    return (
-        local.join(opening, [*keys, "day"])
-        .withColumn("total", F.col("total") + F.col("opening"))
-        .drop("day", "opening")
-    )
-
-
-def state_on_grid(markers: DataFrame, place: Sequence[str], kind: str) -> DataFrame:
-    """How many intervals of each kind are active on each segment of a place.
-
-    ``markers`` are netted per (place, kind, ``ts_s``).  Every segment of the place
-    is crossed with the kinds seen there (a small vocabulary), known counts are
-    attached and carried forward.
-    """
-    keys = [*place, kind]
-    counts = running_total(markers, keys, "ts_s", "net").select(
-        *keys, "ts_s", F.col("total").alias("active")
-    )
-    grid = segments(markers, place).join(markers.select(*keys).distinct(), list(place), "left")
-    known = grid.join(counts, [*keys, "ts_s"], "left")
-    return forward_fill(known, keys, "ts_s", "active", default=0)
-
-
-def active_sets(state: DataFrame, place: Sequence[str], kind: str, at_least: int = 2) -> DataFrame:
-    """Sorted set of active kinds per segment, where there are ``at_least`` so many."""
-    return (
-        state.where(F.col("active") > 0)
-        .groupBy(*place, "ts_s", "next_s")
-        .agg(F.array_sort(F.collect_set(kind)).alias("kinds"))
-        .where(F.size("kinds") >= at_least)
-    )

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from stormgauge.functions.calendar import day_number, day_to_date
 from stormgauge.operators.intervals import (
     as_seconds,
+    collapse,
     day_islands,
     day_pieces,
     double_cover,
-    running_start,
+    merge_sorted,
 )
 
 PLACE = ["airport_code", "day"]  # everything below is co-located by airport day
@@ -63,27 +64,25 @@ def cooccurrence_sweep(events: DataFrame) -> DataFrame:
     first marker therefore counts to the latest earlier day that had a marker,
     which is what an unsplit sweep over the airport's whole timeline yields.
     """
-    spans = as_seconds(events, ["airport_code", "type"])
+    spans = as_seconds(events, ["airport_code", "type"]).withColumn(
+        "last_day", day_number("end_s")
+    )
+    # the first end on a day is kept by collapsing per last day
+    reduced = collapse(
+        spans, ["airport_code", "type", "last_day"], extra=[F.min("end_s").alias("first_end")]
+    )
     own_marker = F.least(  # NULLs are skipped
         F.when(F.col("day") == day_number("start_s"), F.col("start_s")),
-        F.when(F.col("day") == day_number("end_s"), F.col("end_s")),
+        F.when(F.col("day") == F.col("last_day"), F.col("first_end")),
     )
-    collapsed = (
-        day_pieces(spans)
-        .groupBy("airport_code", "type", "day", "s")
-        .agg(F.max("e").alias("e"), F.min(own_marker).alias("marker"))
+    pieces = (
+        day_pieces(reduced)
+        .select("airport_code", "type", "day", "s", "e", own_marker.alias("marker"))
         .repartition(*PLACE)
         .withColumn("first_marker", F.min("marker").over(Window.partitionBy(*PLACE)))
+        .drop("marker")
     )
-    w = Window.partitionBy("airport_code", "type", "day").orderBy("s")
-    before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    islands = (
-        collapsed.withColumn("before", before)
-        .withColumn("island", running_start("s", F.col("before"), w))
-        .groupBy("airport_code", "type", "day", "island")
-        .agg(F.max("e").alias("e"), F.first("first_marker").alias("first_marker"))
-        .withColumnRenamed("island", "s")
-    )
+    islands = merge_sorted(pieces, ["airport_code", "type", "day", "first_marker"])
     # a day on which only one type shows up keeps its row: its marker is needed
     pairs = _pair_up(islands, F.explode_outer)
     early = F.least(F.col("seg_end"), F.col("first_marker")) - F.col("seg_start")

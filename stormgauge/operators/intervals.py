@@ -5,9 +5,11 @@ How they scale
 A busy place may hold a large share of all events, so nothing here orders all
 events of a key in one task.
 
-* Intervals are whole seconds.  Before the first ordered step, rows are reduced
-  map-side to one row per (key, day, start second), so an ordered window over a
-  (key, day) sees at most 86,400 rows per key however many events there are.
+* Before anything is ordered, events that surely belong together are joined by a
+  plain aggregate, which Spark combines map-side (:func:`collapse`).  However
+  many events there are, a key keeps at most one row per time slot and one per
+  second of events that end within their slot.
+* Ordered steps run per (key, day), on that bounded number of rows.
 * What continues over midnight travels as at most two *edge* rows per (key,
   day).  Only these are ordered along the whole history of a key.
 """
@@ -19,9 +21,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stormgauge.functions.calendar import DAY_SECONDS, day_number, wall_seconds, wall_timestamp
+from stormgauge.functions.calendar import (
+    DAY_SECONDS,
+    bucket_number,
+    day_number,
+    wall_seconds,
+    wall_timestamp,
+)
 
 EDGE = -(2**31)  # chain number of the edge rows; no day number comes near it
+SLOT_SECONDS = 300  # default width of the slots events are collapsed by
 
 
 def valid_interval(
@@ -61,11 +70,28 @@ def day_pieces(spans: DataFrame, start: str = "start_s", end: str = "end_s") ->
     )
 
 
-def running_start(order: str, previous_end: Column, window) -> Column:
-    """Start of the island a row belongs to, given the furthest end before it."""
-    opens = previous_end.isNull() | (F.col(order) > previous_end)
-    return F.max(F.when(opens, F.col(order))).over(
-        window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def collapse(
+    spans: DataFrame,
+    keys: Sequence[str],
+    width: int = SLOT_SECONDS,
+    start: str = "start_s",
+    end: str = "end_s",
+    extra: Sequence[Column] = (),
+) -> DataFrame:
+    """Fewer spans with the same union per key: ``start``, ``end`` and ``extra``.
+
+    Time is cut into slots.  Spans that start in the same slot and last to its end
+    all hold the slot's end, so together they cover one unbroken stretch, and one
+    row says as much.  A span ending within its slot only joins spans of the same
+    start.  (A short span starting where a slot ends may share the group of that
+    slot; both touch there, so their union is unbroken as well.)
+    """
+    slot_end = (bucket_number(start, width) + 1) * width
+    slot = F.when(F.col(end) >= slot_end, slot_end).otherwise(F.col(start))
+    return (
+        spans.groupBy(*keys, slot.alias("slot"))
+        .agg(F.min(start).alias(start), F.max(end).alias(end), *extra)
+        .drop("slot")
     )
 
 
@@ -78,26 +104,44 @@ def day_islands(
     Later windows and aggregates whose keys contain ``place`` then need no
     further shuffle.
     """
-    place = list(place or [*keys, "day"])
-    collapsed = (
-        day_pieces(spans)
-        .where(F.col("e") > F.col("s"))
-        .groupBy(*keys, "day", "s")
-        .agg(F.max("e").alias("e"))
-    )
-    return merge_sorted(collapsed.repartition(*place), [*keys, "day"])
+    pieces = day_pieces(collapse(spans, keys)).where(F.col("e") > F.col("s"))
+    placed = pieces.select(*keys, "day", "s", "e").repartition(*(place or [*keys, "day"]))
+    return merge_sorted(placed, [*keys, "day"])
 
 
-def merge_sorted(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merge spans ``s``, ``e`` within ``keys``; the groups must be bounded."""
+def merge_sorted(
+    spans: DataFrame,
+    keys: Sequence[str],
+    latest: Sequence[str] = (),
+    totals: Sequence[str] = (),
+) -> DataFrame:
+    """Merge spans ``s``, ``e`` that touch or overlap; the groups must be bounded.
+
+    Columns in ``latest`` grow along with the islands and keep their maximum,
+    columns in ``totals`` are summed per island; neither may hold NULLs.
+
+    A row opens an island if it starts after everything before it has ended.  What
+    an island comes to is then known from the row that opens the next one, or from
+    the whole group for the last island, so only opening rows are kept.
+    """
     w = Window.partitionBy(*keys).orderBy("s")
-    before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        spans.withColumn("before", before)
-        .withColumn("island", running_start("s", F.col("before"), w))
-        .groupBy(*keys, "island")
-        .agg(F.max("e").alias("e"))
-        .select(*keys, F.col("island").alias("s"), "e")
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    measures = {c: F.max for c in ("e", *latest)} | {c: F.sum for c in totals}
+    known = {f"{c}_before": fold(c).over(earlier) for c, fold in measures.items()}
+    known |= {f"{c}_in_all": fold(c).over(whole) for c, fold in measures.items()}
+    opening = spans.withColumns(known).where(
+        F.col("e_before").isNull() | (F.col("s") > F.col("e_before"))
+    )
+
+    def upto_next(c: str) -> Column:
+        return F.coalesce(F.lead(f"{c}_before").over(w), F.col(f"{c}_in_all"))
+
+    return opening.select(
+        *keys,
+        "s",
+        *[upto_next(c).alias(c) for c in ("e", *latest)],
+        *[(upto_next(c) - F.coalesce(f"{c}_before", F.lit(0))).alias(c) for c in totals],
     )
 
 
@@ -134,56 +178,64 @@ def episodes(
     return (
         local.withColumn("chain", chain)
         .withColumn("before", F.lag("reach").over(w) + F.lit(limit))
-        .withColumn("episode", running_start("island", F.col("before"), w))
+        .withColumn("episode", _running_start("island", w))
         .groupBy(*keys, "chain", "episode")
         .agg(F.max("last_end").alias("end_s"), F.sum("events").alias("events"))
         .select(*keys, F.col("episode").alias("start_s"), "end_s", "events")
     )
 
 
+def _running_start(order: str, window) -> Column:
+    """Start of the run a row belongs to; a run opens where ``before`` lies behind."""
+    opens = F.col("before").isNull() | (F.col(order) > F.col("before"))
+    return F.max(F.when(opens, F.col(order))).over(
+        window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+
 def _local_by_reach(spans: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
-    """Islands per day of spans stretched by the allowed pause."""
+    """Islands per day of spans stretched by the allowed pause.
+
+    With slots as wide as the pause, all events starting in one slot belong to one
+    episode, so a key keeps one row per slot.
+    """
+    stretched = spans.withColumn("reach", F.col("end_s") + F.lit(gap))
+    reduced = collapse(
+        stretched,
+        keys,
+        max(gap, SLOT_SECONDS),
+        end="reach",
+        extra=[F.max("end_s").alias("last_end"), F.count(F.lit(1)).alias("events")],
+    )
     starts_here = F.col("day") == day_number("start_s")
-    collapsed = (
-        day_pieces(spans.withColumn("reach", F.col("end_s") + F.lit(gap)), end="reach")
-        .groupBy(*keys, "day", "s")
-        .agg(
-            F.max("e").alias("reach"),
-            F.max("end_s").alias("last_end"),
-            F.sum(starts_here.cast("bigint")).alias("events"),
-        )
+    counted_once = F.when(starts_here, F.col("events")).otherwise(0)
+    pieces = day_pieces(reduced, end="reach").select(
+        *keys, "day", "s", "e", "last_end", counted_once.alias("events")
     )
-    w = Window.partitionBy(*keys, "day").orderBy("s")
-    before = F.max("reach").over(w.rowsBetween(Window.unboundedPreceding, -1))
     day_start = F.col("day").cast("bigint") * DAY_SECONDS
-    return (
-        collapsed.withColumn("before", before)
-        .withColumn("island", running_start("s", F.col("before"), w))
-        .groupBy(*keys, "day", "island")
-        .agg(
-            F.max("reach").alias("reach"),
-            F.max("last_end").alias("last_end"),
-            F.sum("events").alias("events"),
-        )
-        .withColumn(
-            "edge",
-            (F.col("island") == day_start) | (F.col("reach") == day_start + DAY_SECONDS),
-        )
+    return merge_sorted(pieces, [*keys, "day"], latest=["last_end"], totals=["events"]).select(
+        *keys,
+        "day",
+        F.col("s").alias("island"),
+        F.col("e").alias("reach"),
+        "last_end",
+        "events",
+        ((F.col("s") == day_start) | (F.col("e") == day_start + DAY_SECONDS)).alias("edge"),
     )
 
 
 def _local_by_previous(spans: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
     """Runs per day in which each start follows the previous row's end closely."""
     collapsed = (
-        spans.withColumn("day", day_number("start_s"))
-        .groupBy(*keys, "day", "start_s")
+        spans.groupBy(*keys, "start_s")
         .agg(F.max("end_s").alias("end_s"), F.count(F.lit(1)).alias("events"))
+        .withColumn("day", day_number("start_s"))
     )
     by_day = Window.partitionBy(*keys, "day")
     w = by_day.orderBy("start_s")
     return (
         collapsed.withColumn("before", F.lag("end_s").over(w) + F.lit(gap))
-        .withColumn("island", running_start("start_s", F.col("before"), w))
+        .withColumn("island", _running_start("start_s", w))
         .groupBy(*keys, "day", "island")
         .agg(
             F.max_by("end_s", "start_s").alias("reach"),

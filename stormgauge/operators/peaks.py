@@ -114,21 +114,49 @@ def peak_exposure_segments(
     spans = _risk_spans(events, types, severities)
     counts = running_counts(spans, ["airport_code"])
     w = Window.partitionBy(*PLACE).orderBy("ts_s")
+    segments = counts.where("real").withColumn("next_s", F.lead("ts_s").over(w))
+    risk = F.when(F.col("active") > 0, F.col("next_s") - F.col("ts_s"))
+    # trailing sum = sum up to the marker - sum up to just before its window
+    points = segments.select(
+        *PLACE,
+        "ts_s",
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col("ts_s").alias("x"),
+                    F.coalesce(risk, F.lit(0)).alias("risk"),
+                    F.col("next_s"),
+                    (F.col("active") > 0).alias("runs"),
+                ),
+                F.struct(
+                    (F.col("ts_s") - (width + 1)).alias("x"),
+                    F.lit(0).cast("bigint").alias("risk"),
+                    F.lit(None).cast("bigint").alias("next_s"),
+                    F.lit(None).cast("boolean").alias("runs"),
+                ),
+            )
+        ),
+    )
+    upto = Window.partitionBy(*PLACE).orderBy("x")  # range frame: ties included
+    at_marker = F.col("runs").isNotNull()
     segments = (
-        counts.where("real")
-        .withColumn("next_s", F.lead("ts_s").over(w))
-        .withColumn(
-            "risk",
-            F.when(F.col("active") > 0, F.col("next_s") - F.col("ts_s")).otherwise(0),
+        points.withColumn("total", F.sum("risk").over(upto))
+        .groupBy(*PLACE, "ts_s")
+        .agg(
+            (
+                F.max(F.when(at_marker, F.col("total")))
+                - F.max(F.when(~at_marker, F.col("total")))
+            ).alias("rolling"),
+            F.max("next_s").alias("next_s"),
+            F.bool_or("runs").alias("active"),
         )
-        .withColumn("rolling", F.coalesce(F.sum("risk").over(w.rangeBetween(-width, 0)), F.lit(0)))
     )
     is_last = F.col("next_s").isNull()
     candidate = F.struct("rolling", (-F.col("ts_s")).alias("neg_ts"))
     days = segments.groupBy(*PLACE).agg(
         F.max(F.when(~is_last, candidate)).alias("inner"),
         F.max(F.when(is_last, candidate)).alias("last"),
-        F.bool_or(is_last & (F.col("active") > 0)).alias("runs_on"),
+        F.bool_or(is_last & F.col("active")).alias("runs_on"),
         F.min("ts_s").alias("first_s"),
     )
     next_first = F.lead("first_s").over(Window.partitionBy("airport_code").orderBy("day"))

@@ -98,9 +98,14 @@ def usable_zone(zone: Column) -> Column:
     return F.when((F.length(name) > 0) & probe.isNotNull(), name).otherwise(F.lit("UTC"))
 
 
+def in_zone(utc_ntz: Column | str, known_zone: Column) -> Column:
+    """Wall-clock time in a valid zone of a UTC wall-clock time."""
+    return F.convert_timezone(F.lit("UTC"), known_zone, _col(utc_ntz))
+
+
 def to_local(utc_ntz: Column | str, zone: Column) -> Column:
     """Local wall-clock time of a UTC wall-clock time; UTC when the zone is unusable."""
-    return F.convert_timezone(F.lit("UTC"), usable_zone(zone), _col(utc_ntz))
+    return in_zone(utc_ntz, usable_zone(zone))
 
 
 def _col(c: Column | str) -> Column:

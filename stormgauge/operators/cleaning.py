@@ -38,8 +38,8 @@ def typed_events(raw: DataFrame) -> DataFrame:
 
 def enrich_events(typed: DataFrame) -> DataFrame:
     """Duration, calendar parts and local times of typed events."""
-    start, end, zone = F.col("start_time_utc"), F.col("end_time_utc"), F.col("timezone")
-    return typed.select(
+    start, end, zone = F.col("start_time_utc"), F.col("end_time_utc"), F.col("known_zone")
+    return typed.withColumn("known_zone", cal.usable_zone(F.col("timezone"))).select(
         *typed.columns[:5],
         ((cal.wall_seconds(end) - cal.wall_seconds(start)) / 60.0).alias("duration_min"),
         *typed.columns[5:],
@@ -49,8 +49,8 @@ def enrich_events(typed: DataFrame) -> DataFrame:
         cal.iso_weekday(start).alias("dow"),
         F.when(start.isNotNull(), cal.meteorological_season(F.month(start))).alias("season"),
         cal.night_hours(F.hour(start)).alias("is_night"),
-        cal.to_local(start, zone).alias("local_start_ts"),
-        cal.to_local(end, zone).alias("local_end_ts"),
+        cal.in_zone(start, zone).alias("local_start_ts"),
+        cal.in_zone(end, zone).alias("local_end_ts"),
         F.year(start).alias("event_year"),
         F.month(start).alias("event_month"),
     )

@@ -23,6 +23,8 @@ from stormgauge.sources.readings import file_messages, kafka_messages, parse_rea
 from stormgauge.streaming import kpis
 from stormgauge.streaming.runner import BatchSink, await_all, console_sink, start
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 @dataclass(frozen=True)
 class LiveJob:
@@ -88,6 +90,8 @@ def main(argv: list[str] | None = None) -> None:
     args = cli.parse_args(argv)
 
     spark = build_session(f"live_{args.job}")
+    # window state on local disk instead of the executors' heap
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     job = LIVE_JOBS[args.job]
     sinks: list[BatchSink] = []
     if args.changelog:

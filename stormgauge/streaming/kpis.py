@@ -15,14 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormgauge.functions import weather
+from stormgauge.operators.ranking import keep_first
 
 PLACE = ("airport_code", "state", "county")
 
 
 def attach_airports(readings: DataFrame, airports: DataFrame) -> DataFrame:
-    """Left join with one row per airport; the reading wins where names collide."""
+    """Left join with one row per airport; the reading wins where names collide.
+
+    Of several rows of an airport the smallest is taken, so that a recomputed task
+    picks the same one.  Spark broadcasts the airports while they are below
+    its size threshold and sorts both sides otherwise.
+    """
     clash = [c for c in airports.columns if c in readings.columns and c != "airport_code"]
-    static = airports.drop(*clash).dropDuplicates(["airport_code"])
+    static = airports.drop(*clash)
+    rest = [c for c in static.columns if c != "airport_code"]
+    static = keep_first(static, ["airport_code"], rest) if rest else static.distinct()
     return readings.join(static, "airport_code", "left")
 
 

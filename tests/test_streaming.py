@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stormgauge.contracts import TABLES, conform, violations
 from stormgauge.fixtures import readings as fixture_readings
+from stormgauge.plans import live
 from stormgauge.plans.live import LIVE_JOBS
 from stormgauge.sinks.changelog import changelog_sink, dead_letter_sink, read_latest
 from stormgauge.sources.readings import (
@@ -183,3 +184,21 @@ def test_live_tables_have_the_contract_columns(spark):
     for name, job in LIVE_JOBS.items():
         result = conform(job.build(fixture_readings(spark, SMALL)), TABLES[name])
         assert result.columns == [*TABLES[name].schema.fieldNames(), "created_at"]
+
+
+def test_live_command_line(spark, tmp_path):
+    write_file(tmp_path / "in", "0.json", message("2024-01-01T10:00:00", temp_c=1.0))
+    lines = ["airport_code,state,county,timezone,location_lat,location_lng", "K1,S,C,UTC,1.0,2.0"]
+    (tmp_path / "airports.csv").write_text("\n".join(lines) + "\n")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    try:
+        live.main(
+            ["weather_state_analytics", "--available-now", "--folder", str(tmp_path / "in")]
+            + ["--airports", str(tmp_path / "airports.csv")]
+            + ["--changelog", str(tmp_path / "log"), "--checkpoint", str(tmp_path / "cp")]
+        )
+    finally:
+        spark.conf.set(provider, before)
+    latest = read_latest(spark, str(tmp_path / "log"), ["state", "interval_start"])
+    assert [(r.state, r.event_count) for r in latest.collect()] == [("S1", 1)]

@@ -191,13 +191,13 @@ from monthly window w as (partition by state, county order by year, month)""",
     "consecutive_month_change": f"""
 with {SPARSE},
 monthly as (
-  select state, cast(year(s) as integer) as year, cast(month(s) as integer) as month,
-    count(*) as n from sparse where type = 'STORM' and county = 'C1' group by all
+  select state, type, cast(year(s) as integer) as year, cast(month(s) as integer) as month,
+    count(*) as n from sparse group by all
 )
-select state, year, month, n,
+select state, type, year, month, n,
   year * 12 + month - lag(year * 12 + month) over w = 1 as is_next_month,
   r2((n - lag(n) over w) / cast(lag(n) over w as double) * 100) as change_pct
-from monthly window w as (partition by state order by year, month)""",
+from monthly window w as (partition by state, type order by year, month)""",
     "calendar_range_sum": f"""
 with {DENSE},
 days as (select airport_code, s, e, unnest(generate_series(date_trunc('day', s),

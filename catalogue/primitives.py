@@ -325,13 +325,15 @@ def lag_and_lead(spark, sf_dir):
 def consecutive_month_change(spark, sf_dir):
     """Change against the previous row, and whether that is the month before."""
     w = Window.partitionBy("state", "type").orderBy("year", "month")
-    storms = seasons.local_month(sparse(spark, sf_dir)).where(
-        weather.type_in("type", ["STORM"]) & (F.col("county") == "C1")
+    monthly = (
+        seasons.local_month(sparse(spark, sf_dir))
+        .groupBy("state", "type", "year", "month")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    monthly = storms.groupBy("state", "type", "year", "month").agg(F.count(F.lit(1)).alias("n"))
     step = cal.month_index(F.col("year"), F.col("month"))
     return monthly.select(
         "state",
+        "type",
         "year",
         "month",
         "n",

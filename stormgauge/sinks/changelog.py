@@ -17,12 +17,11 @@ def changelog_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Micro-batch sink writing one folder per epoch.
 
     Only the epoch's own folder is overwritten, so a replayed epoch replaces
-    itself.  Empty batches are skipped; the check reads at most one row.
+    itself.  An empty batch leaves no folder; testing for one beforehand would
+    compute the batch twice.
     """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
         (
             batch.withColumn(EPOCH, F.lit(epoch_id).cast("bigint"))
             .write.mode("overwrite")
@@ -39,6 +38,15 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     return latest_by_key(spark.read.parquet(path), keys, EPOCH).drop(EPOCH)
 
 
+def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str]) -> None:
+    """Write only the current row of each key to a fresh changelog.
+
+    Rows keep their epoch, so a stopped query can go on with ``target``.
+    """
+    current = latest_by_key(spark.read.parquet(path), keys, EPOCH)
+    current.hint("rebalance", EPOCH).write.partitionBy(EPOCH).parquet(target)
+
+
 def dead_letter_sink(
     good: Callable[[DataFrame, int], None], failed: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:

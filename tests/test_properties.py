@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stormgauge.functions.calendar import wall_timestamp
 from stormgauge.operators.cooccurrence import cooccurrence_minutes_daily, cooccurrence_sweep
 from stormgauge.operators.exposure import exposure_hours_daily
-from stormgauge.operators.intervals import episodes
+from stormgauge.operators.intervals import as_seconds, collapse, episodes
 from stormgauge.operators.peaks import peak_exposure_daily
 from stormgauge.operators.sequences import risky_sequences, sequence_within
 
@@ -183,3 +183,23 @@ def test_loose_sequences(frame, cases):
         "county", F.unix_timestamp("seq_start_ts"), F.unix_timestamp("seq_end_ts")
     )
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("width", [60, 300, 3600])
+def test_collapse_keeps_the_union(frame, cases, width):
+    reduced = collapse(as_seconds(frame, ["airport_code"]), ["airport_code"], width).collect()
+    got = defaultdict(list)
+    for r in reduced:
+        got[r.airport_code].append(("any", r.start_s, r.end_s))
+    for key, events in cases.items():
+        valid = [("any", s, e) for _, s, e in events if e > s]
+        want = [x[:2] for x in sessions(valid, 0, "max_end")]
+        assert [x[:2] for x in sessions(got[key], 0, "max_end")] == want
+
+
+def test_busy_airport_is_reduced_before_ordering(spark):
+    busy = spark.range(200_000).selectExpr(
+        "'K' as airport_code", "id % 7200 as start_s", "id % 7200 + 600 + id % 5000 as end_s"
+    )
+    # two hours of 5-minute slots, all events outlast theirs
+    assert collapse(busy, ["airport_code"], 300).count() == 24

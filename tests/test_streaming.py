@@ -1,6 +1,7 @@
 """Streams against batch, late rows, replay, routing."""
 
 import json
+import os
 
 import pytest
 
@@ -10,7 +11,7 @@ from stormgauge.contracts import TABLES, conform, violations
 from stormgauge.fixtures import readings as fixture_readings
 from stormgauge.plans import live
 from stormgauge.plans.live import LIVE_JOBS
-from stormgauge.sinks.changelog import changelog_sink, dead_letter_sink, read_latest
+from stormgauge.sinks.changelog import changelog_sink, compact, dead_letter_sink, read_latest
 from stormgauge.sources.readings import (
     file_messages,
     flatten_payload,
@@ -66,6 +67,7 @@ def test_late_rows_are_dropped(spark, tmp_path):
     folder = tmp_path / "in"
     for i, time in enumerate(["10:00", "14:00", "14:05", "10:01", "14:10"]):
         write_file(folder, f"{i}.json", message(f"2024-01-01T{time}:00", temp_c=1.0))
+        os.utime(folder / f"{i}.json", (1_700_000_000 + i,) * 2)  # files are read oldest first
     start(
         kpis.sliding_kpis(parse_readings(file_messages(spark, str(folder), 1))),
         [changelog_sink(str(tmp_path / "log"))],
@@ -91,6 +93,9 @@ def test_updated_window_is_replaced_and_replay_changes_nothing(spark, tmp_path):
     assert log.where("epoch_id = 2").count() == 0
     latest = read_latest(spark, str(tmp_path / "log"), KEY)
     assert settled(latest) == settled(kpis.sliding_kpis(source))
+    compact(spark, str(tmp_path / "log"), str(tmp_path / "small"), KEY)
+    assert spark.read.parquet(str(tmp_path / "small")).count() == latest.count()
+    assert settled(read_latest(spark, str(tmp_path / "small"), KEY)) == settled(latest)
 
 
 def test_one_query_feeds_two_sinks(spark, tmp_path):

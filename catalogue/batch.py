@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stormgauge.fixtures import dense, raw_events, sparse
-from stormgauge.operators import cleaning, cooccurrence, exposure, peaks, seasons, sequences
-from stormgauge.operators import sessions
-from stormgauge.operators.intervals import episodes, with_wall_times
+from stormgauge.operators import cleaning, cooccurrence, exposure, intervals, peaks
+from stormgauge.operators import seasons, sequences, sessions
 
 # the test events know no THUNDERSTORM
 RISK = ("FOG", "SNOW", "STORM")
@@ -33,18 +32,18 @@ def longest_episodes_previous_gap(spark, sf_dir):
     return sessions.longest_episodes(dense(spark, sf_dir), RISK, gap_rule="previous")
 
 
-def event_episodes(spark, sf_dir):
-    found = episodes(dense(spark, sf_dir), ["airport_code", "type"], 60 * 60)
-    return with_wall_times(
+def episodes(spark, sf_dir):
+    found = intervals.episodes(dense(spark, sf_dir), ["airport_code", "type"], 60 * 60)
+    return intervals.with_wall_times(
         found.withColumn("duration_s", F.col("end_s") - F.col("start_s")),
         "session_start",
         "session_end",
     )
 
 
-def event_episodes_previous_gap(spark, sf_dir):
-    found = episodes(dense(spark, sf_dir), ["airport_code", "type"], 10 * 60, "previous")
-    return with_wall_times(found, "session_start", "session_end")
+def episodes_previous_gap(spark, sf_dir):
+    found = intervals.episodes(dense(spark, sf_dir), ["airport_code", "type"], 10 * 60, "previous")
+    return intervals.with_wall_times(found, "session_start", "session_end")
 
 
 def cooccurrence_minutes_daily(spark, sf_dir):
@@ -103,8 +102,8 @@ QUERIES = {
         exposure_hours_severity_only,
         longest_episodes,
         longest_episodes_previous_gap,
-        event_episodes,
-        event_episodes_previous_gap,
+        episodes,
+        episodes_previous_gap,
         cooccurrence_minutes_daily,
         cooccurrence_sweep,
         peak_3h_daily,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stormgauge.contracts import TABLES, conform
 from stormgauge.fixtures import airports, readings
 from stormgauge.functions.calendar import HOUR_SECONDS, bucket_number, utc_wall_time
-from stormgauge.operators.ranking import latest_by_key
+from stormgauge.operators import ranking
 from stormgauge.session import shared_folder
 from stormgauge.sinks.changelog import changelog_sink, read_latest
 from stormgauge.sources import readings as feed
@@ -59,7 +59,7 @@ def stream_static_join(spark, sf_dir):
     )
 
 
-def latest_version_by_key(spark, sf_dir):
+def latest_by_key(spark, sf_dir):
     """Upsert view over a log with one version of each airport hour per reading."""
     log = readings(spark, sf_dir).select(
         "airport_code",
@@ -68,7 +68,7 @@ def latest_version_by_key(spark, sf_dir):
         "temp_c",
         "humidity",
     )
-    return latest_by_key(log, ["airport_code", "hour_number"], "version")
+    return ranking.latest_by_key(log, ["airport_code", "hour_number"], "version")
 
 
 def changelog_upsert(spark, sf_dir):
@@ -166,7 +166,7 @@ QUERIES = {
         stream_radiation,
         stream_instability,
         stream_static_join,
-        latest_version_by_key,
+        latest_by_key,
         changelog_upsert,
         stream_run_sliding_kpi,
         dead_letter_split,

@@ -107,7 +107,7 @@ select event_id, airport_code, state, county, timezone,
   cast(30 + user_id % 10 as double) as location_lat,
   cast(-80 - user_id % 10 as double) as location_lng
 from readings""",
-    "latest_version_by_key": f"""
+    "latest_by_key": f"""
 with {READINGS}
 select airport_code, sec // 3600 as hour_number, event_id as version, temp_c, humidity
 from readings

@@ -63,6 +63,20 @@ select event_id, severity, event_date, event_year from ({BATCH["clean_events"]})
     "contract_conform": f"""
 select *, concat(type_i, '+', type_j) as type_pair
 from ({BATCH["cooccurrence_minutes_daily"]}) as c""",
+    "bucketed_table": f"""
+with {DENSE},
+days as (select airport_code, s, e, unnest(generate_series(date_trunc('day', s),
+           date_trunc('day', e), interval 1 day)) as d
+         from dense where e > s
+           and (type in ('FOG', 'SNOW') or severity in ('Moderate', 'Heavy'))),
+daily as (
+  select airport_code, cast(d as date) as event_date,
+    sum({_secs("greatest(s, d)", "least(e, d + interval 1 day)")}) as secs
+  from days group by all
+)
+select airport_code, count(*) as days, r2(cast(max(secs) as double) / 3600) as worst_day,
+  max(event_date) as last_date
+from daily group by airport_code""",
     "contract_violations": f"""
 with {SPARSE},
 per_key as (

@@ -16,7 +16,7 @@ from stormgauge.operators.cooccurrence import cooccurrence_minutes_daily
 from stormgauge.operators.exposure import exposure_hours_daily
 from stormgauge.operators.ranking import keep_first, top_per_group
 from stormgauge.session import shared_folder
-from stormgauge.sinks.parquet import register_external_table, write_partitioned
+from stormgauge.sinks.parquet import register_external_table, write_bucketed, write_partitioned
 from stormgauge.sources.files import dated_path, read_events, read_raw
 
 AIRPORT_TYPE = ["airport_code", "type"]
@@ -83,6 +83,20 @@ def contract_conform(spark, sf_dir):
     )
 
 
+def bucketed_table(spark, sf_dir):
+    """Exposure stored by its distribution key, then summed per key without a shuffle."""
+    table = TABLES["exposure_hours_daily"]
+    name = f"exposure_{uuid.uuid4().hex}"
+    rows = conform(exposure_hours_daily(dense(spark, sf_dir)), table)
+    path = shared_folder(spark, "bucketed")
+    write_bucketed(rows, name, path, table.place, buckets=8, sort_by=["event_date"])
+    return spark.table(name).groupBy("airport_code").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.max("exposure_hours_day").alias("worst_day"),
+        F.max("event_date").alias("last_date"),
+    )
+
+
 def contract_violations(spark, sf_dir):
     """Counts of missing values and repeated keys, on rows that do break a contract."""
     table = Table(
@@ -453,6 +467,7 @@ _ALL = (
     partitioned_parquet_sink,
     external_table,
     contract_conform,
+    bucketed_table,
     contract_violations,
     valid_intervals,
     split_by_day,

@@ -162,14 +162,16 @@ def episodes(
     Output: keys, ``start_s``, ``end_s``, ``events``.
     """
     spans = as_seconds(events, list(keys), start, end, allow_empty=True)
-    if gap_rule == "max_end":
-        local = _local_by_reach(spans, keys, gap_seconds)
-        limit = 0
-    elif gap_rule == "previous":
+    if gap_rule == "previous":
         local = _local_by_previous(spans, keys, gap_seconds)
         limit = gap_seconds
-    else:
+    elif gap_rule != "max_end":
         raise ValueError(f"unknown gap_rule {gap_rule!r}")
+    elif gap_seconds >= SLOT_SECONDS:
+        return _by_slots(spans, keys, gap_seconds)
+    else:
+        local = _local_by_reach(spans, keys, gap_seconds)
+        limit = 0
 
     # Join what continues over midnight.  Inner islands of a day stand alone in
     # the group of their day, edges of all days of a key form one small chain.
@@ -193,20 +195,35 @@ def _running_start(order: str, window) -> Column:
     )
 
 
-def _local_by_reach(spans: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
-    """Islands per day of spans stretched by the allowed pause.
-
-    With slots as wide as the pause, all events starting in one slot belong to one
-    episode, so a key keeps one row per slot.
-    """
-    stretched = spans.withColumn("reach", F.col("end_s") + F.lit(gap))
-    reduced = collapse(
-        stretched,
+def _stretched(spans: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """Collapsed spans that reach as far as the next event may start."""
+    return collapse(
+        spans.withColumn("reach", F.col("end_s") + F.lit(gap)),
         keys,
         max(gap, SLOT_SECONDS),
         end="reach",
         extra=[F.max("end_s").alias("last_end"), F.count(F.lit(1)).alias("events")],
     )
+
+
+def _by_slots(spans: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """Episodes for a pause of at least a slot, merged along the whole history.
+
+    With slots as wide as the pause, all events starting in one slot belong to one
+    episode.  So a key has one row per slot, however many events it has: 8,760 a
+    year for a pause of an hour.  That many can be ordered in one go.
+    """
+    reduced = _stretched(spans, keys, gap).select(
+        *keys, F.col("start_s").alias("s"), F.col("reach").alias("e"), "last_end", "events"
+    )
+    return merge_sorted(reduced, keys, latest=["last_end"], totals=["events"]).select(
+        *keys, F.col("s").alias("start_s"), F.col("last_end").alias("end_s"), "events"
+    )
+
+
+def _local_by_reach(spans: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
+    """Islands per day of spans stretched by the allowed pause."""
+    reduced = _stretched(spans, keys, gap)
     starts_here = F.col("day") == day_number("start_s")
     counted_once = F.when(starts_here, F.col("events")).otherwise(0)
     pieces = day_pieces(reduced, end="reach").select(

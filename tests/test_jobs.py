@@ -157,6 +157,12 @@ def test_contract_breaches_are_found(spark):
     assert violations(good.where("false"), table).first()["row_count"] == 0
 
 
+def test_bucketed_table_is_grouped_without_a_shuffle(spark):
+    frame = queries()["bucketed_table"](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_there_are_fifteen_tables():
     assert len(TABLES) == 15
     assert {t.place for t in TABLES.values()} == {"airport_code", "state"}

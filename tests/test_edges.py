@@ -42,6 +42,28 @@ def test_exposure_of_overlapping_events_adds_up(spark):
     assert rows(exposure_hours_daily(events(spark, *twice)), "exposure_hours_day") == [(40.0,)]
 
 
+def test_exposure_of_days_in_between(spark):
+    found = exposure_hours_daily(
+        events(
+            spark,
+            span("10 22:00", "14 03:00"),
+            span("12 06:00", "12 07:00"),
+            span("13 12:00", "16 00:00"),
+            span("20 00:00", "20 01:00"),
+        )
+    )
+    assert rows(found, "event_date", "exposure_hours_day") == [
+        ("2024-01-10", 2.0),
+        ("2024-01-11", 24.0),
+        ("2024-01-12", 25.0),
+        ("2024-01-13", 36.0),
+        ("2024-01-14", 27.0),
+        ("2024-01-15", 24.0),
+        ("2024-01-16", 0.0),
+        ("2024-01-20", 1.0),
+    ]
+
+
 def test_exposure_trailing_30_days(spark):
     found = exposure_hours_daily(
         events(

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from stormgauge.llm import bpe
-from stormgauge.llm.common import small_batches, table
+from stormgauge.llm import bpe, idfiles
+from stormgauge.llm.common import scratch, small_batches, table
 
+# id that ends each document
+END_ID = 2
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -18,6 +20,20 @@ def op7_bpe_rank_array(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op7_bpe_rank_array,)}
+def op8_bit_plane_files(spark, sf_dir):
+    folder = scratch(spark, "id-planes")
+    files = idfiles.write_texts(
+        table(spark, sf_dir, "documents"), folder, WORD_VOCABULARY, END_ID
+    )
+    return idfiles.read_documents(files, folder, digest=True)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op7_bpe_rank_array,
+        op8_bit_plane_files,
+    )
+}
 
 ORACLES: dict[str, str] = {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from stormgauge.llm import bpe, idfiles
+from stormgauge.llm import bpe, idfiles, jaccard
 from stormgauge.llm.common import scratch, small_batches, table
 
 # id that ends each document
@@ -28,11 +28,17 @@ def op8_bit_plane_files(spark, sf_dir):
     return idfiles.read_documents(files, folder, digest=True)
 
 
+def op9_ngram_jaccard_join(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return jaccard.jaccard_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op7_bpe_rank_array,
         op8_bit_plane_files,
+        op9_ngram_jaccard_join,
     )
 }
 

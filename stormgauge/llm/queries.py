@@ -3,15 +3,39 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from stormgauge.llm import bpe, idfiles, jaccard
-from stormgauge.llm.common import scratch, small_batches, table
+from stormgauge.llm import bpe, idfiles, jaccard, langid, toxicity
+from stormgauge.llm.common import fold, scratch, small_batches, table
 
 # id that ends each document
 END_ID = 2
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_hashed_subword_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit_language_model(docs, fold("doc_id") != 0)
+    made = langid.identify(model, docs).alias("made")
+    held_out = (fold("doc_id") == 0).alias("held_out")
+    return docs.select("doc_id", held_out, made).select("doc_id", "held_out", "made.*")
+
+
+def op4_convolutional_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    usable = fold("doc_id") != 0
+    languages = langid.fit_language_model(docs, usable)
+    model = toxicity.fit_toxicity_model(
+        docs, table(spark, sf_dir, "labels"), usable, languages
+    )
+    scored = docs.select(
+        "doc_id",
+        (fold("doc_id") == 0).alias("held_out"),
+        toxicity.rate(model, languages, docs).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op7_bpe_rank_array(spark, sf_dir):
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +60,8 @@ def op9_ngram_jaccard_join(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_hashed_subword_language,
+        op4_convolutional_toxicity,
         op7_bpe_rank_array,
         op8_bit_plane_files,
         op9_ngram_jaccard_join,

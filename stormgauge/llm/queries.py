@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stormgauge.llm import bpe, idfiles, jaccard, langid, toxicity
+from stormgauge.llm import balltree, bpe, idfiles, jaccard, langid, lattice, toxicity
 from stormgauge.llm.common import fold, scratch, small_batches, table
 
 # id that ends each document
@@ -21,6 +21,10 @@ def op2_hashed_subword_language(spark, sf_dir):
     return docs.select("doc_id", held_out, made).select("doc_id", "held_out", "made.*")
 
 
+def op3_ball_tree_top_k(spark, sf_dir):
+    return balltree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_convolutional_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     usable = fold("doc_id") != 0
@@ -36,6 +40,10 @@ def op4_convolutional_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op5_e8_lattice_near_duplicates(spark, sf_dir):
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe_rank_array(spark, sf_dir):
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -61,11 +69,33 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_hashed_subword_language,
+        op3_ball_tree_top_k,
         op4_convolutional_toxicity,
+        op5_e8_lattice_near_duplicates,
         op7_bpe_rank_array,
         op8_bit_plane_files,
         op9_ngram_jaccard_join,
     )
 }
 
-ORACLES: dict[str, str] = {}
+OP3_ORACLE = """
+WITH v AS (
+    SELECT vec_id, max(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    GROUP BY vec_id
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT query_id, vec_id, score,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES = {"op3_ball_tree_top_k": OP3_ORACLE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stormgauge.llm import balltree, bpe, idfiles, jaccard, langid, lattice, toxicity
+from stormgauge.llm import balltree, bpe, brown, idfiles, jaccard, langid, lattice, toxicity
 from stormgauge.llm.common import fold, scratch, small_batches, table
 
 # id that ends each document
@@ -44,6 +44,10 @@ def op5_e8_lattice_near_duplicates(spark, sf_dir):
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op6_brown_class_scores(spark, sf_dir):
+    return brown.class_scores(table(spark, sf_dir, "documents"), fold("doc_id") == 1)
+
+
 def op7_bpe_rank_array(spark, sf_dir):
     small_batches(spark)
     docs = table(spark, sf_dir, "documents")
@@ -72,6 +76,7 @@ QUERIES = {
         op3_ball_tree_top_k,
         op4_convolutional_toxicity,
         op5_e8_lattice_near_duplicates,
+        op6_brown_class_scores,
         op7_bpe_rank_array,
         op8_bit_plane_files,
         op9_ngram_jaccard_join,

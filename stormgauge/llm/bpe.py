@@ -268,15 +268,19 @@ def encode_ids(path: str, text: str = "text") -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        remembered = Remembered(path, list)
-        known = remembered.known[0]
+        remembered = Remembered(path, lambda ids: np.array(ids, np.int32).tobytes())
+        known = remembered.known[0].__getitem__
         for batch in batches:
             rows = [
-                [i for t in tokens for i in known[t]]
+                b"".join(map(known, tokens))
                 for block in remembered.blocks(batch)
                 for tokens in block
             ]
-            yield pa.array(rows, pa.list_(pa.int32()))
+            ends = np.cumsum([0, *(len(r) // 4 for r in rows)]).astype(np.int32)
+            values = pa.Array.from_buffers(
+                pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(rows))]
+            )
+            yield pa.ListArray.from_arrays(pa.array(ends), values)
 
     return ids(F.col(text))
 

@@ -400,10 +400,10 @@ def jaccard_components(
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """One row ``(doc_id, n_shingles, component_id, fp)`` per document.
+    """One row ``(doc_id, n_shingles, component_id, content, root)`` per document.
 
-    ``component_id`` is the smallest id reachable by links, itself included; ``fp`` names
-    the shingle set and is null for an empty one.
+    ``component_id`` is the smallest id reachable by links, itself included.  ``content`` is
+    the xxhash64 of the text, and ``root`` names the component, null for a text without words.
     """
     if not 75 <= percent <= 100:
         raise ValueError("percent must lie between 75 and 100")
@@ -443,10 +443,43 @@ def jaccard_components(
     ids = nodes.select(F.col("fp").alias("node"), "rep").join(roots, "node", "left")
     ids = staged(ids.select("node", "rep", F.coalesce("root", "node").alias("root")), "roots")
     least = ids.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = ids.join(least, "root").select(F.col("node").alias("fp"), "component_id")
-    filled = rows.where("fp is not null").select("doc_id", "size", "fp").join(named, "fp")
-    empty = rows.where("fp is null").select(
-        "doc_id", "size", "fp", F.col("doc_id").alias("component_id")
+    named = ids.join(least, "root").select(F.col("node").alias("fp"), "component_id", "root")
+    columns = ("doc_id", "size", "component_id", "content", "root")
+    filled = rows.where("fp is not null").drop("parity").join(named, "fp").select(*columns)
+    empty = rows.where("fp is null").withColumns(
+        {"component_id": F.col("doc_id"), "root": F.lit(None).cast("long")}
     )
-    both = filled.select("doc_id", "size", "fp", "component_id").union(empty)
-    return both.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id", "fp")
+    both = filled.union(empty.select(*columns))
+    return both.withColumn("n_shingles", F.col("size").cast("long")).select(
+        "doc_id", "n_shingles", "component_id", "content", "root"
+    )
+
+
+def one_per_component(
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, that with the smallest id.
+
+    Rows without words all stay.  Of rows that repeat both id and text one stays, and a
+    component without any id keeps one of its rows.
+    """
+    rows = jaccard_components(docs, words, percent, doc_id, text).where("root is not null")
+    kept = rows.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("k")
+    )
+    kept = kept.select(F.col("k.doc_id").alias("_kept_id"), F.col("k.content").alias("_kept_content"))
+    held = docs.select(
+        F.struct("*").alias("row"),
+        F.col(doc_id).cast("long").alias("_id"),
+        F.xxhash64(text).alias("_content"),
+        F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("_words"),
+    )
+    same = F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_content") == F.col("_kept_content"))
+    found = held.where("_words").join(kept, same)
+    order = Window.partitionBy("_id", "_content").orderBy(F.lit(0))
+    found = found.withColumn("_k", F.row_number().over(order)).where("_k = 1")
+    return found.select("row").union(held.where("not _words").select("row")).select("row.*")

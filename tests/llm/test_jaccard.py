@@ -41,7 +41,7 @@ def brute(rows, percent=80):
 
 def found(spark, rows, extra=""):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    out = jaccard.jaccard_components(frame).drop("fp").collect()
+    out = jaccard.jaccard_components(frame).select("doc_id", "n_shingles", "component_id").collect()
     return sorted((tuple(r) for r in out), key=str)
 
 
@@ -92,3 +92,18 @@ def test_parity_never_exceeds_the_difference():
         y = np.unique(np.concatenate((x[rng.random(len(x)) < 0.8], x[:3] + np.uint64(1))))
         true = len(np.setxor1d(x, y))
         assert jaccard.least_difference(jaccard.parity(x), jaccard.parity(y)) <= true
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = corpus(4, 60) + [(0, corpus(4, 60)[0][1]), (None, "x y z"), (None, "X  y z"), (70, None), (70, None)]
+    rows += [(71, "alpha beta"), (71, "gamma delta"), (71, "gamma delta"), (72, "gamma delta")]
+    frame = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, root string")
+    kept = sorted(((r.doc_id, r.text) for r in jaccard.one_per_component(frame).collect()), key=str)
+    components = {}
+    for d, n, c in brute(rows[:60]):
+        components.setdefault(c, []).append(d)
+    expected = [(c, dict(rows[:60])[c]) for c in components if c is not None]
+    assert [k for k in kept if k[0] is not None and k[0] < 60] == sorted(expected, key=str)
+    assert [k[0] for k in kept].count(70) == 2
+    assert sorted(k[1] for k in kept if k[0] == 71) == ["alpha beta", "gamma delta"]
+    assert sum(k[0] is None for k in kept) == 1 and all(k[0] != 72 for k in kept)

@@ -17,11 +17,14 @@ gives no documents.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -155,16 +158,29 @@ class PlaneReader:
             yield number, start - count, ids
 
 
-class LibraryEncoder:
-    """Ids of texts by the tokenizers library, asked once for every distinct run of non-blanks.
+# a common mark behind a letter at the end of a run, which the vocabulary splits off anyway
+_MARK = re.compile(rb"(?<=[a-z])([,.;:!?])(?=[\x20\x09-\x0D]|$)")
+
+
+def _runs(text: bytes) -> list[bytes]:
+    """Parts that the vocabulary encodes apart: it splits at blanks and lower-cases.
 
-    The vocabulary splits at blanks anyway, so a text's ids are those of its runs in order.
+    Only a text that may hold a special token, which is told by its case, stays as it is.
     """
+    if b"<|" not in text:
+        text = _MARK.sub(rb" \1", text.lower())
+    return text.split()
+
+
+class LibraryEncoder:
+    """Ids of texts by the tokenizers library, asked once for every distinct part of a text."""
 
     def __init__(self, path: str, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        # many small lists come and go here; looking for cycles among them only costs time
+        gc.disable()
         self.library, self.end_id = Tokenizer.from_file(path), end_id
         self.library.no_truncation()
         self.library.no_padding()
@@ -178,11 +194,14 @@ class LibraryEncoder:
 
     def encode(self, texts: list[bytes]) -> tuple[list[int], np.ndarray]:
         """Id counts of the texts with their end ids, and all ids one after the other."""
-        words = [t.split() for t in texts]
-        new = list(set().union(*words).difference(self.known))
+        words = [_runs(t) for t in texts]
+        for w in words:
+            w.append(b"")
+        flat = list(chain.from_iterable(words))
+        new = list(set(flat).difference(self.known))
         if len(self.known) + len(new) > REMEMBERED and len(self.known) > 1:
             self._forget()
-            new = list(set().union(*words))
+            new = list(set(flat).difference(self.known))
         if new:
             found = self.library.encode_batch_fast(
                 [w.decode() for w in new], add_special_tokens=False
@@ -190,16 +209,12 @@ class LibraryEncoder:
             lists = [f.ids for f in found]
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
             size = np.fromiter(map(len, lists), np.int64, len(lists))
-            flat = np.fromiter((i for x in lists for i in x), np.uint32, int(size.sum()))
+            ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
             first = len(self.flat) + np.concatenate(([0], np.cumsum(size)[:-1]))
             self.first = np.concatenate((self.first, first))
-            self.flat = np.concatenate((self.flat, flat))
+            self.flat = np.concatenate((self.flat, ids))
             self.size = np.concatenate((self.size, size))
-        count = sum(map(len, words)) + len(words)
-        known = self.known.__getitem__
-        which = np.fromiter(
-            (k for w in words for k in (*map(known, w), 0)), np.int64, count
-        )
+        which = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         size = self.size[which]
         ends = np.cumsum(size)
         source = np.repeat(self.first[which] - ends + size, size)

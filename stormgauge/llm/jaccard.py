@@ -14,7 +14,8 @@ each other in both sets.  Those lie in the first ``2 p + 2`` shingles, so indexi
 consecutive frequent shingles of that longer prefix finds it.  A document with ``p`` rare
 shingles needs no pairs.  Which shingles count as frequent may be any function of the
 shingle (here: a bitmap of fixed size made from counts over all documents), without a
-change in the result.
+change in the result.  A pair needs to be seen at its first shared shingle only, so an entry
+with ``r`` shingles left in the order is worth a look only if ``r`` can hold the overlap.
 
 Verification.  Every index entry gives stars around its smallest set only.  Parity bitmaps
 bound the difference of two sets from below and drop most pairs; the rest are compared
@@ -36,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,10 +45,11 @@ from stormgauge.llm.common import components, small_batches, staged
 from stormgauge.llm.words import chunks, mix
 
 # documents from which a shingle counts as frequent, and the size of the bitmap of those
-FREQUENT = 32
-FREQUENT_BITS = 23
-# shingles counted together in a task
-COUNTED = 2_000_000
+FREQUENT = 8
+FREQUENT_BITS = 26
+# bits of a shingle that are counted, and shingles packed together in a task
+COUNTED_BITS = 40
+COUNTED = 4_000_000
 _ODD = np.random.default_rng(5).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
 
 
@@ -109,20 +112,22 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def _described(docs: DataFrame, words: int) -> DataFrame:
-    """One row per document with its node, and counts of shingles that repeat within a task."""
+    """One row per document with its node, and blocks of packed shingles for counting."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("content", pa.int64()), ("fp", pa.int64())]
-        + [("size", pa.int32()), ("parity", pa.binary()), ("token", pa.int64()), ("n", pa.int64())]
+        + [("size", pa.int32()), ("parity", pa.binary()), ("part", pa.int32()), ("block", pa.binary())]
     )
+    # as many parts as a shuffle of these data has partitions, or a few times as many
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part_bits = min(20, max(8, (2 * partitions).bit_length()))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, kept, total = set(), [], 0
 
-        def counted():
-            token, n = np.unique(np.concatenate(kept), return_counts=True)
-            token, n = _signed(token[n > 1]), n[n > 1]
-            none = pa.nulls(len(n))
-            return _batch(schema, *[none.cast(f.type) for f in list(schema)[:5]], token, n)
+        def packed():
+            parts, blocks = pack_counts(np.concatenate(kept), part_bits)
+            none = pa.nulls(len(parts))
+            return _batch(schema, *[none.cast(f.type) for f in list(schema)[:5]], parts, blocks)
 
         for batch in batches:
             fps, sizes, bits = [], [], []
@@ -132,23 +137,76 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
                 bits.append(parity(s) if len(s) else None)
                 if len(s) and fps[-1] not in seen:
                     seen.add(fps[-1])
-                    kept.append(s)
+                    kept.append(s >> np.uint64(64 - COUNTED_BITS))
                     total += len(s)
                     if total > COUNTED:
-                        yield counted()
+                        yield packed()
                         kept, total = [], 0
-            none = pa.nulls(len(fps), pa.int64())
-            yield _batch(schema, batch.column(0), batch.column(1), fps, sizes, bits, none, none)
+            none = pa.nulls(len(fps))
+            columns = [batch.column(0), batch.column(1), fps, sizes, bits]
+            yield _batch(schema, *columns, none.cast(pa.int32()), none.cast(pa.binary()))
         if kept:
-            yield counted()
+            yield packed()
 
     made = docs.mapInArrow(
         describe,
-        "doc_id long, content long, fp long, size int, parity binary, token long, n long",
+        "doc_id long, content long, fp long, size int, parity binary, part int, block binary",
     )
     return staged(made, "shingles")
 
 
+def pack_counts(values: np.ndarray, part_bits: int) -> tuple[list[int], list[bytes]]:
+    """Sorted values of ``COUNTED_BITS`` bits as compressed steps, a block for each part."""
+    values = np.sort(values)
+    shift = np.uint64(COUNTED_BITS - part_bits)
+    cuts = np.searchsorted(values >> shift, np.arange((1 << part_bits) + 1, dtype=np.uint64))
+    compress, parts, blocks = zstandard.ZstdCompressor(level=1).compress, [], []
+    for part in np.flatnonzero(np.diff(cuts)).tolist():
+        own = values[cuts[part] : cuts[part + 1]] & ((np.uint64(1) << shift) - np.uint64(1))
+        steps = np.diff(own, prepend=np.uint64(0)).astype("<u4").view(np.uint8)
+        parts.append(part)
+        blocks.append(compress(steps.reshape(-1, 4).T.tobytes()))
+    return parts, blocks
+
+
+def unpack_counts(block: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8)
+    steps = np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def _frequent(described: DataFrame, least: int) -> DataFrame:
+    """``(token)``: shingles, by their counted bits, that at least ``least`` sets hold.
+
+    A part holds about as much as a shuffle partition, and is counted as a whole.
+    """
+    partitions = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part_bits = min(20, max(8, (2 * partitions).bit_length()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        now = None
+
+        def found():
+            value, n = np.unique(np.concatenate(held), return_counts=True)
+            value = value[n >= least] | np.uint64(now << (COUNTED_BITS - part_bits))
+            token = _signed(value << np.uint64(64 - COUNTED_BITS))
+            return pa.RecordBatch.from_arrays([pa.array(token)], ["token"])
+
+        for batch in batches:
+            for part, block in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now and held:
+                    yield found()
+                    held = []
+                now = part
+                held.append(unpack_counts(block))
+        if held:
+            yield found()
+
+    blocks = described.where("part is not null").select("part", "block")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(count, "token long")
+
+
 def _bitmap(values: DataFrame, column: str, bits: int) -> np.ndarray:
     """Bitmap of fixed size of the leading ``bits`` bits of a long column."""
     at = F.shiftrightunsigned(column, 64 - bits)
@@ -166,44 +224,51 @@ def _in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def index_keys(s: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Keys under which a set is indexed: single rare shingles and pairs of frequent ones."""
+def index_keys(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys under which a set is indexed, and how many shingles are left from each on.
+
+    Keys are single rare shingles and pairs of frequent ones; a pair, which need not hold
+    the first shared shingle, counts the whole set as left.
+    """
     a = len(s)
     p = a - (percent * a + 99) // 100 + 1
     rare, common = s[~frequent], s[frequent]
+    left = a - np.arange(min(len(rare), p))
     if len(rare) >= p:
-        return rare[:p]
+        return rare[:p], left
     common = common[: 2 * p + 2 - len(rare)]
     pairs = mix(common[:-1] * _ODD[50] + common[1:] * _ODD[51])
-    return np.concatenate((rare, pairs))
+    return np.concatenate((rare, pairs)), np.append(left, np.full(len(pairs), a))
 
 
 def _indexed(docs: DataFrame, words: int, percent: int, bitmap: np.ndarray) -> DataFrame:
-    schema = pa.schema([("token", pa.int64()), ("fp", pa.int64()), ("size", pa.int32())])
+    """``(token, fp, meta)``; ``meta`` is the size of the set and, in the low half, what is left."""
+    schema = pa.schema([("token", pa.int64()), ("fp", pa.int64()), ("meta", pa.int64())])
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, frequent = set(), shared.value
         for batch in batches:
-            tokens, fps, sizes, counts = [], [], [], []
+            tokens, fps, metas = [], [], []
             for _, s in shingle_sets(batch.column(0), words):
                 fp = fingerprint(s) if len(s) > 1 else None
                 if fp is None or fp in seen:
                     continue
                 seen.add(fp)
-                tokens.append(index_keys(s, _in_bitmap(frequent, s), percent))
+                keys, left = index_keys(s, _in_bitmap(frequent, s), percent)
+                tokens.append(keys)
                 fps.append(fp)
-                sizes.append(len(s))
-                counts.append(len(tokens[-1]))
+                metas.append((len(s) << 32) + left)
             if tokens:
+                counts = [len(t) for t in tokens]
                 yield _batch(
                     schema,
                     _signed(np.concatenate(tokens)),
                     np.repeat(np.array(fps, np.int64), counts),
-                    np.repeat(np.array(sizes, np.int32), counts),
+                    np.concatenate(metas),
                 )
 
-    return docs.select("text").mapInArrow(index, "token long, fp long, size int")
+    return docs.select("text").mapInArrow(index, "token long, fp long, meta long")
 
 
 def _postings(indexed: DataFrame, percent: int) -> DataFrame:
@@ -213,35 +278,36 @@ def _postings(indexed: DataFrame, percent: int) -> DataFrame:
     row, and again the first whose set is too large to link with the centre so far.
     """
     schema = pa.schema(
-        [("token", pa.int64()), ("fp", pa.int64()), ("size", pa.int32())]
-        + [("centre", pa.int64()), ("centre_size", pa.int32())]
+        [("token", pa.int64()), ("fp", pa.int64()), ("size", pa.int64()), ("left", pa.int64())]
+        + [("centre", pa.int64()), ("centre_size", pa.int64())]
     )
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # columns of the last row, and whether its entry has rows before it
         for batch in batches:
-            token, fp, size = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            token, fp, meta = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if not len(token):
                 continue
+            size, left = meta >> 32, meta & 0xFFFFFFFF
             centre, centre_size = fp.copy(), size.copy()
             joined = False
             if held is not None:
                 columns, joined = held
-                token, fp, size, centre, centre_size = (
-                    np.concatenate((c, x))
-                    for c, x in zip(columns, (token, fp, size, centre, centre_size))
+                own = (token, fp, size, left, centre, centre_size)
+                token, fp, size, left, centre, centre_size = (
+                    np.concatenate((c, x)) for c, x in zip(columns, own)
                 )
             same = (token[1:] == token[:-1]) & (fp[1:] == fp[:-1])
             kept = np.concatenate(([True], ~same))
-            token, fp, size, centre, centre_size = (
-                c[kept] for c in (token, fp, size, centre, centre_size)
+            token, fp, size, left, centre, centre_size = (
+                c[kept] for c in (token, fp, size, left, centre, centre_size)
             )
             follows = np.concatenate(([False], token[1:] == token[:-1]))
             own_fp, own_size, start = centre, centre_size, ~follows
             while True:
                 at = np.maximum.accumulate(np.where(start, np.arange(len(token)), 0))
                 centre, centre_size = own_fp[at], own_size[at]
-                far = 100 * centre_size.astype(np.int64) < percent * size.astype(np.int64)
+                far = 100 * centre_size < percent * size
                 far[0] = False
                 if not far.any():
                     break
@@ -250,7 +316,7 @@ def _postings(indexed: DataFrame, percent: int) -> DataFrame:
             follows[0] = joined
             more = follows.copy()
             more[:-1] |= follows[1:]
-            columns = (token, fp, size, centre, centre_size)
+            columns = (token, fp, size, left, centre, centre_size)
             held = tuple(c[-1:] for c in columns), bool(follows[-1])
             more[-1] = False
             if more.any():
@@ -258,9 +324,9 @@ def _postings(indexed: DataFrame, percent: int) -> DataFrame:
         if held is not None and held[1]:
             yield _batch(schema, *held[0])
 
-    placed = indexed.repartition("token").sortWithinPartitions("token", "size", "fp")
+    placed = indexed.repartition("token").sortWithinPartitions("token", "meta", "fp")
     made = placed.mapInArrow(
-        post, "token long, fp long, size int, centre long, centre_size int"
+        post, "token long, fp long, size long, left long, centre long, centre_size long"
     )
     return staged(made, "postings")
 
@@ -290,7 +356,7 @@ def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int):
-    """Links ``(a, b, distance)`` among pairs, by comparing whole sets.
+    """Pairs ``(a, b, distance)`` whose distance is within ``1 - t`` (and their ``slack``).
 
     The texts of the nodes in question are picked by a bitmap whose size follows their
     number up to a bound, so that other texts are not moved; a wrong hit is left out when
@@ -325,30 +391,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, p
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.float64())])
         for batch in batches:
-            a, b, x, y = (c.to_pylist() for c in batch.columns)
+            a, b, slack, x, y = (c.to_pylist() for c in batch.columns)
             out: list[list] = [[], [], []]
-            for i, j, s, t in zip(a, b, x, y):
+            for i, j, more, s, t in zip(a, b, slack, x, y):
                 s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 union = len(s) + len(t) - common
-                if 100 * common >= percent * union:
+                near = 100 * common >= percent * union
+                if near or more and 1 - common / union <= 1 - percent / 100 + more + 1e-9:
                     for column, value in zip(out, (i, j, 1 - common / union)):
                         column.append(value)
             yield _batch(schema, *out)
 
     one = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x"))
     other = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
-    joined = pairs.select("a", "b").join(other, "b").join(one, "a").select("a", "b", "x", "y")
+    joined = pairs.join(other, "b").join(one, "a").select("a", "b", "slack", "x", "y")
     return staged(joined.mapInArrow(compare, "a long, b long, distance double"), "links")
 
 
 def _stars(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     pairs = postings.where("centre <> fp").select(F.col("centre").alias("a"), F.col("fp").alias("b"))
     pairs = pairs.distinct().withColumn("slack", F.lit(0.0))
-    return staged(_close(pairs, nodes, percent).select("a", "b"), "stars")
+    return staged(_close(pairs, nodes, percent), "stars")
 
 
-def _between(postings: DataFrame, links: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _between(postings, links, docs, nodes, words: int, percent: int) -> DataFrame:
     """Pairs of different first components that the triangle inequality leaves possible."""
     roots = staged(components(links.select("a", "b")), "roots")
     least = links.groupBy(F.col("b").alias("node")).agg(
@@ -362,35 +429,52 @@ def _between(postings: DataFrame, links: DataFrame, nodes: DataFrame, percent: i
     reach = members.groupBy("pivot").agg(F.max("d").alias("reach"))
     # an entry's nodes by centre; entries within one component are done
     entry = (
-        postings.select("token", F.col("fp").alias("node"))
+        postings.select("token", F.col("fp").alias("node"), "size", "left")
         .join(members.select("node", "root", "pivot"), "node", "left")
-        .select("token", F.coalesce("root", "node").alias("root"), F.coalesce("pivot", "node").alias("pivot"))
-        .distinct()
+        .groupBy("token", F.coalesce("root", "node").alias("root"), F.coalesce("pivot", "node").alias("a"))
+        .agg(F.min("size").alias("size"), F.max("left").alias("left"))
     )
     entry = staged(entry, "entries")
-    mixed = entry.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"))
+    mixed = entry.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     entry = entry.join(mixed.where("x <> y").select("token"), "token", "left_semi")
-    other = entry.select("token", F.col("root").alias("root_b"), F.col("pivot").alias("b"))
+    other = entry.select("token", *(F.col(c).alias(f"{c}_b") for c in ("root", "size", "left")), F.col("a").alias("b"))
+    overlap = percent * (F.col("size") + F.col("size_b"))
+    room = (100 + percent) * F.least("left", "left_b")
     pairs = (
-        entry.withColumnRenamed("pivot", "a")
-        .join(other, "token")
-        .where("a < b and root <> root_b")
+        entry.join(other, "token")
+        .where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & (room >= overlap))
         .select("a", "b")
         .distinct()
     )
     for side in ("a", "b"):
         far = reach.select(F.col("pivot").alias(side), F.col("reach").alias(f"reach_{side}"))
         pairs = pairs.join(far, side, "left")
-    slack = F.coalesce("reach_a", F.lit(0.0)) + F.coalesce("reach_b", F.lit(0.0))
-    near = staged(_close(pairs.select("a", "b", slack.alias("slack")), nodes, percent), "near")
-    held = members.select("pivot", "node")
+    pairs = pairs.select(
+        "a", "b", (F.coalesce("reach_a", F.lit(0.0)) + F.coalesce("reach_b", F.lit(0.0))).alias("slack")
+    )
+    near = staged(_close(pairs, nodes, percent), "near")
+    # centres of more than themselves: their own distance decides which members may link
+    wide = near.where("slack > 0")
+    if wide.isEmpty():
+        return near
+    apart = _verified(wide, docs, nodes, words, percent)
+    held = members.select("pivot", "node", "d")
     for side in ("a", "b"):
-        of = held.select(F.col("pivot").alias(side), F.col("node").alias(f"node_{side}"))
-        near = near.join(of, side, "left")
-    pairs = near.select(
-        F.coalesce("node_a", "a").alias("a"), F.coalesce("node_b", "b").alias("b")
-    ).withColumn("slack", F.lit(0.0))
-    return staged(_close(pairs, nodes, percent).select("a", "b").distinct(), "between")
+        of = held.select(F.col("pivot").alias(side), F.col("node").alias(f"node_{side}"), F.col("d").alias(f"d_{side}"))
+        # a node that links with nothing is its own centre
+        alone = apart.select(side).distinct().join(of, side, "left_anti")
+        of = of.union(alone.select(side, F.col(side), F.lit(0.0)))
+        room = 1 - percent / 100 + 1e-9 + F.col(f"d_{side}")
+        if side == "b":
+            room += F.col("d_a")
+            apart = apart.join(of, (apart[side] == of[side]) & (F.col("distance") <= room)).drop(of[side])
+        else:
+            far = reach.select(F.col("pivot").alias("b"), "reach")
+            apart = apart.join(far, "b", "left").withColumn("reach", F.coalesce("reach", F.lit(0.0)))
+            apart = apart.join(of, side).where(F.col("distance") <= room + F.col("reach"))
+    pairs = apart.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.lit(0.0).alias("slack"))
+    pairs = _close(pairs.distinct(), nodes, percent).union(near.where("slack = 0"))
+    return staged(pairs.distinct(), "between")
 
 
 def jaccard_components(
@@ -426,17 +510,11 @@ def jaccard_components(
         )
     )
     nodes = staged(nodes, "nodes")
-    frequent = (
-        described.where("token is not null")
-        .groupBy("token")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= FREQUENT)
-    )
-    bitmap = _bitmap(frequent, "token", FREQUENT_BITS)
+    bitmap = _bitmap(_frequent(described, FREQUENT), "token", FREQUENT_BITS)
     postings = _postings(_indexed(docs, words, percent, bitmap), percent)
     stars = _stars(postings, nodes, percent)
     links = _verified(stars, docs, nodes, words, percent)
-    more = _between(postings, links, nodes, percent)
+    more = _between(postings, links, docs, nodes, words, percent)
     if not more.isEmpty():
         links = links.union(_verified(more, docs, nodes, words, percent))
     roots = components(links.select("a", "b"))

@@ -64,7 +64,7 @@ def corpus(seed, n=160):
 
 
 @pytest.mark.parametrize("frequent", [2, 6, 1000])
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_brute_force(spark, monkeypatch, seed, frequent):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     rows = corpus(seed)
@@ -107,3 +107,13 @@ def test_one_row_of_each_component_stays(spark):
     assert [k[0] for k in kept].count(70) == 2
     assert sorted(k[1] for k in kept if k[0] == 71) == ["alpha beta", "gamma delta"]
     assert sum(k[0] is None for k in kept) == 1 and all(k[0] != 72 for k in kept)
+
+
+def test_packed_counts_round_trip():
+    import numpy as np
+
+    values = np.random.default_rng(2).integers(0, 2**40, 5000, dtype=np.uint64)
+    values = np.append(values, values[:700])
+    parts, blocks = jaccard.pack_counts(values, 8)
+    back = [jaccard.unpack_counts(b) + np.uint64(p << 32) for p, b in zip(parts, blocks)]
+    assert (np.concatenate(back) == np.sort(values)).all()

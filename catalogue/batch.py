@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stormgauge.fixtures import dense, raw_events, sparse
+from catalogue.fixtures import dense, flawed_raw_events, sparse
 from stormgauge.operators import cleaning, cooccurrence, exposure, intervals, peaks
 from stormgauge.operators import seasons, sequences, sessions
 
@@ -13,7 +13,7 @@ RISK = ("FOG", "SNOW", "STORM")
 
 
 def clean_events(spark, sf_dir):
-    return cleaning.clean_events(raw_events(spark, sf_dir))
+    return cleaning.clean_events(flawed_raw_events(spark, sf_dir))
 
 
 def exposure_hours_daily(spark, sf_dir):

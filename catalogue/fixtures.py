@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormgauge.functions.calendar import (
@@ -180,3 +180,34 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("concat('S', cast(user_id % 5 as string))").alias("State"),
         F.expr("lpad(cast(user_id % 100000 as string), 5, '0')").alias("ZipCode"),
     )
+
+
+def flawed_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows with further flaws, and a part of them forty days later.
+
+    Lines the reader found malformed, missing and blank ids, starts that do not parse,
+    white space around zones, and rows that come twice.
+    """
+    raw = raw_events(spark, sf_dir)
+    number = F.substring("EventId", 3, 20).cast("bigint")
+    forty_days = F.when(number % 5 == 0, 40 * 86400).otherwise(0)
+
+    def moved(name: str) -> Column:
+        at = F.col(name).try_cast("timestamp_ntz")
+        return F.coalesce(wall_timestamp(wall_seconds(at) + forty_days).cast("string"), F.col(name))
+
+    return raw.withColumn("n", number).withColumns(
+        {
+            "twice": F.explode(F.expr("case when n % 11 = 0 then array(0, 0) else array(0) end")),
+            "StartTime(UTC)": F.when(F.col("n") % 109 == 13, "unknown").otherwise(
+                moved("StartTime(UTC)")
+            ),
+            "EndTime(UTC)": moved("EndTime(UTC)"),
+            "TimeZone": F.when(F.col("n") % 29 == 3, F.concat(F.lit("\t"), "TimeZone", F.lit(" \n")))
+            .otherwise(F.col("TimeZone")),
+            "EventId": F.when(F.col("n") % 101 == 7, F.lit(None))
+            .when(F.col("n") % 103 == 9, "  ")
+            .otherwise(F.col("EventId")),
+            "_corrupt_record": F.when(F.col("n") % 107 == 11, F.concat(F.lit("cut,"), "EventId")),
+        }
+    ).drop("n", "twice")

@@ -1,7 +1,7 @@
 """DuckDB SQL for the building blocks."""
 
 from catalogue.batch_oracles import DENSE, ORACLES as BATCH, SPARSE, _day_islands, _secs
-from catalogue.batch_oracles import _sessions, _sweep_markers
+from catalogue.batch_oracles import _active, _segments, _sessions
 from catalogue.live_oracles import READINGS
 
 RAW = f"""
@@ -15,20 +15,6 @@ raw as (
   from (select *, unnest(case when event_id % 7 = 0 then [0, 1] else [0] end) as copy from dense)
 )"""
 
-GRID = f"""
-{_sweep_markers("true", "airport_code, type")},
-grid as (
-  select t.airport_code, t.ts, t.next_ts, k.type, a.cnt
-  from timeline t
-  join (select distinct airport_code, type from ev) k on k.airport_code = t.airport_code
-  left join active a on a.airport_code = t.airport_code and a.type = k.type and a.ts = t.ts
-),
-filled as (
-  select airport_code, type, ts, next_ts, cast(coalesce(last_value(cnt ignore nulls) over (
-    partition by airport_code, type order by ts
-    rows between unbounded preceding and current row), 0) as bigint) as active from grid
-)"""
-
 MONTHLY = f"""
 {SPARSE},
 monthly as (
@@ -57,7 +43,7 @@ from raw""",
     "partitioned_parquet_sink": f"""
 select event_id, type, local_start_ts, event_year, event_month
 from ({BATCH["clean_events"]}) as c
-where event_year * 12 + event_month between 2023 * 12 + 12 and 2024 * 12 + 2""",
+where event_year * 12 + event_month between 2023 * 12 + 12 and 2024 * 12 + 1""",
     "external_table": f"""
 select event_id, severity, event_date, event_year from ({BATCH["clean_events"]}) as c""",
     "contract_conform": f"""
@@ -106,8 +92,11 @@ with {DENSE},
 select airport_code, type, session_start as start_ts, session_end as end_ts from sessions""",
     "net_delta_markers": f"""
 with {DENSE},
-{_sweep_markers("true", "airport_code, type")}
-select airport_code, type, ts, cast(net as bigint) as net from markers""",
+ev as (select * from dense where e > s)
+select airport_code, type, ts, cast(sum(delta) as bigint) as net
+from (select airport_code, type, time_bucket(interval 30 minutes, s) as ts, 1 as delta from ev
+      union all select airport_code, type, time_bucket(interval 30 minutes, e), -1 from ev)
+group by all""",
     "interval_overlap_join": f"""
 with {DENSE},
 {_day_islands("true", "airport_code, type")}
@@ -119,30 +108,57 @@ from islands a join islands b on a.airport_code = b.airport_code
 group by all""",
     "timeline_segments": f"""
 with {DENSE},
-{_sweep_markers("true", "airport_code, type")}
-select airport_code, ts, next_ts from timeline""",
+{_segments("true")}
+select airport_code, ts, next_ts from segments""",
     "running_active_count": f"""
 with {DENSE},
-{_sweep_markers("true", "airport_code, type")}
-select airport_code, type, ts, cast(cnt as bigint) as total from active""",
+ev as (select * from dense where e > s),
+moments as (
+  select airport_code, type, s as ts from ev union select airport_code, type, e from ev
+)
+select m.airport_code, m.type, m.ts, count(v.s) as total
+from moments m left join ev v on v.airport_code = m.airport_code and v.type = m.type
+  and v.s <= m.ts and v.e > m.ts
+group by all""",
     "state_forward_fill": f"""
 with {DENSE},
-{GRID}
-select airport_code, type, ts, next_ts, active from filled where active > 0""",
+{_active("true")}
+select airport_code, type, ts, next_ts, n as active from active""",
     "active_type_sets": f"""
 with {DENSE},
-{GRID}
+{_active("true")}
 select airport_code, ts, string_agg(type, '+' order by type) as types,
   cast(count(*) as integer) as n_types
-from filled where active > 0 group by airport_code, ts having count(*) >= 2""",
+from active group by airport_code, ts having count(*) >= 2""",
     "active_type_pairs": f"""
 with {DENSE},
-{GRID}
+{_active("true")}
 select a.airport_code, concat(a.type, '+', b.type) as type_pair,
   cast(sum({_secs("a.ts", "a.next_ts")}) as bigint) as seconds
-from filled a join filled b on a.airport_code = b.airport_code and a.ts = b.ts
-  and a.type < b.type and a.active > 0 and b.active > 0
+from active a join active b on a.airport_code = b.airport_code and a.ts = b.ts
+  and a.type < b.type
 group by all""",
+    "overlapping_pairs": f"""
+with {DENSE}
+select a.airport_code, a.event_id as left_event_id, b.event_id as right_event_id,
+  {_secs("greatest(a.s, b.s)", "least(a.e, b.e)")} as seconds
+from dense a join dense b on a.airport_code = b.airport_code and a.s < b.e and b.s < a.e
+where a.type = 'FOG' and b.type = 'SNOW' and a.severity = 'Heavy' and b.severity = 'Heavy'
+  and a.e > a.s and b.e > b.s""",
+    "rejected_events": f"""
+with {DENSE}
+select case when event_id % 107 = 11 then 'malformed line' else 'no event id' end as reason,
+  case when event_id % 101 = 7 then null when event_id % 103 = 9 then '  '
+    else concat('W-', cast(event_id as varchar)) end as event_id
+from (select event_id, unnest(case when event_id % 7 = 0 then [0, 1] else [0] end) from dense)
+  as copies, (select unnest([0, 1]) as twice) as t
+where (event_id % 101 = 7 or event_id % 103 = 9 or event_id % 107 = 11)
+  and (twice = 0 or event_id % 11 = 0)""",
+    "episodes_session_window": f"""
+with {DENSE},
+{_sessions("dense", "airport_code, type", "true", 60, "max_end")}
+select airport_code, type, session_start, session_end, cast(n as bigint) as events
+from sessions""",
     "projection_and_rename": f"""
 with {DENSE} select event_id, type, s as started_at from dense""",
     "risk_filter_any": f"""

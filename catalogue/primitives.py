@@ -8,14 +8,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stormgauge.contracts import TABLES, Table, conform, violations
-from stormgauge.fixtures import dense, raw_events, readings, sparse
+from catalogue.scratch import shared_folder
+from catalogue.fixtures import dense, flawed_raw_events, raw_events, readings, sparse
 from stormgauge.functions import calendar as cal
 from stormgauge.functions import weather
 from stormgauge.operators import cleaning, intervals, seasons, timeline
 from stormgauge.operators.cooccurrence import cooccurrence_minutes_daily
 from stormgauge.operators.exposure import exposure_hours_daily
 from stormgauge.operators.ranking import keep_first, top_per_group
-from stormgauge.session import shared_folder
 from stormgauge.sinks.parquet import register_external_table, write_bucketed, write_partitioned
 from stormgauge.sources.files import dated_path, read_events, read_raw
 
@@ -54,7 +54,7 @@ def raw_csv_scan(spark, sf_dir):
 
 def _written_clean(spark, sf_dir):
     path = shared_folder(spark, "events_clean")
-    write_partitioned(cleaning.clean_events(raw_events(spark, sf_dir)), path)
+    write_partitioned(cleaning.clean_events(flawed_raw_events(spark, sf_dir)), path)
     return path
 
 
@@ -65,7 +65,7 @@ def partitioned_parquet_sink(spark, sf_dir):
         spark,
         path,
         ["event_id", "type", "local_start_ts", "event_year", "event_month"],
-        months=("2023-12", "2024-02"),
+        months=("2023-12", "2024-01"),
     )
 
 
@@ -84,7 +84,10 @@ def contract_conform(spark, sf_dir):
 
 
 def bucketed_table(spark, sf_dir):
-    """Exposure stored by its distribution key, then summed per key without a shuffle."""
+    """Exposure stored by its distribution key, then summed per key without a shuffle.
+
+    A key's rows share a bucket; these are one per airport and day, so a bucket is bounded.
+    """
     table = TABLES["exposure_hours_daily"]
     name = f"exposure_{uuid.uuid4().hex}"
     rows = conform(exposure_hours_daily(dense(spark, sf_dir)), table)
@@ -147,19 +150,44 @@ def merge_islands(spark, sf_dir):
 
 
 def net_delta_markers(spark, sf_dir):
-    markers = intervals.net_markers(_spans(spark, sf_dir, *AIRPORT_TYPE), AIRPORT_TYPE)
+    """On half hours, so that starts and ends do meet and cancel out."""
+    spans = _spans(spark, sf_dir, *AIRPORT_TYPE)
+    coarse = spans.withColumns({c: F.col(c) - F.col(c) % 1800 for c in ("start_s", "end_s")})
+    markers = intervals.net_markers(coarse, AIRPORT_TYPE)
     return markers.select(*AIRPORT_TYPE, cal.wall_timestamp("ts_s").alias("ts"), "net")
 
 
 def interval_overlap_join(spark, sf_dir):
     """Seconds per airport day during which fog and snow overlap."""
     spans = _spans(spark, sf_dir, *AIRPORT_TYPE)
-    shared = intervals.overlap_seconds_daily(
-        spans.where(weather.type_in("type", ["fog"])),
-        spans.where(weather.type_in("type", ["snow"])),
+    sides = spans.where(weather.type_in("type", ["fog", "snow"])).withColumnRenamed("type", "side")
+    shared = intervals.overlap_seconds_daily(sides, ["airport_code"])
+    return shared.select("airport_code", cal.day_to_date("day").alias("event_date"), "seconds")
+
+
+def overlapping_pairs(spark, sf_dir):
+    """Heavy fog and heavy snow of one airport that overlap, pair by pair."""
+    spans = _spans(spark, sf_dir, "airport_code", "event_id", "type", "severity")
+    heavy = spans.where(weather.severity_in("severity", ["heavy"])).drop("severity")
+    pairs = intervals.overlap_join(
+        heavy.where(weather.type_in("type", ["fog"])).drop("type"),
+        heavy.where(weather.type_in("type", ["snow"])).drop("type"),
         ["airport_code"],
     )
-    return shared.select("airport_code", cal.day_to_date("day").alias("event_date"), "seconds")
+    end, start = F.least("left_end_s", "right_end_s"), F.greatest("left_start_s", "right_start_s")
+    return pairs.select(
+        "airport_code", "left_event_id", "right_event_id", (end - start).alias("seconds")
+    )
+
+
+def episodes_session_window(spark, sf_dir):
+    """Episodes with a pause of at most a minute, by Spark's session windows."""
+    return intervals.session_windows(dense(spark, sf_dir), AIRPORT_TYPE, 60)
+
+
+def rejected_events(spark, sf_dir):
+    """Rows that cannot become events, with the reason."""
+    return cleaning.rejected_events(flawed_raw_events(spark, sf_dir)).select("reason", "event_id")
 
 
 def timeline_segments(spark, sf_dir):
@@ -475,6 +503,9 @@ _ALL = (
     merge_islands,
     net_delta_markers,
     interval_overlap_join,
+    overlapping_pairs,
+    episodes_session_window,
+    rejected_events,
     timeline_segments,
     running_active_count,
     state_forward_fill,

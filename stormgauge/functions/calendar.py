@@ -90,10 +90,11 @@ def cyclic_day_shift(current: Column, previous: Column) -> Column:
 def usable_zone(zone: Column) -> Column:
     """The trimmed zone id, or UTC when it is missing, blank or unknown.
 
-    Whether an id is known is asked of the timestamp parser, which yields NULL
+    The parser trims all white space and control characters around an id, the
+    conversion does not, so both get the id without them.  Whether an id is known is asked of the timestamp parser, which yields NULL
     under ``try_cast`` instead of raising; no list of zone ids is needed.
     """
-    name = F.trim(zone)
+    name = F.regexp_replace(zone, r"^[\x00-\x20\x7F]+|[\x00-\x20\x7F]+$", "")
     probe = F.concat(F.lit("2000-01-01 00:00:00 "), name).try_cast("timestamp")
     return F.when((F.length(name) > 0) & probe.isNotNull(), name).otherwise(F.lit("UTC"))
 

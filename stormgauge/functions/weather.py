@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Event vocabulary, weights and thresholds of the curated tables.
@@ -37,19 +37,28 @@ def severity_in(column: str, severities: Iterable[str]) -> Column:
 
 
 def lookup(column: str, weights: Mapping[str, int], default: int) -> Column:
-    """Weight of a category as a ``CASE`` chain."""
+    """Weight of a category as a ``CASE`` chain; the default if there are no weights."""
     expr = F
     for key, weight in weights.items():
         expr = expr.when(F.col(column) == key, weight)
-    return expr.otherwise(default)
+    return expr.otherwise(default) if weights else F.lit(default)
 
 
 def severity_weight(column: str, weights: Mapping[str, int] = SEVERITY_WEIGHTS) -> Column:
-    return lookup(column, weights, OTHER_SEVERITY_WEIGHT)
+    folded = {key.strip().capitalize(): weight for key, weight in weights.items()}
+    return lookup(column, folded, OTHER_SEVERITY_WEIGHT)
 
 
 def winter_type_weight(column: str, weights: Mapping[str, int] = WINTER_TYPE_WEIGHTS) -> Column:
-    return lookup(column, weights, OTHER_TYPE_WEIGHT)
+    folded = {key.strip().upper(): weight for key, weight in weights.items()}
+    return lookup(column, folded, OTHER_TYPE_WEIGHT)
+
+
+def require_vocabulary(events: DataFrame, most: int = 50) -> None:
+    """Raise if there are more than ``most`` event types: pairing types multiplies rows."""
+    found = events.select("type").distinct().limit(most + 1).count()
+    if found > most:
+        raise ValueError(f"more than {most} event types")
 
 
 def pair_label(a: Column, b: Column) -> Column:

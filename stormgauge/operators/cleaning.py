@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stormgauge.functions import calendar as cal
 from stormgauge.operators.ranking import keep_first
+from stormgauge.sources.schemas import CORRUPT
 
 
 def normalise_headers(raw: DataFrame) -> DataFrame:
@@ -56,11 +57,37 @@ def enrich_events(typed: DataFrame) -> DataFrame:
     )
 
 
+def _with_reason(raw: DataFrame) -> DataFrame:
+    """Rows with normalised headers and ``reason``, why one cannot be used (NULL: it can)."""
+    rows = normalise_headers(raw)
+    if CORRUPT not in rows.columns:
+        rows = rows.withColumn(CORRUPT, F.lit(None).cast("string"))
+    nameless = F.col("eventid").isNull() | (F.trim("eventid") == "")
+    return rows.withColumn(
+        "reason",
+        F.when(F.col(CORRUPT).isNotNull(), "malformed line").when(nameless, "no event id"),
+    )
+
+
+def rejected_events(raw: DataFrame) -> DataFrame:
+    """Raw rows that cannot become events: ``reason``, the id if any, and the line's text.
+
+    The line is what the reader kept of a malformed one, or the fields put together.
+    """
+    rows = _with_reason(raw).where(F.col("reason").isNotNull())
+    fields = [c for c in rows.columns if c not in (CORRUPT, "reason")]
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*fields)))
+    return rows.select("reason", F.col("eventid").alias("event_id"), line.alias("line"))
+
+
 def clean_events(raw: DataFrame) -> DataFrame:
     """Typed, enriched events, one row per event id: the one that starts first.
 
+    Malformed lines and rows without an id are left out; see :func:`rejected_events`.
+
     As NULL sorts first, a row whose start cannot be parsed wins over its copies.
     Copies are dropped before enrichment, so only the typed source columns are
     shuffled, and of each id at most one row per map task.
     """
-    return enrich_events(keep_first(typed_events(raw), ["event_id"], ["start_time_utc"]))
+    usable = _with_reason(raw).where(F.col("reason").isNull()).drop(CORRUPT, "reason")
+    return enrich_events(keep_first(typed_events(usable), ["event_id"], ["start_time_utc"]))

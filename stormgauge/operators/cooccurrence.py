@@ -1,10 +1,11 @@
 """Minutes during which two event types are active together, per airport and day.
 
 No pairs of events are formed.  Each type becomes disjoint islands per day,
-every island is copied once per *other type present that day* (the event
-vocabulary is small), and one ordered pass per pair of types counts how many of
-the two are active.  The work is linear in islands, also for a day on which one
-airport saw a very large number of events.
+every island is copied once per *other type present that day*, and one ordered
+pass per pair of types counts how many of the two are active.  For a vocabulary
+of a bounded size, which :func:`stormgauge.functions.weather.require_vocabulary`
+checks, the work is linear in islands, also for a day on which one airport saw a
+very large number of events.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from stormgauge.functions.calendar import day_number, day_to_date
 from stormgauge.operators.intervals import (
     as_seconds,
     collapse,
+    cut_at_midnight,
     day_islands,
     day_pieces,
     double_cover,
@@ -64,15 +66,19 @@ def cooccurrence_sweep(events: DataFrame) -> DataFrame:
     first marker therefore counts to the latest earlier day that had a marker,
     which is what an unsplit sweep over the airport's whole timeline yields.
     """
-    spans = as_seconds(events, ["airport_code", "type"]).withColumn(
-        "last_day", day_number("end_s")
+    spans = as_seconds(events, ["airport_code", "type"]).withColumns(
+        {"last_day": day_number("end_s"), "own_end": F.col("end_s")}
     )
     # the first end on a day is kept by collapsing per last day
+    keys = ["airport_code", "type", "last_day"]
     reduced = collapse(
-        spans, ["airport_code", "type", "last_day"], extra=[F.min("end_s").alias("first_end")]
+        cut_at_midnight(spans, [*keys, "own_end"]),
+        [*keys, "opened"],
+        extra=[F.min("own_end").alias("first_end")],
     )
+    starts_here = F.col("opened") & (F.col("day") == day_number("start_s"))
     own_marker = F.least(  # NULLs are skipped
-        F.when(F.col("day") == day_number("start_s"), F.col("start_s")),
+        F.when(starts_here, F.col("start_s")),
         F.when(F.col("day") == F.col("last_day"), F.col("first_end")),
     )
     pieces = (

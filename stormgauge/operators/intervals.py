@@ -95,6 +95,24 @@ def collapse(
     )
 
 
+def cut_at_midnight(spans: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Spans cut once, at the first midnight behind their start.
+
+    Adds ``opened``: whether the part begins where its span does.  The rests of one day
+    all begin at its midnight, so collapsing joins them to one row, and long events are
+    copied to their days once per day they start on, not once per slot.
+    """
+    midnight = (day_number("start_s").cast("bigint") + 1) * DAY_SECONDS
+
+    def part(start: Column, end: Column, opened: bool) -> Column:
+        return F.struct(start.alias("start_s"), end.alias("end_s"), F.lit(opened).alias("opened"))
+
+    own = part(F.col("start_s"), F.least("end_s", midnight), True)
+    rest = part(midnight, F.col("end_s"), False)
+    parts = F.when(F.col("end_s") > midnight, F.array(own, rest)).otherwise(F.array(own))
+    return spans.select(*keep, F.inline(parts))
+
+
 def day_islands(
     spans: DataFrame, keys: Sequence[str], place: Sequence[str] | None = None
 ) -> DataFrame:
@@ -104,7 +122,8 @@ def day_islands(
     Later windows and aggregates whose keys contain ``place`` then need no
     further shuffle.
     """
-    pieces = day_pieces(collapse(spans, keys)).where(F.col("e") > F.col("s"))
+    pieces = day_pieces(collapse(cut_at_midnight(spans, keys), keys))
+    pieces = pieces.where(F.col("e") > F.col("s"))
     placed = pieces.select(*keys, "day", "s", "e").repartition(*(place or [*keys, "day"]))
     return merge_sorted(placed, [*keys, "day"])
 
@@ -316,20 +335,75 @@ def day_markers(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def overlap_seconds_daily(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def overlap_seconds_daily(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Seconds per (keys, day) during which both interval sets are active.
 
     An interval-overlap join for the case where the overlap *length* is wanted:
     both sides become islands, then one ordered pass counts active sides, so no
-    pairs of intervals are formed.  Inputs carry ``start_s``, ``end_s``.
+    pairs of intervals are formed.  ``sides`` carries ``start_s``, ``end_s`` and a
+    column ``side`` of two values, so that both sets come from one read.
     """
-    sides = left.select(*keys, "start_s", "end_s", F.lit(0).alias("side")).unionByName(
-        right.select(*keys, "start_s", "end_s", F.lit(1).alias("side"))
-    )
     islands = day_islands(sides, [*keys, "side"], place=[*keys, "day"])
     return double_cover(islands, [*keys, "day"]).where(F.col("seconds") > 0)
 
 
+def overlap_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], width: int = DAY_SECONDS
+) -> DataFrame:
+    """Pairs of rows of both sides whose intervals overlap: an equi-join by time bucket.
+
+    Inputs carry ``start_s``, ``end_s`` (end excluded) and columns that are told apart by
+    ``left_`` and ``right_`` in the result.  Every interval goes to the buckets it
+    touches; a pair is kept in the bucket of its later start only, so none comes twice.
+
+    The result holds all pairs, so it grows with the overlaps there are.  A key that is
+    busy in one bucket makes a large partition, which adaptive execution splits; a
+    narrower ``width`` spreads it over more buckets but copies long intervals more often.
+    """
+
+    def placed(side: DataFrame, prefix: str) -> DataFrame:
+        named = side.select(
+            *keys, *[F.col(c).alias(prefix + c) for c in side.columns if c not in keys]
+        )
+        start, end = F.col(f"{prefix}start_s"), F.col(f"{prefix}end_s")
+        buckets = F.sequence(bucket_number(start, width), bucket_number(end - 1, width))
+        return named.where(end > start).withColumn("bucket", F.explode(buckets))
+
+    joined = placed(left, "left_").join(placed(right, "right_"), [*keys, "bucket"])
+    later = F.greatest("left_start_s", "right_start_s")
+    return joined.where(
+        (F.col("left_start_s") < F.col("right_end_s"))
+        & (F.col("right_start_s") < F.col("left_end_s"))
+        & (F.col("bucket") == bucket_number(later, width))
+    ).drop("bucket")
+
+
+def session_windows(
+    events: DataFrame,
+    keys: Sequence[str],
+    gap_seconds: int = 0,
+    start: str = "local_start_ts",
+    end: str = "local_end_ts",
+    late: str | None = None,
+) -> DataFrame:
+    """:func:`episodes` by Spark's session windows, for static and streaming frames.
+
+    An event keeps its session open until ``gap_seconds`` after its end.  On a streaming
+    frame give ``late``, the delay of the watermark on ``start``, which bounds the state.
+    """
+    source = events.withWatermark(start, late) if late else events
+    valid = source.where(valid_interval(start, end, allow_empty=True))
+    # times are whole seconds; half a second keeps windows of empty events open
+    open_for = wall_seconds(end) - wall_seconds(start) + F.lit(gap_seconds)
+    gap = F.concat(open_for.cast("string"), F.lit(" seconds 500 milliseconds"))
+    session = F.session_window(start, gap)
+    return valid.groupBy(*keys, session).agg(
+        F.min(start).alias("session_start"),
+        F.max(end).alias("session_end"),
+        F.count(F.lit(1)).alias("events"),
+    ).drop("session_window")
+
+
 def double_cover(islands: DataFrame, groups: Sequence[str], extra=()) -> DataFrame:
     """Seconds per group during which two of its disjoint span sets are active.
 

@@ -20,6 +20,15 @@ from stormgauge.functions.weather import (
 from stormgauge.operators.intervals import valid_interval
 
 
+def known_ends(events: DataFrame) -> DataFrame:
+    """Events whose start and end are both known.
+
+    The measures of this module leave out the others: they have no length, and a
+    group of them alone would have a row without one.
+    """
+    return events.where(F.col("local_start_ts").isNotNull() & F.col("local_end_ts").isNotNull())
+
+
 def local_month(df: DataFrame) -> DataFrame:
     """Adds the local calendar ``year`` and ``month`` of the start; drops unknown starts."""
     return df.where(F.col("local_start_ts").isNotNull()).withColumns(
@@ -65,7 +74,7 @@ def monthly_trend_by_type(events: DataFrame, min_previous: float = 5.0) -> DataF
     seconds = cal.wall_seconds("local_end_ts") - cal.wall_seconds("local_start_ts")
     mean_min = F.try_divide(F.sum("seconds") / 60.0, F.count("seconds"))
     monthly = (
-        local_month(events)
+        local_month(known_ends(events))
         .withColumn("seconds", seconds)
         .groupBy("airport_code", "year", "month", "type")
         .agg(
@@ -101,7 +110,7 @@ def winter_workload_index(
         "type", type_weights
     )
     monthly = (
-        local_month(events)
+        local_month(known_ends(events).where(F.col("duration_min").isNotNull()))
         .groupBy("state", "county", "year", "month")
         .agg(F.round(F.sum(score) / 3600.0, 2).alias("workload_index"))
     )
@@ -165,8 +174,7 @@ def winter_phenology(
     """
     keys = ["state", "county", "season_year"]
     seasons = (
-        winter_only(events, winter_types, clock)
-        .where(F.col("local_start_ts").isNotNull())
+        known_ends(winter_only(events, winter_types, clock))
         .withColumn("season_year", cal.season_year("local_start_ts"))
         .groupBy(*keys)
         .agg(

@@ -32,7 +32,8 @@ def risky_sequences(
     """Directly consecutive rows of a county whose types spell ``pattern``.
 
     Rows are ordered by (start, type, end); the last end must lie within ``hours``
-    of the first start.
+    of the first start.  Events with an unknown start or end are left out first, so
+    one means the same alone and beside a copy whose end is known.
 
     Equal (county, start second, type) rows stand next to each other in this
     order, so they are first reduced map-side to one row with a count.  The
@@ -43,7 +44,8 @@ def risky_sequences(
     steps = len(pattern) - 1
     if steps < 1:
         raise ValueError("a pattern has at least two types")
-    rows = events.where(F.col("local_start_ts").isNotNull()).select(
+    known = F.col("local_start_ts").isNotNull() & F.col("local_end_ts").isNotNull()
+    rows = events.where(known).select(
         *keys,
         "type",
         wall_seconds("local_start_ts").alias("start_s"),
@@ -102,10 +104,9 @@ def sequence_within(
 ) -> DataFrame:
     """Types in order within ``hours``, other events allowed in between.
 
-    From each distinct start of the first type, the earliest strictly later start
-    of the second type is taken, from there the earliest of the third, and so on
-    (of equal starts, the event ending first).  One row per start whose last end
-    lies within ``hours``.
+    Starts follow each other strictly.  Of all ways to go on from a start of the
+    first type, the one whose last event ends first counts, so a start has a row
+    if any way lies within ``hours``.  One row per distinct start.
 
     Looking further than ``hours`` ahead is never needed, so rows go to their own
     time bucket of that width and, as look-ahead, to the one before it.  Each
@@ -119,7 +120,7 @@ def sequence_within(
         .withColumn("own", bucket_number("start_s", width))
         .withColumn("bucket", F.explode(F.array(F.col("own"), F.col("own") - 1)))
     )
-    # latest first, so that the nearest later row is the last one in the frame
+    # latest first, so that the frame holds what starts later
     later = (
         Window.partitionBy(*keys, "bucket")
         .orderBy(-F.col("start_s"))
@@ -127,8 +128,8 @@ def sequence_within(
     )
     chained = firsts.withColumn("final_end", F.col("end_s"))
     for name in reversed(pattern[1:]):
-        nearest = F.last(F.when(F.col("type") == name, F.col("final_end")), ignorenulls=True)
-        chained = chained.withColumn("final_end", nearest.over(later))
+        first_end = F.min(F.when(F.col("type") == name, F.col("final_end")))
+        chained = chained.withColumn("final_end", first_end.over(later))
     found = chained.where(
         (F.col("bucket") == F.col("own"))
         & (F.col("type") == pattern[0])

@@ -19,7 +19,13 @@ from stormgauge.session import build_session
 from stormgauge.sinks.changelog import changelog_sink
 from stormgauge.sinks.jdbc import JdbcTarget, statement_runner, upsert_sink
 from stormgauge.sources.files import read_airports
-from stormgauge.sources.readings import file_messages, kafka_messages, parse_readings
+from stormgauge.sources.readings import (
+    failed_messages,
+    file_messages,
+    good_readings,
+    kafka_messages,
+    route_readings,
+)
 from stormgauge.streaming import kpis
 from stormgauge.streaming.runner import BatchSink, await_all, console_sink, start
 
@@ -43,13 +49,14 @@ class LiveJob:
     ) -> StreamingQuery:
         """Stream text messages through the KPI into the sinks, in update mode.
 
-        A window is emitted again whenever it changes, so sinks must be keyed.
+        A window is emitted again whenever it changes, so sinks must be keyed.  Messages
+        that are no readings are left out here; :func:`start_dead_letters` keeps them.
         """
 
         def conforming(sink: BatchSink) -> BatchSink:
             return lambda batch, epoch: sink(conform(batch, self.table), epoch)
 
-        result = self.build(parse_readings(messages), airports)
+        result = self.build(good_readings(route_readings(messages)), airports)
         return start(
             result,
             [conforming(s) for s in sinks],
@@ -59,6 +66,20 @@ class LiveJob:
         )
 
 
+def start_dead_letters(
+    messages: DataFrame, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Append the text of messages that are no readings to a folder, by epoch."""
+    return start(
+        failed_messages(route_readings(messages)),
+        [changelog_sink(path)],
+        checkpoint,
+        mode="append",
+        available_now=available_now,
+        name="dead_letters",
+    )
+
+
 LIVE_JOBS = {
     name: LiveJob(TABLES[name], build)
     for name, build in {
@@ -78,6 +99,10 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--kafka", metavar="SERVERS")
     source.add_argument("--folder", help="folder of JSON-line files")
     cli.add_argument("--topic", default="weather_raw")
+    cli.add_argument("--starting-offsets", default="latest", help="where a new query begins")
+    cli.add_argument("--offsets-per-batch", type=int, default=1_000_000)
+    cli.add_argument("--files-per-batch", type=int, default=100)
+    cli.add_argument("--dead-letters", help="folder of bad messages; default: beside the checkpoint")
     cli.add_argument("--airports", help="airport dimension CSV")
     cli.add_argument("--checkpoint", required=True)
     cli.add_argument("--changelog", help="folder of the keyed changelog")
@@ -85,7 +110,8 @@ def main(argv: list[str] | None = None) -> None:
     cli.add_argument("--dbtable")
     cli.add_argument("--dbuser")
     cli.add_argument("--dbpassword")
-    cli.add_argument("--console", action="store_true")
+    cli.add_argument("--console", action="store_true", help="also without another sink")
+    cli.add_argument("--console-rows", type=int, default=20, help="rows shown of a micro-batch")
     cli.add_argument("--available-now", action="store_true", help="stop when caught up")
     args = cli.parse_args(argv)
 
@@ -99,15 +125,24 @@ def main(argv: list[str] | None = None) -> None:
     if args.jdbc_url:
         sinks.append(_database_sink(args, job))
     if args.console or not sinks:
-        sinks.append(console_sink())
+        sinks.append(console_sink(args.console_rows))
     messages = (
-        kafka_messages(spark, args.kafka, args.topic)
+        kafka_messages(
+            spark, args.kafka, args.topic, args.starting_offsets, args.offsets_per_batch
+        )
         if args.kafka
-        else file_messages(spark, args.folder)
+        else file_messages(spark, args.folder, args.files_per_batch)
     )
     airports = read_airports(spark, args.airports) if args.airports else None
+    place = args.checkpoint.rstrip("/")
+    dead_letters = start_dead_letters(
+        messages,
+        args.dead_letters or f"{place}-dead-letters",
+        f"{place}-dead-letters-checkpoint",
+        args.available_now,
+    )
     query = job.start(messages, airports, sinks, args.checkpoint, args.available_now)
-    await_all([query])
+    await_all([query, dead_letters])
 
 
 def _database_sink(args: argparse.Namespace, job: LiveJob) -> BatchSink:

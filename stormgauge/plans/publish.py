@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stormgauge.contracts import TABLES, Table, conform, require
 from stormgauge.operators.cooccurrence import cooccurrence_minutes_daily
@@ -24,17 +25,31 @@ from stormgauge.operators.seasons import (
 )
 from stormgauge.operators.sequences import risky_sequences
 from stormgauge.operators.sessions import longest_episodes, winter_burstiness
-from stormgauge.session import build_session, shared_folder
+from stormgauge.session import build_session, remove_folder, shared_folder
 from stormgauge.sinks.jdbc import JdbcTarget, write_jdbc
 from stormgauge.sources.files import read_events
 
 
+Months = tuple[str, str]
+#: days behind a period that are read along; a result never needs all of them
+AHEAD_DAYS = {"month": 3, "season": 60}
+
+
 @dataclass(frozen=True)
 class Job:
-    """A curated table and the operator that builds it from the cleaned events."""
+    """A curated table and the operator that builds it from the cleaned events.
+
+    ``period`` names what a row belongs to: ``month`` (of ``dated``: a date or time column,
+    or year and month) or ``season``; a table without one can only be built as a whole.
+    ``history_days`` says how far before a period a row looks back at events, whatever
+    their length; ``None`` is without limit, as for measures that go by earlier rows.
+    """
 
     table: Table
     build: Callable[..., DataFrame]
+    period: str | None = None
+    dated: tuple[str, ...] = ()
+    history_days: int | None = None
 
     def run(self, events: DataFrame, **parameters) -> DataFrame:
         return conform(self.build(events, **parameters), self.table)
@@ -50,29 +65,123 @@ class Job:
         require(result, self.table)
         return result
 
-
-JOBS = {
-    name: Job(TABLES[name], build)
-    for name, build in {
-        "exposure_hours_daily": exposure_hours_daily,
-        "longest_episodes": longest_episodes,
-        "cooccurrence_minutes_daily": cooccurrence_minutes_daily,
-        "peak_exposure_3h_daily": peak_exposure_daily,
-        "monthly_risk_trend_by_type": monthly_trend_by_type,
-        "winter_workload_index": winter_workload_index,
-        "risky_sequences": risky_sequences,
-        "winter_burstiness": winter_burstiness,
-        "night_thunderstorm_risk": night_storm_risk,
-        "winter_fenology": winter_phenology,
-    }.items()
-}
+    def with_period(self, result: DataFrame) -> DataFrame:
+        """Adds ``period``: year and month as one number, or the year of the season."""
+        if self.period == "season":
+            return result.withColumn("period", F.col("season_year"))
+        if len(self.dated) == 2:
+            year, month = (F.col(c) for c in self.dated)
+        else:
+            year, month = F.year(self.dated[0]), F.month(self.dated[0])
+        return result.withColumn("period", year * 100 + month)
+
+    def periods(self, months: Months) -> list[int]:
+        """The periods that a range of months touches."""
+        (first_year, first_month), (last_year, last_month) = (_year_and_month(m) for m in months)
+        touched = range(first_year * 12 + first_month - 1, last_year * 12 + last_month)
+        parts = [(m // 12, m % 12 + 1) for m in touched]
+        if self.period == "season":
+            return sorted({year + (month == 12) for year, month in parts if month in (12, 1, 2)})
+        return [year * 100 + month for year, month in parts]
+
+    def events_for(self, events: DataFrame, months: Months) -> DataFrame:
+        """All events a period's rows depend on: those that reach into it or its look-back."""
+        periods = self.periods(months)
+        if not periods:
+            return events.where(F.lit(False))
+        if self.period == "season":
+            first, last = f"{periods[0] - 1}-12-01", f"{periods[-1]}-03-01"
+        else:
+            first = f"{periods[0] // 100}-{periods[0] % 100:02d}-01"
+            last = f"{periods[-1] // 100}-{periods[-1] % 100:02d}-28"
+        after = F.date_add(F.to_date(F.lit(last)), AHEAD_DAYS[self.period] + 4)
+        found = events.where(F.col("local_start_ts") < after.cast("timestamp_ntz"))
+        if self.history_days is None:
+            return found
+        before = F.date_sub(F.to_date(F.lit(first)), self.history_days)
+        return found.where(F.col("local_end_ts") >= before.cast("timestamp_ntz"))
+
+
+def _year_and_month(text: str) -> tuple[int, int]:
+    return int(text[:4]), int(text[5:7])
+
+
+_JOBS = (
+    # a row sums up to 89 days before its own
+    Job(TABLES["exposure_hours_daily"], exposure_hours_daily, "month", ("event_date",), 89),
+    # the longest of all time
+    Job(TABLES["longest_episodes"], longest_episodes),
+    Job(TABLES["cooccurrence_minutes_daily"], cooccurrence_minutes_daily, "month", ("event_date",), 1),
+    Job(TABLES["peak_exposure_3h_daily"], peak_exposure_daily, "month", ("event_date",), 1),
+    # the change looks at the month before
+    Job(TABLES["monthly_risk_trend_by_type"], monthly_trend_by_type, "month", ("year", "month"), 31),
+    # changes and means by earlier rows, however long ago
+    Job(TABLES["winter_workload_index"], winter_workload_index, "month", ("year", "month")),
+    Job(TABLES["risky_sequences"], risky_sequences, "month", ("seq_start_ts",), 1),
+    Job(TABLES["winter_burstiness"], winter_burstiness, "season"),
+    Job(TABLES["night_thunderstorm_risk"], night_storm_risk, "month", ("year", "month")),
+    Job(TABLES["winter_fenology"], winter_phenology, "season"),
+)
+JOBS = {job.table.name: job for job in _JOBS}
+
+
+def publish(
+    job: Job,
+    events: DataFrame,
+    staging: str,
+    parquet: str | None = None,
+    jdbc: Callable[[DataFrame], None] | None = None,
+    months: Months | None = None,
+    **parameters,
+) -> None:
+    """Build a table and write it to a folder, to a database, or both.
+
+    Files lie in one folder per period.  With ``months`` the look-back is read, but only
+    the rows of that range are written, and only their folders are replaced; a period
+    that has no rows any more loses its folder.  The staged result is deleted at the end.
+    """
+    if months:
+        if job.period is None:
+            raise ValueError(f"{job.table.name} can only be built as a whole")
+        if jdbc:
+            raise ValueError("a period can only be replaced in files")
+    spark = events.sparkSession
+    # two columns of the table; such events have no part in any measure
+    unknown = events.where(F.col("local_start_ts").isNull() | F.col("local_end_ts").isNull()).count()
+    if unknown:
+        print(f"{job.table.name}: {unknown} events without a known start or end are left out")
+    source = job.events_for(events, months) if months else events
+    try:
+        result = job.staged(source, staging, **parameters)
+        if jdbc:
+            jdbc(result)
+        if parquet and job.period is None:
+            result.write.mode("overwrite").parquet(parquet)
+        elif parquet:
+            rows = job.with_period(result)
+            wanted = job.periods(months) if months else None
+            if months:
+                rows = rows.where(F.col("period").isin(wanted))
+            mode = "dynamic" if months else "static"
+            rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(
+                "period"
+            ).parquet(parquet)
+            if months:
+                there = {r.period for r in rows.select("period").distinct().collect()}
+                for period in set(wanted) - there:
+                    remove_folder(spark, f"{parquet}/period={period}")
+    finally:
+        remove_folder(spark, staging)
 
 
 def main(argv: list[str] | None = None) -> None:
     cli = argparse.ArgumentParser(description=__doc__)
+    # Names of the job and its options, as other jobs call them.
     cli.add_argument("job", choices=sorted(JOBS))
     cli.add_argument("--input", required=True, help="path of events_clean")
-    cli.add_argument("--months", nargs=2, metavar="YYYY-MM", help="first and last UTC month")
+    cli.add_argument(
+        "--months", nargs=2, metavar="YYYY-MM", help="replace only the rows of these local months"
+    )
     cli.add_argument("--parquet", help="write to a folder of this name under the given path")
     cli.add_argument("--jdbc-url")
     cli.add_argument("--dbtable")
@@ -84,20 +193,26 @@ def main(argv: list[str] | None = None) -> None:
     cli.add_argument("--winter-types", help="winter_fenology, comma separated")
     args = cli.parse_args(argv)
     if not (args.parquet or args.jdbc_url):
-        cli.error("give --parquet or --jdbc-url")
+        cli.error("give --parquet or --jdbc-url, or both")
+    job = JOBS[args.job]
+    if args.months and (job.period is None or args.jdbc_url):
+        cli.error("--months needs a table with periods and goes to files only")
 
     spark = build_session(f"publish_{args.job}")
-    job = JOBS[args.job]
-    months = tuple(args.months) if args.months else None
-    events = read_events(spark, args.input, months=months)
-    result = job.staged(events, shared_folder(spark, args.job), **_parameters(args))
-    if args.parquet:
-        result.write.mode("overwrite").parquet(f"{args.parquet.rstrip('/')}/{args.job}")
-    else:
-        target = JdbcTarget(
-            args.jdbc_url, args.dbtable or f"curated.{args.job}", args.dbuser, args.dbpassword
-        )
-        write_jdbc(result, target, args.jdbc_mode, [job.table.place])
+    target = JdbcTarget(
+        args.jdbc_url, args.dbtable or f"curated.{args.job}", args.dbuser, args.dbpassword
+    )
+    publish(
+        job,
+        read_events(spark, args.input),
+        shared_folder(spark, args.job),
+        f"{args.parquet.rstrip('/')}/{args.job}" if args.parquet else None,
+        (lambda rows: write_jdbc(rows, target, args.jdbc_mode, [job.table.place]))
+        if args.jdbc_url
+        else None,
+        tuple(args.months) if args.months else None,
+        **_parameters(args),
+    )
 
 
 def _parameters(args: argparse.Namespace) -> dict:

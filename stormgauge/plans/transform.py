@@ -10,7 +10,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from stormgauge.operators.cleaning import clean_events
+from stormgauge.operators.cleaning import clean_events, rejected_events
 from stormgauge.session import build_session
 from stormgauge.sinks.parquet import register_external_table, write_partitioned
 from stormgauge.sources.files import dated_path, read_raw
@@ -19,9 +19,15 @@ from stormgauge.sources.files import dated_path, read_raw
 def run(
     spark: SparkSession, run_date: str, raw_base: str, out_base: str, table: str | None = None
 ) -> str:
-    """Clean one landing folder; returns the path of the written table."""
-    target = f"{out_base.rstrip('/')}/events_clean"
-    write_partitioned(clean_events(read_raw(spark, dated_path(raw_base, run_date))), target)
+    """Clean one landing folder; returns the path of the written table.
+
+    Rows that cannot become events go to ``events_rejected``, a folder per run date.
+    """
+    base = out_base.rstrip("/")
+    target = f"{base}/events_clean"
+    raw = read_raw(spark, dated_path(raw_base, run_date))
+    rejected_events(raw).write.mode("overwrite").parquet(dated_path(f"{base}/events_rejected", run_date))
+    write_partitioned(clean_events(raw), target)
     if table:
         register_external_table(spark, table, target)
     return target

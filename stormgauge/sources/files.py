@@ -31,6 +31,8 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # a line is malformed by all its fields, also where a query needs only some
+        .option("columnPruning", False)
         .option("enforceSchema", False)
         .csv(path)
     )

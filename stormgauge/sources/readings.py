@@ -6,25 +6,40 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stormgauge.sources.schemas import CORRUPT, PAYLOAD_SCHEMA, READING_SCHEMA
+from stormgauge.streaming.kpis import attach_airports
 
 JSON_OPTIONS = {"timeZone": "UTC"}  # event times carry no zone and mean UTC
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str = "weather_raw") -> DataFrame:
-    """Streaming messages of a topic (``value`` as text), from the latest offsets on.
+def kafka_messages(
+    spark: SparkSession,
+    servers: str,
+    topic: str = "weather_raw",
+    starting: str = "latest",
+    per_trigger: int = 1_000_000,
+) -> DataFrame:
+    """Streaming messages of a topic (``value`` as text).
 
-    Needs Spark's Kafka connector package on the class path.
+    ``starting`` says where a query without a checkpoint begins, ``per_trigger`` bounds
+    the messages of a micro-batch.  Needs Spark's Kafka connector on the class path.
     """
     return (
         spark.readStream.format("kafka")
-        .options(**kafka_options(servers, topic))
+        .options(**kafka_options(servers, topic, starting, per_trigger))
         .load()
         .select(F.col("value").cast("string").alias("value"))
     )
 
 
-def kafka_options(servers: str, topic: str) -> dict[str, str]:
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "latest"}
+def kafka_options(
+    servers: str, topic: str, starting: str = "latest", per_trigger: int = 1_000_000
+) -> dict[str, str]:
+    return {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": starting,
+        "maxOffsetsPerTrigger": str(per_trigger),
+    }
 
 
 def file_messages(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -77,9 +92,9 @@ def flatten_payload(
 ) -> DataFrame:
     """Nested API responses (``airport_code``, JSON body) to flat readings.
 
-    The airport row supplies place and zone; the event time is the time of
-    observation (now, unless given).  Spark broadcasts the airport dimension only
-    while it is below its size threshold.
+    The airport row supplies place and zone, which are NULL for an airport that is
+    not listed; one row per airport counts.  The event time is the time of
+    observation (now, unless given).
     """
     current = F.from_json(F.col(body), PAYLOAD_SCHEMA)["current"]
     time = F.current_timestamp() if observed_at is None else observed_at
@@ -88,6 +103,6 @@ def flatten_payload(
     ).select("airport_code", "start_time_utc", "current.*")
     places = airports.select("airport_code", "state", "county", "timezone")
     measures = [c for c in flat.columns if c not in ("airport_code", "start_time_utc")]
-    return flat.join(places, "airport_code").select(
+    return attach_airports(flat, places).select(
         "airport_code", "state", "county", "timezone", "start_time_utc", *measures
     )

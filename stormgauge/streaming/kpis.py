@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from stormgauge.functions import weather
 from stormgauge.operators.ranking import keep_first
 
-PLACE = ("airport_code", "state", "county")
+# An airport is one key; of several places read for it one goes along, chosen by value.
+AIRPORT = ("airport_code",)
+PLACE = ("state", "county")
 
 
 def attach_airports(readings: DataFrame, airports: DataFrame) -> DataFrame:
@@ -47,10 +49,13 @@ def _windowed(
     source = readings if airports is None else attach_airports(readings, airports)
     span = F.window("start_time_utc", width, slide) if slide else F.window("start_time_utc", width)
     grouped = source.withWatermark("start_time_utc", late).groupBy(*keys, span)
-    result = grouped.agg(F.count(F.lit(1)).alias("event_count"), *measures)
-    rest = [c for c in result.columns if c not in (*keys, "window")]
+    carried = PLACE if keys == AIRPORT else ()
+    place = [F.min(F.struct(*carried)).alias("place")] if carried else []
+    result = grouped.agg(*place, F.count(F.lit(1)).alias("event_count"), *measures)
+    rest = [c for c in result.columns if c not in (*keys, "window", "place")]
     return result.select(
         *keys,
+        *[F.col(f"place.{c}").alias(c) for c in carried],
         F.col("window.start").alias(names[0]),
         F.col("window.end").alias(names[1]),
         *rest,
@@ -69,7 +74,7 @@ def tumbling_means(readings: DataFrame, airports: DataFrame | None = None) -> Da
         "pressure_mb": "avg_pressure_mb",
     }
     means = [F.avg(c).alias(name) for c, name in fields.items()]
-    return _windowed(readings, airports, PLACE, "10 minutes", "5 hours", None, means)
+    return _windowed(readings, airports, AIRPORT, "10 minutes", "5 hours", None, means)
 
 
 def sliding_kpis(readings: DataFrame, airports: DataFrame | None = None) -> DataFrame:
@@ -86,7 +91,7 @@ def sliding_kpis(readings: DataFrame, airports: DataFrame | None = None) -> Data
         F.avg("rainy").alias("rainy_rate"),
         F.avg("heat").alias("heat_stress_rate"),
     ]
-    return _windowed(flags, airports, PLACE, "15 minutes", "2 hours", "30 minutes", measures)
+    return _windowed(flags, airports, AIRPORT, "15 minutes", "2 hours", "30 minutes", measures)
 
 
 def state_volatility(readings: DataFrame, airports: DataFrame | None = None) -> DataFrame:
@@ -133,7 +138,7 @@ def radiation_kpis(readings: DataFrame, airports: DataFrame | None = None) -> Da
         F.avg("daytime").alias("daytime_rate"),
         F.avg("gti").alias("avg_gti"),
     ]
-    return _windowed(source, airports, PLACE, "15 minutes", "2 hours", "30 minutes", measures)
+    return _windowed(source, airports, AIRPORT, "15 minutes", "2 hours", "30 minutes", measures)
 
 
 def instability(readings: DataFrame, airports: DataFrame | None = None) -> DataFrame:
@@ -150,7 +155,7 @@ def instability(readings: DataFrame, airports: DataFrame | None = None) -> DataF
         F.max("gust").alias("max_gust_factor"),
         F.stddev_samp("cloud").alias("stddev_cloud"),
     ]
-    result = _windowed(source, airports, PLACE, "15 minutes", "2 hours", "30 minutes", measures)
+    result = _windowed(source, airports, AIRPORT, "15 minutes", "2 hours", "30 minutes", measures)
     score = (
         F.try_divide(F.lit(1.0), F.col("min_dewpoint_spread") + 0.1)
         + F.col("stddev_pressure_mb") / 10.0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -43,30 +43,22 @@ def start(
 
 
 def console_sink(rows: int = 20) -> BatchSink:
-    """Print the first rows of each micro-batch in full width."""
+    """Print the first ``rows`` rows of each micro-batch, and how many were left out."""
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         print(f"Batch: {epoch_id}")
-        batch.show(rows, truncate=False)
+        batch.persist()
+        try:
+            batch.show(rows, truncate=False)
+            left_out = batch.count() - rows
+        finally:
+            batch.unpersist()
+        if left_out > 0:
+            print(f"{left_out} more rows are not shown")
 
     return write
 
 
-def start_console(result: DataFrame, checkpoint: str, mode: str = "update") -> StreamingQuery:
-    """Spark's own console sink, for watching a single result."""
-    return (
-        result.writeStream.outputMode(mode)
-        .format("console")
-        .option("truncate", False)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
-
-
-def await_any(spark: SparkSession) -> None:
-    spark.streams.awaitAnyTermination()
-
-
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     for query in queries:
         query.awaitTermination()

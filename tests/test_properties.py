@@ -69,7 +69,7 @@ def sessions(events, gap, rule):
     return [tuple(x[:3]) for x in out]
 
 
-@pytest.mark.parametrize("gap", [0, 60, 3600, 7 * 3600])
+@pytest.mark.parametrize("gap", [0, 60, 299, 300, 301, 3600, 7 * 3600])
 @pytest.mark.parametrize("rule", ["max_end", "previous"])
 def test_episodes(frame, cases, gap, rule):
     found = episodes(frame, ["airport_code"], gap, rule).collect()
@@ -170,15 +170,13 @@ def test_loose_sequences(frame, cases):
     want = []
     for key, events in cases.items():
         for start in {s for kind, s, _ in events if kind == "RAIN"}:
-            at, end = start, None
-            for kind in ("COLD", "SNOW"):
-                later = [(s, e) for k, s, e in events if k == kind and s > at]
-                if not later:
-                    end = None
-                    break
-                at, end = min(later)
-            if end is not None and end - start <= 24 * 3600:
-                want.append((key, start, end))
+            ends = [
+                e
+                for kind, s, e in events
+                if kind == "SNOW" and any(k == "COLD" and start < c < s for k, c, _ in events)
+            ]
+            if ends and min(ends) - start <= 24 * 3600:
+                want.append((key, start, min(ends)))
     got = sequence_within(frame, hours=24).select(
         "county", F.unix_timestamp("seq_start_ts"), F.unix_timestamp("seq_end_ts")
     )

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stormgauge.contracts import TABLES, conform, violations
-from stormgauge.fixtures import readings as fixture_readings
+from catalogue.fixtures import readings as fixture_readings
 from stormgauge.plans import live
 from stormgauge.plans.live import LIVE_JOBS
 from stormgauge.sinks.changelog import changelog_sink, compact, dead_letter_sink, read_latest

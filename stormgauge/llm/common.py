@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # rows handed to Python at once; texts may be long, so far fewer than Spark's default
 ARROW_ROWS = 1000
+_local: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,8 +37,7 @@ def scratch(spark: SparkSession, purpose: str) -> str:
         master = spark.sparkContext.master
         if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="stormgauge-llm-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local.setdefault("base", tempfile.mkdtemp(prefix="stormgauge-llm-"))
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -62,32 +62,25 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .distinct()
     )
     edges = staged(edges, "edges")
+    before = _digest(edges)
     for _ in range(max_rounds):
+        # large star: greater neighbours move to the smallest neighbour
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
         least = least.select("a", F.least("a", "m").alias("m"))
-        # large star: greater neighbours move to the smallest neighbour
-        large = (
-            both.where("b > a")
-            .join(least, "a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a <> b")
-            .distinct()
+        large = both.where("b > a").join(least, "a").select(
+            F.col("b").alias("a"), F.col("m").alias("b")
         )
-        large = staged(large.union(least.where("m < a")).distinct(), "edges")
+        large = staged(large.union(least).where("a <> b"), "edges")
         # small star: smaller neighbours and the node itself move there as well
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(least, "a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .where("a <> b")
-            .union(least.select("a", F.col("m").alias("b")))
-            .distinct()
-        )
-        small = staged(small, "edges")
-        if _same(edges, small):
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.union(least.select("a", F.col("m").alias("b"))).where("a <> b")
+        edges = staged(small.distinct(), "edges")
+        now = _digest(edges)
+        if now == before:
             break
-        edges = small
+        before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -95,14 +88,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return nodes.union(roots)
 
 
-def _same(one: DataFrame, other: DataFrame) -> bool:
-    def digest(frame):
-        return frame.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-        ).first()
-
-    return digest(one) == digest(other)
+def _digest(edges: DataFrame):
+    return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
 
 def first_rows_per(frame: DataFrame, group: str, order: list, count: int) -> DataFrame:

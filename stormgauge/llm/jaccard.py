@@ -47,6 +47,8 @@ from stormgauge.llm.words import chunks, mix
 # documents from which a shingle counts as frequent, and the size of the bitmap of those
 FREQUENT = 8
 FREQUENT_BITS = 26
+# centres of an index entry that are compared with each other in one go
+BLOCK = 1024
 # bits of a shingle that are counted, and shingles packed together in a task
 COUNTED_BITS = 40
 COUNTED = 4_000_000
@@ -227,8 +229,9 @@ def _in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
 def index_keys(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys under which a set is indexed, and how many shingles are left from each on.
 
-    Keys are single rare shingles and pairs of frequent ones; a pair, which need not hold
-    the first shared shingle, counts the whole set as left.
+    Keys are single rare shingles and pairs of frequent ones.  A pair of sets that shares a
+    rare shingle is found by the first of them, so for pairs of frequent ones all rare
+    shingles count as not shared.
     """
     a = len(s)
     p = a - (percent * a + 99) // 100 + 1
@@ -238,7 +241,7 @@ def index_keys(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.nd
         return rare[:p], left
     common = common[: 2 * p + 2 - len(rare)]
     pairs = mix(common[:-1] * _ODD[50] + common[1:] * _ODD[51])
-    return np.concatenate((rare, pairs)), np.append(left, np.full(len(pairs), a))
+    return np.concatenate((rare, pairs)), np.append(left, np.full(len(pairs), a - len(rare)))
 
 
 def _indexed(docs: DataFrame, words: int, percent: int, bitmap: np.ndarray) -> DataFrame:
@@ -415,6 +418,92 @@ def _stars(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return staged(_close(pairs, nodes, percent), "stars")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of each run of rows with equal leading ``keys`` columns, also across batches."""
+    held: list[np.ndarray] | None = None
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if held is not None:
+            columns = [np.concatenate(pair) for pair in zip(held, columns)]
+        if not len(columns[0]):
+            continue
+        new = np.zeros(len(columns[0]), bool)
+        for c in columns[:keys]:
+            new[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(new).tolist()]
+        for begin, end in zip(cuts, cuts[1:]):
+            yield [c[begin:end] for c in columns]
+        held = [c[cuts[-1] :] for c in columns]
+    if held is not None:
+        yield held
+
+
+def _folded(bitmaps: list[bytes], size: int) -> np.ndarray:
+    rows = np.frombuffer(b"".join(bitmaps), np.uint64).reshape(len(bitmaps), -1)
+    while rows.shape[1] > size:
+        half = rows.shape[1] // 2
+        rows = rows[:, half:] ^ rows[:, :half]
+    return rows
+
+
+def least_differences(bitmaps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """:func:`least_difference` of many pairs, by the lengths of their bitmaps."""
+    words = np.array([len(b) // 8 for b in bitmaps])
+    out = np.zeros(len(i), np.int64)
+    for one in np.unique(words):
+        for other in np.unique(words):
+            own = np.flatnonzero((words[i] == one) & (words[j] == other))
+            if not len(own):
+                continue
+            size = min(one, other)
+            place = np.zeros(len(words), np.int64)
+            sides = []
+            for length, at in ((one, i), (other, j)):
+                members = np.flatnonzero(words == length)
+                place[members] = np.arange(len(members))
+                rows = _folded([bitmaps[k] for k in members], size)
+                sides.append((rows, place[at[own]]))
+            for k in range(0, len(own), 20_000):
+                (x, p), (y, q) = sides
+                apart = x[p[k : k + 20_000]] ^ y[q[k : k + 20_000]]
+                out[own[k : k + 20_000]] = np.bitwise_count(apart).sum(axis=1)
+    return out
+
+
+def _near_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of centres of one index entry that may link, or whose members may.
+
+    They belong to different components, the shingles left can hold the overlap, and the
+    parity bitmaps allow the distance.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("slack", pa.float64())])
+    limit, out, total = 1 - percent / 100 + 1e-9, [], 0
+    for _, low, high, side, a, root, size, left, own_size, reach, parity_ in _groups(batches, 3):
+        if len(a) < 2:
+            continue
+        fits = (root[:, None] != root) & (a[:, None] < a)
+        fits &= (100 + percent) * np.minimum(left[:, None], left) >= percent * (size[:, None] + size)
+        if low[0] != high[0]:
+            fits &= side[:, None] != side
+        i, j = np.nonzero(fits)
+        if not len(i):
+            continue
+        if len(i) < 8:
+            least = np.array([least_difference(parity_[x], parity_[y]) for x, y in zip(i, j)])
+        else:
+            least = least_differences(parity_, i, j)
+        least = np.maximum(least, np.abs(own_size[i] - own_size[j]))
+        slack = reach[i] + reach[j]
+        near = 2 * least <= (limit + slack) * (own_size[i] + own_size[j] + least)
+        out.append((a[i[near]], a[j[near]], slack[near]))
+        total += int(near.sum())
+        if total > 50_000:
+            yield _batch(schema, *map(np.concatenate, zip(*out)))
+            out, total = [], 0
+    if total:
+        yield _batch(schema, *map(np.concatenate, zip(*out)))
+
+
 def _between(postings, links, docs, nodes, words: int, percent: int) -> DataFrame:
     """Pairs of different first components that the triangle inequality leaves possible."""
     roots = staged(components(links.select("a", "b")), "roots")
@@ -435,24 +524,35 @@ def _between(postings, links, docs, nodes, words: int, percent: int) -> DataFram
         .agg(F.min("size").alias("size"), F.max("left").alias("left"))
     )
     entry = staged(entry, "entries")
-    mixed = entry.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    entry = entry.join(mixed.where("x <> y").select("token"), "token", "left_semi")
-    other = entry.select("token", *(F.col(c).alias(f"{c}_b") for c in ("root", "size", "left")), F.col("a").alias("b"))
-    overlap = percent * (F.col("size") + F.col("size_b"))
-    room = (100 + percent) * F.least("left", "left_b")
-    pairs = (
-        entry.join(other, "token")
-        .where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & (room >= overlap))
-        .select("a", "b")
-        .distinct()
+    mixed = entry.groupBy("token").agg(
+        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")
     )
-    for side in ("a", "b"):
-        far = reach.select(F.col("pivot").alias(side), F.col("reach").alias(f"reach_{side}"))
-        pairs = pairs.join(far, side, "left")
-    pairs = pairs.select(
-        "a", "b", (F.coalesce("reach_a", F.lit(0.0)) + F.coalesce("reach_b", F.lit(0.0))).alias("slack")
+    mixed = mixed.where("x <> y").select("token", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    entry = entry.join(mixed, "token").join(reach.withColumnRenamed("pivot", "a"), "a", "left")
+    described = nodes.select(F.col("fp").alias("a"), "parity", F.col("size").alias("own_size"))
+    entry = entry.join(described, "a")
+    # entries with very many centres are cut into blocks that meet pairwise
+    own = F.pmod(F.xxhash64("a"), "blocks")
+    met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("met")
+    entry = entry.withColumn("own", own).select("*", met)
+    entry = entry.select(
+        "token",
+        F.least("own", "met").alias("low"),
+        F.greatest("own", "met").alias("high"),
+        (F.col("own") > F.col("met")).cast("long").alias("side"),
+        "a",
+        "root",
+        "size",
+        "left",
+        F.col("own_size").cast("long").alias("own_size"),
+        F.coalesce("reach", F.lit(0.0)).alias("reach"),
+        "parity",
+    )
+    placed = entry.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
+    near = placed.mapInArrow(
+        lambda batches: _near_pairs(batches, percent), "a long, b long, slack double"
     )
-    near = staged(_close(pairs, nodes, percent), "near")
+    near = staged(near.distinct(), "near")
     # centres of more than themselves: their own distance decides which members may link
     wide = near.where("slack > 0")
     if wide.isEmpty():

@@ -67,6 +67,7 @@ def corpus(seed, n=160):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_equal_brute_force(spark, monkeypatch, seed, frequent):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
     rows = corpus(seed)
     assert found(spark, rows) == brute(rows)
 
@@ -91,7 +92,11 @@ def test_parity_never_exceeds_the_difference():
         x = np.unique(rng.integers(0, 2**63, rng.integers(1, 900), dtype=np.uint64))
         y = np.unique(np.concatenate((x[rng.random(len(x)) < 0.8], x[:3] + np.uint64(1))))
         true = len(np.setxor1d(x, y))
-        assert jaccard.least_difference(jaccard.parity(x), jaccard.parity(y)) <= true
+        bitmaps = np.array([jaccard.parity(x), jaccard.parity(y)], object)
+        least = jaccard.least_difference(*bitmaps)
+        assert least <= true
+        pair = jaccard.least_differences(bitmaps, np.array([0, 1]), np.array([1, 0]))
+        assert pair.tolist() == [least, least]
 
 
 def test_one_row_of_each_component_stays(spark):

@@ -120,9 +120,9 @@ def _core_bigrams(texts: DataFrame, core: Core) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
 
     counts = texts.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    found = counts.toPandas()
+    found = counts.toArrow()
     out = np.zeros(width * width)
-    out[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
+    out[found["pair"].to_numpy()] = found["n"].to_numpy()
     return out.reshape(width, width)
 
 
@@ -416,18 +416,17 @@ def _transitions(scored: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
 
     rows = scored.where("not held_out").select("classes").mapInArrow(count, "pair long, n long")
-    found = rows.groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    found = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(ALL * ALL)
-    out[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
+    out[found["pair"].to_numpy()] = found["n"].to_numpy()
     return out.reshape(ALL, ALL)
 
 
 def class_vocabulary(texts: DataFrame) -> DataFrame:
     """``(word, n, class)`` of all words of a column of texts, as a written table."""
     counts = staged(_count_words(texts).groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(CORE).toPandas()
-    top = top[top["n"] > 1]
-    core = Core(top["word"].to_numpy(np.int64))
+    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(CORE).toArrow()
+    core = Core(top["word"].to_numpy())
     bigrams = _core_bigrams(texts, core)
     of = exchange(bigrams)
     member = np.zeros((len(of) + 2, ALL))
@@ -439,7 +438,7 @@ def class_vocabulary(texts: DataFrame) -> DataFrame:
     gains = np.log(table[:, None, k]) + np.log(table[k].T[None, :, :]) - 2 * size[None, None, k]
     others = _step_of_others(_contexts(texts, core, of), gains.reshape(ALL * ALL, CLASSES))
     own = dict(zip(core.words.view(np.int64).tolist(), of.tolist()))
-    rows = [(w, n, own[w]) for w, n in zip(top["word"].tolist(), top["n"].tolist())]
+    rows = [(w, n, own[w]) for w, n in zip(top["word"].to_pylist(), top["n"].to_pylist())]
     frequent = texts.sparkSession.createDataFrame(rows, "word long, n long, class long")
     return staged(others.union(frequent), "vocabulary")
 
@@ -465,16 +464,17 @@ def class_scores(
         F.count("*").alias("distinct"),
         F.count_if(F.col("n") == 1).alias("once"),
         F.count_if(F.col("n") == 2).alias("twice"),
-    ).toPandas()
+    ).collect()
     texts = training.count()
     class_total = np.zeros(ALL)
-    class_total[totals["class"].to_numpy(np.int64)] = totals["n"].to_numpy(np.float64)
+    for row in totals:
+        class_total[row["class"]] = row["n"]
     model = ClassModel(
-        int(totals["n"].sum()) + texts,
-        int(totals["distinct"].sum()) + (texts > 0),
+        sum(row["n"] for row in totals) + texts,
+        sum(row["distinct"] for row in totals) + (texts > 0),
         texts,
-        int(totals["once"].sum()),
-        int(totals["twice"].sum()),
+        sum(row["once"] for row in totals),
+        sum(row["twice"] for row in totals),
         class_total,
     )
     blocked = _blocks(rows, model.tokens)

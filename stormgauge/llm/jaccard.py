@@ -216,7 +216,7 @@ def _bitmap(values: DataFrame, column: str, bits: int) -> np.ndarray:
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - bits}) & 63 as int))")
     rows = values.select(cell, bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bit"))
     out = np.zeros(1 << (bits - 6), np.uint64)
-    found = rows.toPandas()
+    found = rows.toArrow()
     out[found["cell"].to_numpy()] = found["bit"].to_numpy().view(np.uint64)
     return out
 

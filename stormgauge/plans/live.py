@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stormgauge.contracts import TABLES, Table, conform
 from stormgauge.session import build_session
 from stormgauge.sinks.changelog import changelog_sink
-from stormgauge.sinks.jdbc import JdbcTarget, statement_runner, upsert_sink
+from stormgauge.sinks.jdbc import JdbcTarget, append_sink, statement_runner, upsert_sink
 from stormgauge.sources.files import read_airports
 from stormgauge.sources.readings import (
     failed_messages,
@@ -110,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     cli.add_argument("--dbtable")
     cli.add_argument("--dbuser")
     cli.add_argument("--dbpassword")
+    cli.add_argument("--jdbc-mode", default="upsert", choices=["upsert", "append"])
     cli.add_argument("--console", action="store_true", help="also without another sink")
     cli.add_argument("--console-rows", type=int, default=20, help="rows shown of a micro-batch")
     cli.add_argument("--available-now", action="store_true", help="stop when caught up")
@@ -122,7 +123,10 @@ def main(argv: list[str] | None = None) -> None:
     sinks: list[BatchSink] = []
     if args.changelog:
         sinks.append(changelog_sink(args.changelog))
-    if args.jdbc_url:
+    if args.jdbc_url and args.jdbc_mode == "append":
+        # every version of a window, for tables without a key
+        sinks.append(append_sink(_target(args)))
+    elif args.jdbc_url:
         sinks.append(_database_sink(args, job))
     if args.console or not sinks:
         sinks.append(console_sink(args.console_rows))
@@ -145,17 +149,21 @@ def main(argv: list[str] | None = None) -> None:
     await_all([query, dead_letters])
 
 
+def _target(args: argparse.Namespace) -> JdbcTarget:
+    table = args.dbtable or f"curated.{args.job}"
+    return JdbcTarget(args.jdbc_url, table, args.dbuser, args.dbpassword)
+
+
 def _database_sink(args: argparse.Namespace, job: LiveJob) -> BatchSink:
     """Staged upsert; the driver only sends the ``MERGE`` statement."""
     import psycopg2  # optional, only for this sink
 
-    table = args.dbtable or f"curated.{args.job}"
-    target = JdbcTarget(args.jdbc_url, table, args.dbuser, args.dbpassword)
+    target = _target(args)
     dsn = args.jdbc_url.removeprefix("jdbc:")
     run = statement_runner(
         lambda: psycopg2.connect(dsn, user=args.dbuser, password=args.dbpassword)
     )
-    return upsert_sink(target, replace(target, table=f"{table}_staging"), job.table.key, run)
+    return upsert_sink(target, replace(target, table=f"{target.table}_staging"), job.table.key, run)
 
 
 if __name__ == "__main__":

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stormgauge.contracts import TABLES, Table, conform, require
+from stormgauge.functions.weather import require_vocabulary
 from stormgauge.operators.cooccurrence import cooccurrence_minutes_daily
 from stormgauge.operators.exposure import exposure_hours_daily
 from stormgauge.operators.peaks import peak_exposure_daily
@@ -50,6 +51,8 @@ class Job:
     period: str | None = None
     dated: tuple[str, ...] = ()
     history_days: int | None = None
+    #: whether types are paired, which needs a vocabulary of a bounded size
+    pairs_types: bool = False
 
     def run(self, events: DataFrame, **parameters) -> DataFrame:
         return conform(self.build(events, **parameters), self.table)
@@ -111,7 +114,14 @@ _JOBS = (
     Job(TABLES["exposure_hours_daily"], exposure_hours_daily, "month", ("event_date",), 89),
     # the longest of all time
     Job(TABLES["longest_episodes"], longest_episodes),
-    Job(TABLES["cooccurrence_minutes_daily"], cooccurrence_minutes_daily, "month", ("event_date",), 1),
+    Job(
+        TABLES["cooccurrence_minutes_daily"],
+        cooccurrence_minutes_daily,
+        "month",
+        ("event_date",),
+        1,
+        pairs_types=True,
+    ),
     Job(TABLES["peak_exposure_3h_daily"], peak_exposure_daily, "month", ("event_date",), 1),
     # the change looks at the month before
     Job(TABLES["monthly_risk_trend_by_type"], monthly_trend_by_type, "month", ("year", "month"), 31),
@@ -150,6 +160,8 @@ def publish(
     unknown = events.where(F.col("local_start_ts").isNull() | F.col("local_end_ts").isNull()).count()
     if unknown:
         print(f"{job.table.name}: {unknown} events without a known start or end are left out")
+    if job.pairs_types:
+        require_vocabulary(events)
     source = job.events_for(events, months) if months else events
     try:
         result = job.staged(source, staging, **parameters)

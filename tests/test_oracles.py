@@ -1,6 +1,8 @@
 """Every registered query against its SQL oracle."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -26,5 +28,15 @@ def test_query_matches_oracle(spark, duck, name):
     assert differences(queries()[name](spark, SF_DIR), duck, ORACLES[name]) == []
 
 
+def test_entry_point_works_without_the_optional_part():
+    code = (
+        "import sys; sys.modules['stormgauge.llm'] = None; import __spark_entry__ as e; "
+        "assert e.queries() and set(e.oracle_sql()) <= set(e.queries()); "
+        "assert not any(n.startswith('op') or n == 'pipeline' for n in e.queries())"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0

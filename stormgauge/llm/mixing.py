@@ -85,7 +85,7 @@ def rake(cells: Cells, targets: dict[str, np.ndarray], iterations: int = ITERATI
     for _ in range(iterations):
         worst = 0.0
         for margin, code in cells.codes.items():
-            now = np.bincount(code, weights=weight, minlength=len(cells.names[margin]))
+            now = np.bincount(code, weights=weight, minlength=len(cells.names[margin])).astype(float)
             goal = np.where(now > 0, targets[margin], 0)
             goal = goal / max(goal.sum(), 1e-300) * total
             factor = np.divide(goal, now, out=np.ones_like(now), where=now > 0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stormgauge.llm import balltree
 
 
-def brute(rows, k, scale=256):
+def brute(rows, k=5, scale=256):
     best = {}
     for i, v in rows:
         if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):

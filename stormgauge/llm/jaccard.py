@@ -20,10 +20,9 @@ with ``r`` shingles left in the order is worth a look only if ``r`` can hold the
 Verification.  Every index entry gives stars around its smallest set only.  Parity bitmaps
 bound the difference of two sets from below and drop most pairs; the rest are compared
 shingle by shingle.  Linked stars give first components.  What is left are pairs in one
-index entry but in different components: their star centres are compared, and by the
-triangle inequality of the Jaccard distance only members of centres that lie close enough
-are compared themselves.  So a group of copies costs one comparison per copy and index
-entry, yet no link between different texts is lost.
+index entry but in different components: they meet in blocks within tasks, and only pairs
+that the bitmaps allow leave a task and are compared.  So a group of copies costs one
+comparison per copy and index entry, yet no link between different texts is lost.
 
 Null, empty and blank texts have no shingles, link with nothing and are their own
 component.  Very long texts are used whole; memory grows with the longest text.  Repeated
@@ -47,7 +46,7 @@ from stormgauge.llm.words import chunks, mix
 # documents from which a shingle counts as frequent, and the size of the bitmap of those
 FREQUENT = 8
 FREQUENT_BITS = 26
-# centres of an index entry that are compared with each other in one go
+# nodes of an index entry that are compared with each other in one go
 BLOCK = 1024
 # bits of a shingle that are counted, and shingles packed together in a task
 COUNTED_BITS = 40
@@ -335,18 +334,17 @@ def _postings(indexed: DataFrame, percent: int) -> DataFrame:
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b, slack)`` whose parity bitmaps allow a distance of ``1 - t + slack``."""
+    """Pairs ``(a, b)`` whose sizes and parity bitmaps allow a link."""
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limit = 1 - percent / 100 + 1e-9
         for batch in batches:
-            _, _, slack, p, q, m, n = (c.to_pylist() for c in batch.columns)
+            p, q, m, n = (c.to_pylist() for c in batch.columns[2:])
             kept = []
-            for more, x, y, a, b in zip(slack, p, q, m, n):
+            for x, y, a, b in zip(p, q, m, n):
                 # the sizes alone differ by as much, too
                 least = max(least_difference(x, y), abs(a - b))
-                kept.append(2 * least <= (limit + more) * (a + b + least))
-            yield batch.select([0, 1, 2]).filter(pa.array(kept, pa.bool_()))
+                kept.append(100 * (a + b - least) >= percent * (a + b + least))
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
     one = nodes.select(
         F.col("fp").alias("a"), F.col("parity").alias("p"), F.col("size").alias("m")
@@ -354,12 +352,12 @@ def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     other = nodes.select(
         F.col("fp").alias("b"), F.col("parity").alias("q"), F.col("size").alias("n")
     )
-    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "slack", "p", "q", "m", "n")
-    return joined.mapInArrow(close, "a long, b long, slack double")
+    joined = pairs.join(one, "a").join(other, "b").select("a", "b", "p", "q", "m", "n")
+    return joined.mapInArrow(close, "a long, b long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int):
-    """Pairs ``(a, b, distance)`` whose distance is within ``1 - t`` (and their ``slack``).
+    """Links ``(a, b)`` among pairs, by comparing whole sets.
 
     The texts of the nodes in question are picked by a bitmap whose size follows their
     number up to a bound, so that other texts are not moved; a wrong hit is left out when
@@ -392,29 +390,25 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, p
     sets = staged(sets.withColumn("_k", rank).where("_k = 1").drop("_k"), "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.float64())])
         for batch in batches:
-            a, b, slack, x, y = (c.to_pylist() for c in batch.columns)
-            out: list[list] = [[], [], []]
-            for i, j, more, s, t in zip(a, b, slack, x, y):
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            kept = []
+            for s, t in zip(x, y):
                 s, t = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
                 common = len(np.intersect1d(s, t, assume_unique=True))
                 union = len(s) + len(t) - common
-                near = 100 * common >= percent * union
-                if near or more and 1 - common / union <= 1 - percent / 100 + more + 1e-9:
-                    for column, value in zip(out, (i, j, 1 - common / union)):
-                        column.append(value)
-            yield _batch(schema, *out)
+                kept.append(100 * common >= percent * union)
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
     one = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x"))
     other = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
-    joined = pairs.join(other, "b").join(one, "a").select("a", "b", "slack", "x", "y")
-    return staged(joined.mapInArrow(compare, "a long, b long, distance double"), "links")
+    joined = pairs.join(other, "b").join(one, "a").select("a", "b", "x", "y")
+    return staged(joined.mapInArrow(compare, "a long, b long"), "links")
 
 
 def _stars(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     pairs = postings.where("centre <> fp").select(F.col("centre").alias("a"), F.col("fp").alias("b"))
-    pairs = pairs.distinct().withColumn("slack", F.lit(0.0))
+    pairs = pairs.distinct()
     return staged(_close(pairs, nodes, percent), "stars")
 
 
@@ -471,20 +465,19 @@ def least_differences(bitmaps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.n
 
 
 def _near_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of centres of one index entry that may link, or whose members may.
+    """Pairs of nodes of one index entry that may link, each once per task.
 
     They belong to different components, the shingles left can hold the overlap, and the
-    parity bitmaps allow the distance.
+    parity bitmaps allow the distance.  A cell is one block of nodes, or two that meet.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("slack", pa.float64())])
-    limit, out, total = 1 - percent / 100 + 1e-9, [], 0
-    for _, low, high, side, a, root, size, left, own_size, reach, parity_ in _groups(batches, 3):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    seen: set[tuple[int, int]] = set()
+    for _, _, _, met, side, a, root, size, left, parity_ in _groups(batches, 4):
         if len(a) < 2:
             continue
-        fits = (root[:, None] != root) & (a[:, None] < a)
+        fits = root[:, None] != root
+        fits &= (side[:, None] < side) if met[0] else (a[:, None] < a)
         fits &= (100 + percent) * np.minimum(left[:, None], left) >= percent * (size[:, None] + size)
-        if low[0] != high[0]:
-            fits &= side[:, None] != side
         i, j = np.nonzero(fits)
         if not len(i):
             continue
@@ -492,89 +485,64 @@ def _near_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
             least = np.array([least_difference(parity_[x], parity_[y]) for x, y in zip(i, j)])
         else:
             least = least_differences(parity_, i, j)
-        least = np.maximum(least, np.abs(own_size[i] - own_size[j]))
-        slack = reach[i] + reach[j]
-        near = 2 * least <= (limit + slack) * (own_size[i] + own_size[j] + least)
-        out.append((a[i[near]], a[j[near]], slack[near]))
-        total += int(near.sum())
-        if total > 50_000:
-            yield _batch(schema, *map(np.concatenate, zip(*out)))
-            out, total = [], 0
-    if total:
-        yield _batch(schema, *map(np.concatenate, zip(*out)))
-
-
-def _between(postings, links, docs, nodes, words: int, percent: int) -> DataFrame:
-    """Pairs of different first components that the triangle inequality leaves possible."""
-    roots = staged(components(links.select("a", "b")), "roots")
-    least = links.groupBy(F.col("b").alias("node")).agg(
-        F.min(F.struct("a", "distance")).alias("least")
-    )
-    least = least.select("node", F.col("least.a").alias("pivot"), F.col("least.distance").alias("d"))
-    members = roots.join(least, "node", "left").select(
-        "node", "root", F.coalesce("pivot", "node").alias("pivot"), F.coalesce("d", F.lit(0.0)).alias("d")
-    )
-    members = staged(members, "members")
-    reach = members.groupBy("pivot").agg(F.max("d").alias("reach"))
-    # an entry's nodes by centre; entries within one component are done
-    entry = (
-        postings.select("token", F.col("fp").alias("node"), "size", "left")
-        .join(members.select("node", "root", "pivot"), "node", "left")
-        .groupBy("token", F.coalesce("root", "node").alias("root"), F.coalesce("pivot", "node").alias("a"))
-        .agg(F.min("size").alias("size"), F.max("left").alias("left"))
-    )
-    entry = staged(entry, "entries")
-    mixed = entry.groupBy("token").agg(
-        F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n")
-    )
-    mixed = mixed.where("x <> y").select("token", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    entry = entry.join(mixed, "token").join(reach.withColumnRenamed("pivot", "a"), "a", "left")
-    described = nodes.select(F.col("fp").alias("a"), "parity", F.col("size").alias("own_size"))
-    entry = entry.join(described, "a")
-    # entries with very many centres are cut into blocks that meet pairwise
-    own = F.pmod(F.xxhash64("a"), "blocks")
-    met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("met")
-    entry = entry.withColumn("own", own).select("*", met)
-    entry = entry.select(
-        "token",
-        F.least("own", "met").alias("low"),
-        F.greatest("own", "met").alias("high"),
-        (F.col("own") > F.col("met")).cast("long").alias("side"),
-        "a",
-        "root",
-        "size",
-        "left",
-        F.col("own_size").cast("long").alias("own_size"),
-        F.coalesce("reach", F.lit(0.0)).alias("reach"),
-        "parity",
+        least = np.maximum(least, np.abs(size[i] - size[j]))
+        total = size[i] + size[j]
+        near = 100 * (total - least) >= percent * (total + least)
+        x, y = a[i[near]], a[j[near]]
+        found = set(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist())) - seen
+        if found:
+            if len(seen) > 500_000:
+                seen.clear()
+            seen |= found
+            yield _batch(schema, *zip(*found))
+
+
+def _between(postings, links, nodes, percent: int) -> DataFrame:
+    """Pairs of different first components that share an index entry and may link.
+
+    Entries of two nodes are done by their star, and so are those within one component.
+    In others the nodes of the component that has most of them only meet nodes of the
+    rest, and both meet in blocks, so a large group costs rows in proportion to its size.
+    """
+    roots = components(links.select("a", "b"))
+    entry = postings.select("token", F.col("fp").alias("node"), "size", "left").join(roots, "node", "left")
+    entry = staged(entry.select("token", "node", "size", "left", F.coalesce("root", "node").alias("root")), "entries")
+    held = entry.groupBy("token", "root").agg(F.count("*").alias("n"))
+    mixed = held.groupBy("token").agg(
+        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")
     )
-    placed = entry.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-    near = placed.mapInArrow(
-        lambda batches: _near_pairs(batches, percent), "a long, b long, slack double"
+    blocks = {
+        "main": F.col("most.root"),
+        "large": F.ceil(F.col("most.n") / BLOCK),
+        "small": F.ceil((F.col("n") - F.col("most.n")) / BLOCK),
+    }
+    mixed = mixed.where("roots > 1 and n > 2").select("token", *(c.alias(k) for k, c in blocks.items()))
+    entry = entry.join(mixed, "token")
+    entry = entry.join(nodes.select(F.col("fp").alias("node"), "parity"), "node")
+    is_main = F.col("root") == F.col("main")
+    own = F.pmod(F.xxhash64("node"), F.when(is_main, F.col("large")).otherwise(F.col("small")))
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def cell(low, high, met, side):
+        return F.struct(low.alias("low"), high.alias("high"), met.alias("met"), side.alias("side"))
+
+    def every(count):
+        return F.sequence(zero, F.col(count) - 1)
+
+    # nodes of the main component meet each block of the others; those meet each other, too
+    to_small = F.transform(every("small"), lambda k: cell(own, -1 - k, one, zero))
+    to_large = F.transform(every("large"), lambda k: cell(k, -1 - own, one, one))
+    among = F.transform(
+        every("small"),
+        lambda k: cell(F.least(own, k), F.greatest(own, k), (own != k).cast("long"), (own > k).cast("long")),
     )
-    near = staged(near.distinct(), "near")
-    # centres of more than themselves: their own distance decides which members may link
-    wide = near.where("slack > 0")
-    if wide.isEmpty():
-        return near
-    apart = _verified(wide, docs, nodes, words, percent)
-    held = members.select("pivot", "node", "d")
-    for side in ("a", "b"):
-        of = held.select(F.col("pivot").alias(side), F.col("node").alias(f"node_{side}"), F.col("d").alias(f"d_{side}"))
-        # a node that links with nothing is its own centre
-        alone = apart.select(side).distinct().join(of, side, "left_anti")
-        of = of.union(alone.select(side, F.col(side), F.lit(0.0)))
-        room = 1 - percent / 100 + 1e-9 + F.col(f"d_{side}")
-        if side == "b":
-            room += F.col("d_a")
-            apart = apart.join(of, (apart[side] == of[side]) & (F.col("distance") <= room)).drop(of[side])
-        else:
-            far = reach.select(F.col("pivot").alias("b"), "reach")
-            apart = apart.join(far, "b", "left").withColumn("reach", F.coalesce("reach", F.lit(0.0)))
-            apart = apart.join(of, side).where(F.col("distance") <= room + F.col("reach"))
-    pairs = apart.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.lit(0.0).alias("slack"))
-    pairs = _close(pairs.distinct(), nodes, percent).union(near.where("slack = 0"))
-    return staged(pairs.distinct(), "between")
+    cells = F.when(is_main, to_small).otherwise(F.concat(to_large, among))
+    keys = ("token", "low", "high", "met")
+    placed = entry.select("token", "node", "root", "size", "left", "parity", F.inline(cells))
+    placed = placed.select(*keys, "side", "node", "root", "size", "left", "parity")
+    placed = placed.repartition(*keys).sortWithinPartitions(*keys)
+    near = placed.mapInArrow(lambda batches: _near_pairs(batches, percent), "a long, b long")
+    return staged(near.distinct(), "between")
 
 
 def jaccard_components(
@@ -614,7 +582,7 @@ def jaccard_components(
     postings = _postings(_indexed(docs, words, percent, bitmap), percent)
     stars = _stars(postings, nodes, percent)
     links = _verified(stars, docs, nodes, words, percent)
-    more = _between(postings, links, docs, nodes, words, percent)
+    more = _between(postings, links, nodes, percent)
     if not more.isEmpty():
         links = links.union(_verified(more, docs, nodes, words, percent))
     roots = components(links.select("a", "b"))

@@ -5,17 +5,22 @@ text) belong to classes, and
 
     P(word | word before) = P(class | class before) * P(word | class).
 
-Exchange clustering gives the classes: the most frequent words are moved between classes
-as long as the likelihood of the class bigrams grows, in numpy on the counts of their
-bigrams; then every other word makes its exchange step, in parallel, against those classes
-and the contexts of all its occurrences.  Words seen once share a class with words never
-seen, as one occurrence says little about either.  Transitions are smoothed with the class
-frequencies, and the class of rare words splits its mass as Good and Turing would, so the
-probabilities over known words, the unknown word and the end sum to one.
+Exchange clustering gives the classes.  It starts from the most frequent words, which are
+moved between classes as long as the likelihood of the class bigrams grows, in numpy on the
+counts of their bigrams.  Then come exchange passes over all words seen more than once, which
+go, in parallel, where the contexts of all their occurrences fit best, the words around them
+standing for their classes of the pass before.  The first pass moves all words (one only met
+between words without a class goes to a class by hash), each later one a half drawn by hash.  The passes end when few words move, or when the likelihood no longer
+grows, of which parallel steps give no guarantee.
+Words seen once share a class with words never seen, as one occurrence says little about
+either.  Transitions are smoothed with the class frequencies, and the class of rare words
+splits its mass as Good and Turing would, so the probabilities over known words, the unknown
+word and the end sum to one.
 
 Counts, contexts and transitions cover all training rows.  The vocabulary is a table, never
-a broadcast: texts meet the part of it they need by blocks of neighbouring ids, each of
-which asks for its distinct words once.  Words are named by 64-bit hashes.
+a broadcast: texts are coded once, in blocks as the tasks read them, as numbers of the
+block's distinct words, and a block asks for the classes of those.  Words are named by
+64-bit hashes.
 
 Null texts count as empty and consist of the end alone.  Very long texts are scored whole.
 Rows without id are scored like others; repeated rows get the same score.  Without training
@@ -29,47 +34,108 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormgauge.llm.common import small_batches, staged
+from stormgauge.llm.common import discard, small_batches, staged
 from stormgauge.llm.words import chunks
 
 CLASSES = 64
 # further classes: words seen once or never, and the end of a text
 ONCE, END = CLASSES, CLASSES + 1
 ALL = CLASSES + 2
-# most frequent words, which are clustered with each other first
+# most frequent words, whose classes the passes over all words start from, and their passes
 CORE = 2000
 PASSES = 4
-# words counted together in a task, and words of a block of texts
-COUNTED = 2_000_000
+# passes over all words end when a smaller share of them moves
+FEW = 0.01
+# words of a block of texts
 BLOCK_WORDS = 4_000_000
+# a word met so often in a block sends counts by class instead of its contexts
+OFTEN = 256
+# gains are whole multiples of 1 / UNIT, so that their sums do not depend on the order
+UNIT = 4096
 # weight of the class frequencies in a transition
 SMOOTHING = 20.0
 
 
-def _count_words(texts: DataFrame) -> DataFrame:
-    """``(word, n)`` partial counts of each task."""
+_CODED = (
+    ("block", pa.int64()),
+    ("doc_id", pa.int64()),
+    ("held_out", pa.bool_()),
+    ("ids", pa.binary()),
+    ("local", pa.int32()),
+    ("word", pa.int64()),
+    ("n", pa.int64()),
+)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for _, _, words in chunks(batch.column(0)):
-                held.append(words.hash)
-                size += len(words.hash)
-                if size > COUNTED:
-                    yield _counts(held)
-                    held, size = [], 0
-        if size:
-            yield _counts(held)
 
-    return texts.mapInArrow(count, "word long, n long")
+def _batch(schema: tuple, **columns) -> pa.RecordBatch:
+    """A record batch of the given columns; those not given are null."""
+    rows = len(next(iter(columns.values())))
+    made = [
+        pa.nulls(rows, t) if (c := columns.get(name)) is None else c if isinstance(c, pa.Array) else pa.array(c, t)
+        for name, t in schema
+    ]
+    return pa.RecordBatch.from_arrays(made, [name for name, _ in schema])
 
 
-def _counts(held: list[np.ndarray]) -> pa.RecordBatch:
-    word, n = np.unique(np.concatenate(held), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary column of runs of ``values``, which end where ``ends`` says."""
+    offsets = (np.concatenate(([0], ends)) * values.itemsize).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), buffers).cast(pa.binary())
+
+
+def _unpacked(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column one after the other, and where each row begins."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    if not len(column):
+        return np.zeros(0, dtype), np.zeros(1, np.int64)
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    body = column.buffers()[2]
+    data = np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]] if body else np.zeros(0, np.uint8)
+    return data.view(dtype), (offsets - offsets[0]) // np.dtype(dtype).itemsize
+
+
+def _coded(rows: DataFrame) -> DataFrame:
+    """Texts as numbers of words within blocks: a row per text with its ``ids``, and a row
+    per distinct word of a block with its number, hash and count in training texts."""
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 24
+        held: list[tuple] = []
+        size = 0
+
+        def written():
+            doc_id, held_out = (pa.concat_arrays([h[k] for h in held]) for k in (0, 1))
+            per_text = np.concatenate([h[2] for h in held])
+            word, ids = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
+            trained = np.repeat(~held_out.to_numpy(zero_copy_only=False), per_text)
+            n = np.bincount(ids[trained], minlength=len(word))
+            texts, numbers = np.full(len(per_text), block), np.arange(len(word), dtype=np.int32)
+            ids = _packed(ids.astype(np.int32), np.cumsum(per_text))
+            yield _batch(_CODED, block=texts, doc_id=doc_id, held_out=held_out, ids=ids)
+            yield _batch(_CODED, block=np.full(len(word), block), local=numbers, word=word.view(np.int64), n=n)
+
+        for batch in batches:
+            for row, count, words in chunks(batch.column(2)):
+                part = batch.slice(row, count)
+                held.append((part.column(0), part.column(1), words.per_text, words.hash))
+                size += len(words.hash)
+                if size > BLOCK_WORDS:
+                    yield from written()
+                    block, held, size = block + 1, [], 0
+        if held:
+            yield from written()
+
+    made = rows.select("doc_id", "held_out", "text").mapInArrow(
+        code, "block long, doc_id long, held_out boolean, ids binary, local int, word long, n long"
+    )
+    return staged(made, "coded-texts")
 
 
 class Core:
@@ -177,107 +243,225 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, passes: int = PASSES)
     return of[:n]
 
 
-def _contexts(texts: DataFrame, core: Core, of: np.ndarray) -> DataFrame:
-    """``(word, contexts)`` of words outside the core: classes before and after, packed."""
+_CONTEXTS = (
+    ("block", pa.int64()),
+    ("local", pa.int32()),
+    ("word", pa.int64()),
+    ("class", pa.int64()),
+    ("contexts", pa.binary()),
+    ("counts", pa.binary()),
+    ("known", pa.int64()),
+    ("pair", pa.int64()),
+    ("n", pa.int64()),
+)
 
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [[], []], 0
 
-        def packed():
-            word, code = np.concatenate(held[0]), np.concatenate(held[1]).astype(np.uint16)
-            order = np.argsort(word, kind="stable")
-            word, code = word[order], code[order]
-            start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            offsets = (np.append(start, len(word)) * 2).astype(np.int32)
-            codes = pa.Array.from_buffers(
-                pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(code)]
-            )
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word[start].view(np.int64)), codes], ["word", "contexts"]
-            )
+def _block_contexts(texts: pa.Table, state: pa.Table) -> pa.Table:
+    """Contexts, by class, of a block's words whose turn it is; its counts of neighbouring classes.
 
-        for batch in batches:
-            for _, _, words in chunks(batch.column(0)):
-                ids = core.find(words.hash, of, ONCE)
-                code = _before(ids, words.first, END) * ALL + _after(ids, words.first, END)
-                outer = ids == ONCE
-                held[0].append(words.hash[outer])
-                held[1].append(code[outer])
-                size += int(outer.sum())
-                if size > COUNTED:
-                    yield packed()
-                    held, size = [[], []], 0
-        if size:
-            yield packed()
-
-    return texts.mapInArrow(collect, "word long, contexts binary")
-
-
-def _step_of_others(contexts: DataFrame, gains: np.ndarray) -> DataFrame:
-    """``(word, n, class)`` of words outside the core, each by its own exchange step.
-
-    Sorted by word, a task adds up the gains of a word's contexts; it keeps one row of sums
-    for the word that goes on in the next batch.
+    Contexts are coded as pairs (before, after); a word met often has its counts of classes
+    before and after instead.
+    """
+    schema = pa.schema(_CONTEXTS)
+    if not texts.num_rows:
+        return schema.empty_table()
+    ids, first = _unpacked(texts.column("ids"), np.int32)
+    local, of, turn = (state.column(c).to_numpy() for c in ("local", "class", "turn"))
+    classes = np.full(max(ids.max(initial=-1), local.max(initial=-1)) + 1, ONCE, np.int64)
+    classes[local] = of
+    # place of a word among the words whose turn it is
+    local, of = local[turn], of[turn]
+    place = np.full(len(classes), -1, np.int32)
+    place[local] = np.arange(len(local), dtype=np.int32)
+    here = classes[ids]
+    before, after = _before(here, first, END), _after(here, first, END)
+    empty = first[1:] == first[:-1]
+    pairs = np.bincount(before * ALL + here, minlength=ALL * ALL)
+    last = here[first[1:][~empty] - 1]
+    pairs += np.bincount(last * ALL + END, minlength=ALL * ALL)
+    pairs[END * ALL + END] += int(empty.sum())
+    some = np.flatnonzero(pairs)
+    out = [_batch(_CONTEXTS, block=_block_of(texts, len(some)), pair=some, n=pairs[some])]
+    at = place[ids]
+    turned = at >= 0
+    n = np.bincount(at[turned], minlength=len(local))
+    # neighbours that have a class
+    known = (before < CLASSES).astype(np.int8) + (after < CLASSES)
+    known = np.bincount(at[turned], weights=known[turned], minlength=len(local)).astype(np.int64)
+    word, block = state.column("word").to_numpy()[turn], _block_of(texts, len(local))
+
+    def shown(rows, **column):
+        common = {"block": block[rows], "local": local[rows], "word": word[rows], "class": of[rows], "known": known[rows]}
+        out.append(_batch(_CONTEXTS, **common, **column))
+
+    often = np.flatnonzero(n > OFTEN)
+    rank = np.full(len(local) + 1, -1)
+    rank[often] = np.arange(len(often))
+    ranked = rank[at]
+    dense = ranked >= 0
+    counts = np.zeros((len(often), 2, ALL), np.int32)
+    for side, value in enumerate((before, after)):
+        met = np.bincount(ranked[dense] * ALL + value[dense], minlength=len(often) * ALL)
+        counts[:, side] = met.reshape(len(often), ALL)
+    shown(often, counts=_packed(counts.ravel(), np.arange(1, len(often) + 1) * 2 * ALL))
+    rest = np.flatnonzero(turned & ~dense)
+    rest = rest[np.argsort(at[rest], kind="stable")]
+    seldom = np.flatnonzero((n > 0) & (n <= OFTEN))
+    code = (before[rest] * ALL + after[rest]).astype(np.uint16)
+    shown(seldom, contexts=_packed(code, np.cumsum(n[seldom])))
+    return pa.Table.from_batches(out, schema)
+
+
+def _block_of(texts: pa.Table, rows: int) -> np.ndarray:
+    return np.full(rows, texts.column("block")[0].as_py())
+
+
+def _gains(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gain of a word in each class: by class before and after, and by pairs of both."""
+    table = table + 0.5
+    size = np.log(table.sum(axis=1))
+    k = np.arange(CLASSES)
+    before = np.rint(UNIT * (np.log(table[:, k]) - size[k]))
+    after = np.rint(UNIT * (np.log(table[k].T) - size[k]))
+    pairs = (before[:, None, :] + after[None, :, :]).reshape(ALL * ALL, CLASSES)
+    return np.concatenate((before, after)), pairs.astype(np.int32)
+
+
+_STATE = (
+    ("block", pa.int64()),
+    ("local", pa.int32()),
+    ("word", pa.int64()),
+    ("class", pa.int64()),
+    ("first", pa.bool_()),
+    ("moved", pa.bool_()),
+)
+
+
+def _step(contexts: DataFrame, table: np.ndarray) -> DataFrame:
+    """The state of the words of ``contexts`` after each has gone to its best class.
+
+    Sorted by word, a task adds up the gains over a word's blocks; the rows of the last word
+    of a batch wait for the next one.
     """
-    shared = contexts.sparkSession.sparkContext.broadcast(gains.astype(np.float32))
+    shared = contexts.sparkSession.sparkContext.broadcast(_gains(table))
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gains, held = shared.value, None
+        sides, pairs = shared.value
+        held: list[tuple] = []
 
-        def result(word, n, total):
-            chosen = np.where(n > 1, total.argmax(axis=1), ONCE)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word), pa.array(n), pa.array(chosen)], ["word", "n", "class"]
+        def chosen(block, local, word, of, known, total):
+            start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            total, known = np.add.reduceat(total, start, axis=0), np.add.reduceat(known, start)
+            best = total.argmax(axis=1)
+            # words only met between words without a class are spread, or they stayed together
+            alike = (known == 0) & (of[start] == ONCE)
+            best = np.where(alike, (word[start].view(np.uint64) % np.uint64(CLASSES)).astype(np.int64), best)
+            # of equal gains the class of before
+            own = of[start]
+            same = (own < CLASSES) & (total[np.arange(len(start)), np.minimum(own, CLASSES - 1)] == total.max(axis=1))
+            best = np.where(same, own, best)
+            rows = np.diff(np.append(start, len(word)))
+            first = np.zeros(len(word), bool)
+            first[start] = True
+            new = np.repeat(best, rows)
+            return _batch(
+                _STATE, **{"block": block, "local": local, "word": word, "class": new}, first=first, moved=new != of
             )
 
         for batch in batches:
             for i in range(0, batch.num_rows, 20_000):
                 part = batch.slice(i, 20_000)
-                word = part.column(0).to_numpy(zero_copy_only=False)
-                raw = part.column(1).cast(pa.large_binary())
-                offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
-                code = np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint16)
-                n = np.diff(offsets) // 2
-                total = _summed(gains, code, n)
-                start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-                word, n = word[start], np.add.reduceat(n, start)
-                total = np.add.reduceat(total, start, axis=0)
-                if held is not None:
-                    if held[0][0] == word[0]:
-                        n[0] += held[1][0]
-                        total[0] += held[2][0]
-                    else:
-                        yield result(*held)
-                held = word[-1:], n[-1:], total[-1:]
-                if len(word) > 1:
-                    yield result(word[:-1], n[:-1], total[:-1])
-        if held is not None:
-            yield result(*held)
-
-    placed = contexts.repartition("word").sortWithinPartitions("word")
-    return placed.mapInArrow(step, "word long, n long, class long")
-
-
-def _summed(gains: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sum of the gains of each word's contexts, some contexts at a time."""
-    out = np.zeros((len(n), gains.shape[1]))
-    ends = np.cumsum(n)
-    row, step = 0, 100_000
-    while row < len(n):
-        done = int(ends[row - 1]) if row else 0
-        last = max(row + 1, int(np.searchsorted(ends, done + step, "right")))
-        if n[row] > step:
-            # a word with very many contexts: count them first
-            own = np.bincount(code[done : ends[row]], minlength=len(gains))
-            out[row] = own @ gains
-            row += 1
-            continue
-        part = gains[code[done : ends[last - 1]]]
-        out[row:last] = np.add.reduceat(part, ends[row:last] - n[row:last] - done, axis=0)
+                block, local, word, of, known = (part.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+                held.append((block, local, word, of, known, _summed(sides, pairs, part.column(5), part.column(6))))
+                if held[0][2][0] == word[-1]:
+                    continue
+                columns = [np.concatenate(c) for c in zip(*held)]
+                cut = int(np.searchsorted(columns[2], word[-1]))
+                yield chosen(*(c[:cut] for c in columns))
+                held = [tuple(c[cut:] for c in columns)]
+        if held:
+            yield chosen(*(np.concatenate(c) for c in zip(*held)))
+
+    placed = contexts.where("word is not null").select(
+        "block", "local", "word", "class", "known", "contexts", "counts"
+    )
+    placed = placed.repartition("word").sortWithinPartitions("word")
+    return placed.mapInArrow(
+        step, "block long, local int, word long, class long, first boolean, moved boolean"
+    )
+
+
+def _summed(sides: np.ndarray, pairs: np.ndarray, contexts: pa.Array, counts: pa.Array) -> np.ndarray:
+    """Sum of the gains of each row's contexts, some contexts at a time."""
+    out = np.zeros((len(contexts), CLASSES), np.int64)
+    often = counts.is_valid().to_numpy(zero_copy_only=False)
+    met, _ = _unpacked(counts.drop_null(), np.int32)
+    out[often] = met.reshape(-1, 2 * ALL).astype(float) @ sides
+    code, first = _unpacked(contexts.drop_null(), np.uint16)
+    seldom, row = np.flatnonzero(~often), 0
+    while row < len(seldom):
+        last = max(row + 1, int(np.searchsorted(first, first[row] + 100_000, "right")) - 1)
+        part = pairs[code[first[row] : first[last]]]
+        out[seldom[row:last]] = np.add.reduceat(part, first[row:last] - first[row], axis=0)
         row = last
     return out
 
 
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of class bigrams with these counts, given the words."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(axis=0)).sum() - _xlogx(table.sum(axis=1)).sum())
+
+
+def _counted(pairs: DataFrame) -> np.ndarray:
+    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(ALL * ALL)
+    out[found["pair"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(ALL, ALL)
+
+
+def exchange_all(texts: DataFrame, state: DataFrame) -> DataFrame:
+    """``state`` after exchange passes over all its words.
+
+    ``texts`` has the coded texts of blocks, ``state`` the class of each word of a block.
+    """
+    best, number = None, 0
+    while True:
+        # words that stand beside each other would change places for ever, did they not take turns
+        turn = F.lit(True) if not number else F.pmod(F.xxhash64("word", F.lit(number)), F.lit(2)) == 0
+        asked = state.select("block", "local", "word", "class", turn.alias("turn"))
+        contexts = staged(
+            texts.groupBy("block")
+            .cogroup(asked.groupBy("block"))
+            .applyInArrow(
+                _block_contexts,
+                "block long, local int, word long, class long, contexts binary, counts binary, "
+                "known long, pair long, n long",
+            ),
+            "contexts",
+        )
+        table = _counted(contexts.where("word is null").select("pair", "n"))
+        reached = likelihood(table)
+        # before the first pass words outside the core have no class to keep
+        if number > 1 and reached <= best[0]:
+            discard(contexts)
+            discard(state)
+            return best[1]
+        if number:
+            discard(best[1])
+        best = reached, state
+        made = _step(contexts, table).withColumn("stepped", F.lit(True))
+        if number:
+            rest = state.where(~turn).withColumns({"moved": F.lit(False), "stepped": F.lit(False)})
+            made = made.union(rest)
+        state = staged(made, "classes")
+        discard(contexts)
+        words, moved = state.where("first and stepped").agg(F.count("*"), F.count_if("moved")).first()
+        if moved <= FEW * words:
+            discard(best[1])
+            return state
+        number += 1
+
+
 @dataclass
 class ClassModel:
     """What scoring needs besides the vocabulary: totals, emissions and transitions."""
@@ -312,52 +496,6 @@ class ClassModel:
         return self
 
 
-def _blocks(rows: DataFrame, words: int) -> DataFrame:
-    """Rows with a ``block``: ranges of ids of similar width, wide ones split by content."""
-    low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
-    n = max(1, -(-words // BLOCK_WORDS))
-    span = 1.0 + (high or 0) - (low or 0)
-    at = F.floor((F.col("doc_id") - F.lit(low or 0)) / F.lit(span) * n)
-    rows = rows.withColumn("part", F.coalesce(at, F.lit(-1)).cast("long"))
-    # eight bytes a word or more is a large block
-    sizes = rows.groupBy("part").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
-    pieces = F.ceil(F.col("bytes") / (16 * BLOCK_WORDS)).cast("long")
-    large = staged(sizes.select("part", pieces.alias("pieces")).where("pieces > 1"), "large-blocks")
-    rows = rows.join(large, "part", "left")
-    piece = F.pmod(F.xxhash64("doc_id", "text"), F.coalesce("pieces", F.lit(1)))
-    return rows.withColumn("block", F.xxhash64("part", piece))
-
-
-def _asked(blocked: DataFrame) -> DataFrame:
-    """``(block, word)``: the distinct words of each block, once per task."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
-        size = 0
-
-        def distinct():
-            for block, parts in held.items():
-                word = np.unique(np.concatenate(parts)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(word), block)), pa.array(word)], ["block", "word"]
-                )
-
-        for batch in batches:
-            blocks = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, count, words in chunks(batch.column(1)):
-                of = np.repeat(blocks[row : row + count], words.per_text)
-                for block in np.unique(of).tolist():
-                    held.setdefault(block, []).append(np.unique(words.hash[of == block]))
-                size += len(words.hash)
-                if size > 2 * COUNTED:
-                    yield from distinct()
-                    held, size = {}, 0
-        yield from distinct()
-
-    asked = blocked.select("block", "text").mapInArrow(ask, "block long, word long")
-    return asked.groupBy("block", "word").agg(F.lit(1).alias("_"))
-
-
 _SCORED = pa.schema(
     [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64())]
     + [("base_score", pa.float64()), ("emission", pa.float64()), ("classes", pa.binary())]
@@ -366,35 +504,27 @@ _SCORED = pa.schema(
 
 def _block_scores(model: ClassModel, texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
     """Everything about a block's texts but the transitions, and their class sequences."""
-    order = np.argsort(vocabulary.column("word").to_numpy().view(np.uint64))
-    known = vocabulary.column("word").to_numpy().view(np.uint64)[order]
-    n = np.append(vocabulary.column("n").to_numpy()[order], 0)
-    of = np.append(vocabulary.column("class").to_numpy()[order], ONCE)
+    ids, first = _unpacked(texts.column("ids"), np.int32)
+    local = vocabulary.column("local").to_numpy()
+    size = max(ids.max(initial=-1), local.max(initial=-1)) + 1
+    n, of = np.zeros(size, np.int64), np.full(size, ONCE)
+    n[local], of[local] = vocabulary.column("n").to_numpy(), vocabulary.column("class").to_numpy()
     base, emission = model.base(n), model.emission(n, of)
     end_base = float(model.base(np.array([model.texts]))[0])
     end_known = int(model.texts > 0)
     of = of.astype(np.uint8)
     out: list[list] = [[] for _ in range(5)]
-    for _, count, words in chunks(texts.column("text").combine_chunks()):
-        at = np.full(len(words.hash), len(known))
-        if len(known):
-            found = np.minimum(np.searchsorted(known, words.hash), len(known) - 1)
-            at = np.where(known[found] == words.hash, found, len(known))
-        first = words.first
-        seen = np.concatenate(([0], np.cumsum(at < len(known))))
-        classes = of[at]
-        for k in range(count):
-            a, b = int(first[k]), int(first[k + 1])
-            own = at[a:b]
-            values = (
-                b - a + 1,
-                int(seen[b] - seen[a]) + end_known,
-                float(base[own].sum()) + end_base,
-                float(emission[own].sum()),
-                classes[a:b].tobytes() + bytes([END]),
-            )
-            for column, value in zip(out, values):
-                column.append(value)
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+        own = ids[a:b]
+        values = (
+            b - a + 1,
+            int(np.count_nonzero(n[own])) + end_known,
+            float(base[own].sum()) + end_base,
+            float(emission[own].sum()),
+            of[own].tobytes() + bytes([END]),
+        )
+        for column, value in zip(out, values):
+            column.append(value)
     columns = [texts.column("doc_id").combine_chunks(), texts.column("held_out").combine_chunks()]
     columns += [pa.array(c, f.type) for c, f in zip(out, list(_SCORED)[2:])]
     return pa.Table.from_arrays(columns, schema=_SCORED)
@@ -416,31 +546,28 @@ def _transitions(scored: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
 
     rows = scored.where("not held_out").select("classes").mapInArrow(count, "pair long, n long")
-    found = rows.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(ALL * ALL)
-    out[found["pair"].to_numpy()] = found["n"].to_numpy()
-    return out.reshape(ALL, ALL)
+    return _counted(rows)
 
 
-def class_vocabulary(texts: DataFrame) -> DataFrame:
-    """``(word, n, class)`` of all words of a column of texts, as a written table."""
-    counts = staged(_count_words(texts).groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+def class_vocabulary(training: DataFrame, coded: DataFrame) -> DataFrame:
+    """``(word, n, class)`` of all words of the training texts, as a written table."""
+    asked = coded.where("n > 0").select("block", "local", "word", "n")
+    counts = staged(asked.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(CORE).toArrow()
     core = Core(top["word"].to_numpy())
-    bigrams = _core_bigrams(texts, core)
-    of = exchange(bigrams)
-    member = np.zeros((len(of) + 2, ALL))
-    member[np.arange(len(of) + 2), [*of, ONCE, END]] = 1
-    table = member.T @ bigrams @ member + 0.5
-    size = np.log(table.sum(axis=1))
-    k = np.arange(CLASSES)
-    # gain of standing in class k between classes l and r, for each pair (l, r)
-    gains = np.log(table[:, None, k]) + np.log(table[k].T[None, :, :]) - 2 * size[None, None, k]
-    others = _step_of_others(_contexts(texts, core, of), gains.reshape(ALL * ALL, CLASSES))
-    own = dict(zip(core.words.view(np.int64).tolist(), of.tolist()))
-    rows = [(w, n, own[w]) for w, n in zip(top["word"].to_pylist(), top["n"].to_pylist())]
-    frequent = texts.sparkSession.createDataFrame(rows, "word long, n long, class long")
-    return staged(others.union(frequent), "vocabulary")
+    of = exchange(_core_bigrams(training, core))
+    rows = list(zip(core.words.view(np.int64).tolist(), of.tolist()))
+    start = training.sparkSession.createDataFrame(rows, "word long, class long")
+    state = asked.drop("n").join(counts.where("n > 1").select("word"), "word").join(start, "word", "left")
+    state = state.select(
+        "block", "local", "word", F.coalesce("class", F.lit(ONCE)).cast("long").alias("class")
+    )
+    texts = coded.where("ids is not null and not held_out").select("block", "ids")
+    if rows:
+        state = exchange_all(texts, staged(state, "classes"))
+    found = state.select("word", "class").groupBy("word").agg(F.first("class").alias("class"))
+    made = counts.join(found, "word", "left")
+    return staged(made.select("word", "n", F.coalesce("class", F.lit(ONCE)).alias("class")), "vocabulary")
 
 
 def class_scores(
@@ -458,7 +585,8 @@ def class_scores(
         F.col(text).alias("text"),
     )
     training = rows.where("not held_out").select("text")
-    vocabulary = class_vocabulary(training)
+    coded = _coded(rows)
+    vocabulary = class_vocabulary(training, coded)
     totals = vocabulary.groupBy("class").agg(
         F.sum("n").alias("n"),
         F.count("*").alias("distinct"),
@@ -477,10 +605,13 @@ def class_scores(
         sum(row["twice"] for row in totals),
         class_total,
     )
-    blocked = _blocks(rows, model.tokens)
-    needed = _asked(blocked).join(vocabulary, "word").select("block", "word", "n", "class")
+    asked = coded.where("word is not null").select("block", "local", "word")
+    needed = asked.join(vocabulary, "word").select(
+        F.col("block").alias("block"), "local", "n", "class"
+    )
     scored = (
-        blocked.select("block", "doc_id", "held_out", "text")
+        coded.where("ids is not null")
+        .select("block", "doc_id", "held_out", "ids")
         .groupBy("block")
         .cogroup(needed.groupBy("block"))
         .applyInArrow(

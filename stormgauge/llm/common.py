@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from stormgauge.session import remove_folder
+
 # rows handed to Python at once; texts may be long, so far fewer than Spark's default
 ARROW_ROWS = 1000
 _local: dict[str, str] = {}
@@ -48,6 +50,13 @@ def staged(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete a table that ``staged`` wrote, and let Spark drop shuffle files no longer in use."""
+    for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
+        remove_folder(frame.sparkSession, folder)
+    frame.sparkSession.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``(a, b)`` edges: one row ``(node, root)`` per node.
 

@@ -96,3 +96,49 @@ def test_exchange_separates_alternating_words():
     assert len(set(of[::2])) == 1 and len(set(of[1::2])) == 1 and of[0] != of[1]
     start = np.arange(10) // 5
     assert likelihood(bigrams, of, 2) > likelihood(bigrams, start, 2)
+
+
+def test_every_repeated_word_informs_its_neighbours(spark, monkeypatch):
+    # four words of the core, and eight outside it whose only neighbours are each other
+    rng = np.random.default_rng(3)
+    rows = [("the cat the cat a dog a dog " * 50,)]
+    for _ in range(60):
+        rows.append((" ".join(f"{'xy'[k % 2]}{rng.integers(4)}" for k in range(10)),))
+    monkeypatch.setattr(brown, "CORE", 4)
+    frame = spark.createDataFrame([(i, False, t) for i, (t,) in enumerate(rows)], "doc_id long, held_out boolean, text string")
+    coded = brown._coded(frame)
+    found = brown.class_vocabulary(frame.select("text"), coded).collect()
+    words = {w: h for t in rows for w, h in zip(t[0].split(), hashes(t[0]))}
+    of = {r.word: r["class"] for r in found}
+    x, y = ({of[words[f"{c}{k}"]] for k in range(4)} for c in "xy")
+    assert not x & y and brown.ONCE not in x | y
+
+
+def hashes(text):
+    import pyarrow as pa
+
+    return [h for _, _, w in brown.chunks(pa.array([text])) for h in w.hash.view(np.int64).tolist()]
+
+
+def test_contexts_and_counts_of_a_block_agree(spark, monkeypatch):
+    frame = spark.createDataFrame(
+        [(i, False, t) for i, t in enumerate(["a b a c", "", "b a", "c c a b a"])], "doc_id long, held_out boolean, text string"
+    ).coalesce(1)
+    seen = []
+    for often in (0, 1000):
+        monkeypatch.setattr(brown, "OFTEN", often)
+        coded = brown._coded(frame)
+        state = coded.where("word is not null").selectExpr(
+            "block", "local", "word", "cast(local % 2 as long) as class", "true as turn"
+        )
+        block = coded.where("word is not null").first().block
+        texts = coded.where(f"ids is not null and block = {block}").select("block", "ids").toArrow()
+        made = brown._block_contexts(texts, state.where(f"block = {block}").toArrow())
+        pairs = made.filter(made["word"].is_null())
+        table = np.zeros(brown.ALL**2)
+        table[pairs["pair"].to_numpy()] = pairs["n"].to_numpy()
+        sides, both = brown._gains(table.reshape(brown.ALL, brown.ALL))
+        rest = made.filter(made["word"].is_valid()).combine_chunks()
+        total = brown._summed(sides, both, *(rest[c].combine_chunks() for c in ("contexts", "counts")))
+        seen.append((rest["local"].to_pylist(), total.tolist(), int(table.sum())))
+    assert seen[0] == seen[1]

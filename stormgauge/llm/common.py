@@ -12,6 +12,8 @@ from stormgauge.session import remove_folder
 
 # rows handed to Python at once; texts may be long, so far fewer than Spark's default
 ARROW_ROWS = 1000
+# parts in which the rows of a group are ranked first
+PARTS = 64
 _local: dict[str, str] = {}
 
 
@@ -102,6 +104,14 @@ def _digest(edges: DataFrame):
 
 
 def first_rows_per(frame: DataFrame, group: str, order: list, count: int) -> DataFrame:
-    """The first ``count`` rows of each group, cut down per task before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return frame.withColumn("_rank", rank).where(F.col("_rank") <= count).drop("_rank")
+    """The first ``count`` rows of each group.
+
+    Rows are ranked within parts of a group first, as Spark limits a rank per task before the
+    shuffle up to ``spark.sql.optimizer.windowGroupLimitThreshold`` only; one task ranks no
+    more than ``count`` rows of each part.
+    """
+    rows = frame.withColumn("_part", F.pmod(F.xxhash64(*frame.columns), F.lit(PARTS)))
+    for keys in ((group, "_part"), (group,)):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        rows = rows.withColumn("_rank", rank).where(F.col("_rank") <= count).drop("_rank")
+    return rows.drop("_part")

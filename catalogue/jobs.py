@@ -9,7 +9,8 @@ from catalogue.fixtures import sparse
 from catalogue.scratch import shared_folder
 from stormgauge.plans.publish import JOBS, publish
 
-PARTS = (("1992-01", "1994-06"), ("1994-07", "1994-12"), ("1995-01", "2005-12"))
+# both borders lie inside the orders' months, 1995-01 to 2001-08
+PARTS = (("1995-01", "1997-06"), ("1997-07", "1997-12"), ("1998-01", "2001-12"))
 
 
 def _by_period(spark, sf_dir, name):

@@ -145,6 +145,12 @@ select a.airport_code, a.event_id as left_event_id, b.event_id as right_event_id
 from dense a join dense b on a.airport_code = b.airport_code and a.s < b.e and b.s < a.e
 where a.type = 'FOG' and b.type = 'SNOW' and a.severity = 'Heavy' and b.severity = 'Heavy'
   and a.e > a.s and b.e > b.s""",
+    "overlapping_pairs_any_severity": f"""
+with {DENSE}
+select a.airport_code, a.event_id as left_event_id, b.event_id as right_event_id,
+  {_secs("greatest(a.s, b.s)", "least(a.e, b.e)")} as seconds
+from dense a join dense b on a.airport_code = b.airport_code and a.s < b.e and b.s < a.e
+where a.type = 'FOG' and b.type = 'SNOW' and a.e > a.s and b.e > b.s""",
     "rejected_events": f"""
 with {DENSE}
 select case when event_id % 107 = 11 then 'malformed line' else 'no event id' end as reason,

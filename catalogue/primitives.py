@@ -180,6 +180,20 @@ def overlapping_pairs(spark, sf_dir):
     )
 
 
+def overlapping_pairs_any_severity(spark, sf_dir):
+    """All fog and all snow of one airport that overlap, pair by pair."""
+    spans = _spans(spark, sf_dir, "airport_code", "event_id", "type")
+    pairs = intervals.overlap_join(
+        spans.where(weather.type_in("type", ["fog"])).drop("type"),
+        spans.where(weather.type_in("type", ["snow"])).drop("type"),
+        ["airport_code"],
+    )
+    end, start = F.least("left_end_s", "right_end_s"), F.greatest("left_start_s", "right_start_s")
+    return pairs.select(
+        "airport_code", "left_event_id", "right_event_id", (end - start).alias("seconds")
+    )
+
+
 def episodes_session_window(spark, sf_dir):
     """Episodes with a pause of at most a minute, by Spark's session windows."""
     return intervals.session_windows(dense(spark, sf_dir), AIRPORT_TYPE, 60)
@@ -504,6 +518,7 @@ _ALL = (
     net_delta_markers,
     interval_overlap_join,
     overlapping_pairs,
+    overlapping_pairs_any_severity,
     episodes_session_window,
     rejected_events,
     timeline_segments,

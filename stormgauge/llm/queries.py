@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from stormgauge.llm import balltree, bpe, brown, idfiles, jaccard, langid, lattice, mixing, sharding, toxicity
+from stormgauge.llm import (
+    balltree,
+    bpe,
+    brown,
+    idfiles,
+    jaccard,
+    langid,
+    lattice,
+    linededup,
+    mixing,
+    sharding,
+    spelling,
+    tokenalign,
+    toxicity,
+)
 from stormgauge.llm.common import fold, scratch, small_batches, table
 
 # bytes of text in a shard: small enough to be shuffled and resumed as a unit by a reader
@@ -13,6 +27,8 @@ SHARD_BYTES = 1 << 20
 # id that ends each document
 END_ID = 2
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_extendible_hash_shards(spark, sf_dir):
@@ -90,6 +106,23 @@ def op10_raked_source_mix(spark, sf_dir):
     )
 
 
+def op11_shared_lines_perfect_hash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = linededup.drop_shared_lines(docs)
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return made.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", digest)
+
+
+def op12_aligned_tokenizers(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = tokenalign.alignments(docs, BYTE_VOCABULARY, PIECE_MODEL)
+    return made.select(F.col("row.doc_id").alias("doc_id"), *tokenalign.MEASURES, "groups_sha256")
+
+
+def op13_spelling_variants_trie(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,6 +136,9 @@ QUERIES = {
         op8_bit_plane_files,
         op9_ngram_jaccard_join,
         op10_raked_source_mix,
+        op11_shared_lines_perfect_hash,
+        op12_aligned_tokenizers,
+        op13_spelling_variants_trie,
     )
 }
 
@@ -147,6 +183,26 @@ SELECT doc_id,
 FROM fits WHERE k = 1
 """
 
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+OP11_ORACLE = f"""
+WITH lines AS (
+    SELECT doc_id, i, line,
+           translate(trim(line, {_WHITE}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (
+        SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+    )
+), often AS (
+    SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= {linededup.LEAST_CHARS}
+    GROUP BY key HAVING count(DISTINCT doc_id) >= {linededup.LEAST_DOCS}
+), marked AS (
+    SELECT l.*, coalesce(o.keeper <> l.doc_id, false) AS lost FROM lines AS l LEFT JOIN often AS o USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
 
 def _op10_oracle(iterations: int = mixing.ITERATIONS) -> str:
     """Raking unrolled: a step divides each margin's sum into its target, one margin a time."""
@@ -203,4 +259,5 @@ ORACLES = {
     "op1_extendible_hash_shards": OP1_ORACLE,
     "op3_ball_tree_top_k": OP3_ORACLE,
     "op10_raked_source_mix": _op10_oracle(),
+    "op11_shared_lines_perfect_hash": OP11_ORACLE,
 }

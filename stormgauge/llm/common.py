@@ -53,10 +53,9 @@ def staged(frame: DataFrame, purpose: str) -> DataFrame:
 
 
 def discard(frame: DataFrame) -> None:
-    """Delete a table that ``staged`` wrote, and let Spark drop shuffle files no longer in use."""
+    """Delete a table that ``staged`` wrote; nothing may read it any more."""
     for folder in {name.rsplit("/", 1)[0] for name in frame.inputFiles()}:
         remove_folder(frame.sparkSession, folder)
-    frame.sparkSession.sparkContext._jvm.System.gc()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -82,12 +81,15 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(
             F.col("b").alias("a"), F.col("m").alias("b")
         )
+        before_edges = edges
         large = staged(large.union(least).where("a <> b"), "edges")
         # small star: smaller neighbours and the node itself move there as well
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).where("a <> b")
         edges = staged(small.distinct(), "edges")
+        discard(before_edges)
+        discard(large)
         now = _digest(edges)
         if now == before:
             break
@@ -115,3 +117,26 @@ def first_rows_per(frame: DataFrame, group: str, order: list, count: int) -> Dat
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         rows = rows.withColumn("_rank", rank).where(F.col("_rank") <= count).drop("_rank")
     return rows.drop("_part")
+
+
+def bounded_sample(rows: DataFrame, per_label: int, label_bytes: int):
+    """Training rows ``(doc_id, label, text)`` as an Arrow table, ordered by id and label.
+
+    Of each label the rows whose hashed ids come first are taken: at most ``per_label`` of
+    them, and none behind ``label_bytes`` bytes of text.  Ids, labels and lengths alone are
+    ranked; texts are fetched by the chosen ids.  Of a repeated id the text with the least
+    hash is taken, so that a task that runs again finds the same rows.
+    """
+    rows = rows.where("text is not null").withColumn("content", F.xxhash64("text"))
+    ids = rows.groupBy("doc_id", "label").agg(
+        F.min(F.struct("content", F.octet_length("text").cast("long").alias("bytes"))).alias("t")
+    )
+    ids = ids.select("doc_id", "label", "t.*")
+    order = [F.xxhash64("doc_id"), "doc_id"]
+    chosen = first_rows_per(ids, "label", order, per_label)
+    before = Window.partitionBy("label").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    chosen = chosen.withColumn("before", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
+    chosen = chosen.where(F.col("before") < label_bytes).select("doc_id", "label", "content")
+    found = rows.join(F.broadcast(chosen), ["doc_id", "label", "content"], "left_semi")
+    found = found.select("doc_id", "label", "text").distinct()
+    return found.orderBy("doc_id", "label").toArrow()

@@ -20,9 +20,15 @@ with ``r`` shingles left in the order is worth a look only if ``r`` can hold the
 Verification.  Every index entry gives stars around its smallest set only.  Parity bitmaps
 bound the difference of two sets from below and drop most pairs; the rest are compared
 shingle by shingle.  Linked stars give first components.  What is left are pairs in one
-index entry but in different components: they meet in blocks within tasks, and only pairs
-that the bitmaps allow leave a task and are compared.  So a group of copies costs one
-comparison per copy and index entry, yet no link between different texts is lost.
+index entry but in different components: they meet in blocks within tasks, and a task passes
+on a forest over the pairs that the bitmaps allow.  Its trees, over all tasks, are clusters,
+and the whole sets of a cluster meet in blocks within tasks, which pass on a forest of links.
+So no step makes more rows than nodes in its cells, yet no link between different components
+is lost.  The sets of a cluster of ``n`` nodes go to ``n / BLOCK`` tasks each.
+
+``percent`` must lie between 75 and 100: below, two linked sets may miss so many shingles that
+pairs of consecutive frequent ones no longer suffice.  Further columns, whatever their names,
+are left out of :func:`jaccard_components` and stay in :func:`one_per_component`.
 
 Null, empty and blank texts have no shingles, link with nothing and are their own
 component.  Very long texts are used whole; memory grows with the longest text.  Repeated
@@ -40,14 +46,15 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stormgauge.llm.common import components, small_batches, staged
+from stormgauge.llm.common import components, discard, small_batches, staged
 from stormgauge.llm.words import chunks, mix
 
 # documents from which a shingle counts as frequent, and the size of the bitmap of those
 FREQUENT = 8
 FREQUENT_BITS = 26
-# nodes of an index entry that are compared with each other in one go
+# nodes that are compared with each other in one go, and shingles of such nodes
 BLOCK = 1024
+BLOCK_SHINGLES = 400_000
 # bits of a shingle that are counted, and shingles packed together in a task
 COUNTED_BITS = 40
 COUNTED = 4_000_000
@@ -356,18 +363,16 @@ def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(close, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int):
-    """Links ``(a, b)`` among pairs, by comparing whole sets.
+def _sets(wanted: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """``(fp, shingles)`` of the nodes ``(fp, content)``.
 
     The texts of the nodes in question are picked by a bitmap whose size follows their
     number up to a bound, so that other texts are not moved; a wrong hit is left out when
     the fingerprint is known.
     """
-    spark = docs.sparkSession
-    ends = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp")))
-    wanted = staged(nodes.join(ends.distinct(), "fp", "left_semi").select("fp", "content"), "wanted")
+    wanted = staged(wanted, "wanted")
     bits = min(27, max(12, int(16 * wanted.count()).bit_length()))
-    shared = spark.sparkContext.broadcast(_bitmap(wanted, "content", bits))
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted, "content", bits))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, bitmap = set(), shared.value
@@ -388,6 +393,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, p
     sets = sets.join(wanted.select("fp"), "fp", "left_semi")
     rank = F.row_number().over(Window.partitionBy("fp").orderBy(F.length("shingles")))
     sets = staged(sets.withColumn("_k", rank).where("_k = 1").drop("_k"), "sets")
+    discard(wanted)
+    return sets
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int):
+    """Links ``(a, b)`` among pairs, by comparing whole sets."""
+    ends = pairs.select(F.col("a").alias("fp")).union(pairs.select(F.col("b").alias("fp")))
+    wanted = nodes.join(ends.distinct(), "fp", "left_semi").select("fp", "content")
+    sets = _sets(wanted, docs, words)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -403,7 +417,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, p
     one = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x"))
     other = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
     joined = pairs.join(other, "b").join(one, "a").select("a", "b", "x", "y")
-    return staged(joined.mapInArrow(compare, "a long, b long"), "links")
+    links = staged(joined.mapInArrow(compare, "a long, b long"), "links")
+    discard(sets)
+    return links
 
 
 def _stars(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -464,18 +480,63 @@ def least_differences(bitmaps: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.n
     return out
 
 
-def _near_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes of one index entry that may link, each once per task.
-
-    They belong to different components, the shingles left can hold the overlap, and the
-    parity bitmaps allow the distance.  A cell is one block of nodes, or two that meet.
+def spanning_forest(met: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a forest that joins what a symmetric matrix of meeting nodes joins."""
+    open_, edges = met.any(axis=1), []
+    while True:
+        start = int(open_.argmax())
+        if not open_[start]:
+            return edges
+        open_[start] = False
+        front = np.array([start])
+        while len(front):
+            seen = met[front] & open_
+            fresh = np.flatnonzero(seen.any(axis=0))
+            parents = front[seen[:, fresh].argmax(axis=0)]
+            edges += zip(parents.tolist(), fresh.tolist())
+            open_[fresh] = False
+            front = fresh
+
+
+class Joined:
+    """Which nodes a task has joined already; starts over when full, which only repeats edges."""
+
+    def __init__(self, limit: int = 1_000_000):
+        self.parent: dict[int, int] = {}
+        self.limit = limit
+
+    def root(self, node: int) -> int:
+        path = []
+        while node in self.parent:
+            path.append(node)
+            node = self.parent[node]
+        for k in path[:-1]:
+            self.parent[k] = node
+        return node
+
+    def join(self, a: int, b: int) -> bool:
+        if len(self.parent) > self.limit:
+            self.parent.clear()
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.parent[a] = b
+        return a != b
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """A forest over the nodes of index entries that may link.
+
+    Nodes may link if they belong to different components, the shingles left can hold the
+    overlap, and the parity bitmaps allow the distance.  Nodes that the task has joined need
+    not meet again.  A cell is one block of nodes, or two that meet.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    seen: set[tuple[int, int]] = set()
+    joined = Joined()
     for _, _, _, met, side, a, root, size, left, parity_ in _groups(batches, 4):
         if len(a) < 2:
             continue
-        fits = root[:, None] != root
+        now = np.array([joined.root(x) for x in a.tolist()])
+        fits = (root[:, None] != root) & (now[:, None] != now)
         fits &= (side[:, None] < side) if met[0] else (a[:, None] < a)
         fits &= (100 + percent) * np.minimum(left[:, None], left) >= percent * (size[:, None] + size)
         i, j = np.nonzero(fits)
@@ -488,23 +549,36 @@ def _near_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         least = np.maximum(least, np.abs(size[i] - size[j]))
         total = size[i] + size[j]
         near = 100 * (total - least) >= percent * (total + least)
-        x, y = a[i[near]], a[j[near]]
-        found = set(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist())) - seen
+        meet = np.zeros((len(a), len(a)), bool)
+        meet[i[near], j[near]] = meet[j[near], i[near]] = True
+        found = [(int(a[x]), int(a[y])) for x, y in spanning_forest(meet)]
+        found = [pair for pair in found if joined.join(*pair)]
         if found:
-            if len(seen) > 500_000:
-                seen.clear()
-            seen |= found
             yield _batch(schema, *zip(*found))
 
 
-def _between(postings, links, nodes, percent: int) -> DataFrame:
-    """Pairs of different first components that share an index entry and may link.
+def _cells(own, count):
+    """Cells of a node of block ``own``: its own block, and each other one that it meets."""
+    every = F.sequence(F.lit(0).cast("long"), count - 1)
+    return F.transform(
+        every,
+        lambda k: F.struct(
+            F.least(own, k).alias("low"),
+            F.greatest(own, k).alias("high"),
+            (own != k).cast("long").alias("met"),
+            (own > k).cast("long").alias("side"),
+        ),
+    )
+
 
-    Entries of two nodes are done by their star, and so are those within one component.
-    In others the nodes of the component that has most of them only meet nodes of the
-    rest, and both meet in blocks, so a large group costs rows in proportion to its size.
+def _clusters(postings: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(node, root)``: nodes that chains of pairs that may link put together.
+
+    Pairs share an index entry and belong to different first components.  Entries of two
+    nodes are done by their star, and so are those within one component.  In others the nodes
+    of the component that has most of them only meet nodes of the rest, and both meet in
+    blocks, so a large group costs rows in proportion to its size.
     """
-    roots = components(links.select("a", "b"))
     entry = postings.select("token", F.col("fp").alias("node"), "size", "left").join(roots, "node", "left")
     entry = staged(entry.select("token", "node", "size", "left", F.coalesce("root", "node").alias("root")), "entries")
     held = entry.groupBy("token", "root").agg(F.count("*").alias("n"))
@@ -517,8 +591,8 @@ def _between(postings, links, nodes, percent: int) -> DataFrame:
         "small": F.ceil((F.col("n") - F.col("most.n")) / BLOCK),
     }
     mixed = mixed.where("roots > 1 and n > 2").select("token", *(c.alias(k) for k, c in blocks.items()))
-    entry = entry.join(mixed, "token")
-    entry = entry.join(nodes.select(F.col("fp").alias("node"), "parity"), "node")
+    placed = entry.join(mixed, "token")
+    placed = placed.join(nodes.select(F.col("fp").alias("node"), "parity"), "node")
     is_main = F.col("root") == F.col("main")
     own = F.pmod(F.xxhash64("node"), F.when(is_main, F.col("large")).otherwise(F.col("small")))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
@@ -532,17 +606,83 @@ def _between(postings, links, nodes, percent: int) -> DataFrame:
     # nodes of the main component meet each block of the others; those meet each other, too
     to_small = F.transform(every("small"), lambda k: cell(own, -1 - k, one, zero))
     to_large = F.transform(every("large"), lambda k: cell(k, -1 - own, one, one))
-    among = F.transform(
-        every("small"),
-        lambda k: cell(F.least(own, k), F.greatest(own, k), (own != k).cast("long"), (own > k).cast("long")),
-    )
-    cells = F.when(is_main, to_small).otherwise(F.concat(to_large, among))
+    cells = F.when(is_main, to_small).otherwise(F.concat(to_large, _cells(own, F.col("small"))))
     keys = ("token", "low", "high", "met")
-    placed = entry.select("token", "node", "root", "size", "left", "parity", F.inline(cells))
+    placed = placed.select("token", "node", "root", "size", "left", "parity", F.inline(cells))
     placed = placed.select(*keys, "side", "node", "root", "size", "left", "parity")
     placed = placed.repartition(*keys).sortWithinPartitions(*keys)
-    near = placed.mapInArrow(lambda batches: _near_pairs(batches, percent), "a long, b long")
-    return staged(near.distinct(), "between")
+    near = placed.mapInArrow(lambda batches: _candidates(batches, percent), "a long, b long")
+    made = components(near)
+    discard(entry)
+    return made
+
+
+def overlaps(sets: list[np.ndarray], columns: int = 2048) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets."""
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+    value = np.concatenate(sets)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    fresh = np.ones(len(value), bool)
+    fresh[1:] = value[1:] != value[:-1]
+    shared = ~(fresh & np.append(fresh[1:], True))
+    owner, number = owner[shared], np.cumsum((fresh & shared)[shared]) - 1
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, columns):
+        low, high = np.searchsorted(number, (first, first + columns))
+        part = np.zeros((len(sets), columns), np.float32)
+        part[owner[low:high], number[low:high] - first] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def _compared(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """A forest of links within clusters, decided by whole sets; cells as in :func:`_candidates`."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    joined = Joined()
+    for _, _, _, met, side, a, root, blobs in _groups(batches, 4):
+        if len(a) < 2:
+            continue
+        sets = [np.frombuffer(blob, np.uint64) for blob in blobs]
+        size = np.array([len(s) for s in sets])
+        fits = root[:, None] != root
+        if met[0]:
+            fits &= side[:, None] != side
+        common = overlaps(sets)
+        linked = fits & (100 * common >= percent * (size[:, None] + size - common))
+        found = [(int(a[x]), int(a[y])) for x, y in spanning_forest(linked)]
+        found = [pair for pair in found if joined.join(*pair)]
+        if found:
+            yield _batch(schema, *zip(*found))
+
+
+def _between(postings, links, docs, nodes, words: int, percent: int) -> DataFrame:
+    """Links between different first components: a forest of each cell that holds some.
+
+    Nodes are first put into clusters by what is known without their sets.  The sets of a
+    cluster then meet in blocks of bounded size, where whole sets decide, so a set goes to
+    as many tasks as its cluster has blocks, and only a forest leaves a task.
+    """
+    roots = components(links.select("a", "b"))
+    clusters = _clusters(postings, roots, nodes, percent)
+    clusters = clusters.select(F.col("node").alias("fp"), F.col("root").alias("cluster"))
+    members = clusters.join(nodes.select("fp", "content", "size"), "fp")
+    members = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    members = staged(members.withColumn("root", F.coalesce("root", "fp")), "members")
+    sets = _sets(members.select("fp", "content"), docs, words)
+    n_blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    count = members.groupBy("cluster").agg(n_blocks.alias("blocks"))
+    own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+    keys = ("cluster", "low", "high", "met")
+    placed = members.join(count, "cluster").select(
+        "cluster", "fp", "root", F.inline(_cells(own, F.col("blocks")))
+    )
+    placed = placed.join(sets, "fp").select(*keys, "side", "fp", "root", "shingles")
+    placed = placed.repartition(*keys).sortWithinPartitions(*keys)
+    made = staged(placed.mapInArrow(lambda b: _compared(b, percent), "a long, b long"), "between")
+    discard(members)
+    discard(sets)
+    return made
 
 
 def jaccard_components(
@@ -582,9 +722,8 @@ def jaccard_components(
     postings = _postings(_indexed(docs, words, percent, bitmap), percent)
     stars = _stars(postings, nodes, percent)
     links = _verified(stars, docs, nodes, words, percent)
-    more = _between(postings, links, nodes, percent)
-    if not more.isEmpty():
-        links = links.union(_verified(more, docs, nodes, words, percent))
+    links = links.union(_between(postings, links, docs, nodes, words, percent))
+    discard(postings)
     roots = components(links.select("a", "b"))
     ids = nodes.select(F.col("fp").alias("node"), "rep").join(roots, "node", "left")
     ids = staged(ids.select("node", "rep", F.coalesce("root", "node").alias("root")), "roots")

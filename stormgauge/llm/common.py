@@ -119,24 +119,31 @@ def first_rows_per(frame: DataFrame, group: str, order: list, count: int) -> Dat
     return rows.drop("_part")
 
 
-def bounded_sample(rows: DataFrame, per_label: int, label_bytes: int):
+def text_keys(doc_id: str, text: str) -> list[Column]:
+    """``doc_id``, ``content`` and ``bytes`` of the rows that :func:`bounded_sample` ranks."""
+    return [
+        F.col(doc_id).alias("doc_id"),
+        F.xxhash64(text).alias("content"),
+        F.octet_length(text).cast("long").alias("bytes"),
+    ]
+
+
+def bounded_sample(ids: DataFrame, texts: DataFrame, per_label: int, label_bytes: int):
     """Training rows ``(doc_id, label, text)`` as an Arrow table, ordered by id and label.
 
     Of each label the rows whose hashed ids come first are taken: at most ``per_label`` of
-    them, and none behind ``label_bytes`` bytes of text.  Ids, labels and lengths alone are
-    ranked; texts are fetched by the chosen ids.  Of a repeated id the text with the least
-    hash is taken, so that a task that runs again finds the same rows.
+    them, and none behind ``label_bytes`` bytes of text.  Only ``ids``, rows ``(doc_id, label,
+    content, bytes)``, are ranked; ``texts``, rows ``(doc_id, text)``, are picked by the chosen
+    ids.  Of a repeated id the text with the least hash is taken, so that a task that runs
+    again finds the same rows.
     """
-    rows = rows.where("text is not null").withColumn("content", F.xxhash64("text"))
-    ids = rows.groupBy("doc_id", "label").agg(
-        F.min(F.struct("content", F.octet_length("text").cast("long").alias("bytes"))).alias("t")
-    )
-    ids = ids.select("doc_id", "label", "t.*")
+    ids = ids.where("bytes is not null").groupBy("doc_id", "label")
+    ids = ids.agg(F.min(F.struct("content", "bytes")).alias("t")).select("doc_id", "label", "t.*")
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = first_rows_per(ids, "label", order, per_label)
     before = Window.partitionBy("label").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     chosen = chosen.withColumn("before", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
     chosen = chosen.where(F.col("before") < label_bytes).select("doc_id", "label", "content")
-    found = rows.join(F.broadcast(chosen), ["doc_id", "label", "content"], "left_semi")
-    found = found.select("doc_id", "label", "text").distinct()
-    return found.orderBy("doc_id", "label").toArrow()
+    found = texts.where("text is not null").withColumn("content", F.xxhash64("text"))
+    found = found.join(F.broadcast(chosen), ["doc_id", "content"])
+    return found.select("doc_id", "label", "text").distinct().orderBy("doc_id", "label").toArrow()

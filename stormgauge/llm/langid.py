@@ -24,17 +24,17 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormgauge.llm.common import first_rows_per, small_batches
+from stormgauge.llm.common import bounded_sample, small_batches, text_keys
 from stormgauge.llm.words import Words, chunks, grams
 
 UNDETERMINED = "und"
 SIZES = (2, 3, 4)
 BITS = 16
 DIMENSIONS = 16
-# bounds of the training sample: rows for each language, rows in all, and bytes of a text
+# bounds of the training sample: rows for each language, rows in all, and bytes of text in all
 ROWS_PER_LANGUAGE = 1200
 ROWS = 24_000
-ROW_BYTES = 32_768
+SAMPLE_BYTES = 64 << 20
 # share of accepted rows that may be wrong, and the least score ever asked for
 ACCEPTED_ERROR = 0.01
 LEAST_SCORE = 0.4
@@ -94,10 +94,10 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _features(texts: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Distinct n-gram buckets of each text and their shares."""
     out = []
-    for _, count, words in chunks(pa.array(texts, pa.string())):
+    for _, count, words in chunks(texts):
         inverse, buckets, first = distinct_grams(words)
         length = np.diff(first)
         edge = words.first
@@ -111,7 +111,7 @@ def _features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
                 minlength=(1 << BITS) + 1,
             )[:-1]
             bucket = np.flatnonzero(found)
-            out.append((bucket, (found[bucket] / max(found.sum(), 1)).astype(np.float32)))
+            out.append((bucket.astype(np.uint16), (found[bucket] / max(found.sum(), 1)).astype(np.float32)))
     return out
 
 
@@ -120,16 +120,19 @@ def _ranges(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
 
 
-def train(texts: list[str], labels: list[str], epochs: int = 6, rate: float = 0.5, seed: int = 7):
-    """Fit a model to labelled texts; a fifth of them only calibrates it."""
+def train(texts, labels: list[str], epochs: int = 6, rate: float = 0.5, seed: int = 7):
+    """Fit a model to labelled texts (a list or an Arrow column); a fifth only calibrates it."""
+    if isinstance(texts, list):
+        texts = pa.array(texts, pa.string())
     languages = sorted(set(labels))
     k = len(languages)
     rng = np.random.default_rng(seed)
     if not k:
         return LanguageModel([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
-    features = _features(texts)
+    n_texts, features = len(texts), _features(texts)
+    del texts
     target = np.array([languages.index(x) for x in labels])
-    order = rng.permutation(len(texts))
+    order = rng.permutation(n_texts)
     held = order[: len(order) // 5]
     fit = order[len(order) // 5 :]
     embedding = rng.normal(0, 0.1, (1 << BITS, DIMENSIONS)).astype(np.float32)
@@ -171,24 +174,18 @@ def _calibrate(model: LanguageModel, logits: np.ndarray, target: np.ndarray) ->
     model.threshold = float(max(LEAST_SCORE, min(asked, 0.9)))
 
 
-def training_sample(docs: DataFrame, usable: Column, doc_id: str, text: str, label: str):
+def training_sample(docs: DataFrame, usable: Column, doc_id: str, text: str, label: str) -> pa.Table:
     """A bounded sample: for each label the rows whose hashed ids come first.
 
-    Only ids and labels are ranked; the texts are fetched by the chosen ids, whose number is
-    bounded, and texts above ``ROW_BYTES`` are not trained on.
+    The labels share ``ROWS`` and ``SAMPLE_BYTES``; texts of any length are taken whole.
     """
     rows = docs.where(usable & F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-    rows = rows.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label"), F.col(text).alias("text"))
-    labels = rows.select("label").distinct().count()
+    ids = rows.select(*text_keys(doc_id, text), F.col(label).alias("label"))
+    texts = rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    labels = max(1, ids.select("label").distinct().count())
     if labels > ROWS:
         raise ValueError(f"{labels} labels are more than {ROWS} training rows can hold")
-    per_label = min(ROWS_PER_LANGUAGE, ROWS // max(1, labels))
-    chosen = first_rows_per(
-        rows.select("doc_id", "label").distinct(), "label", [F.xxhash64("doc_id"), "doc_id"], per_label
-    )
-    found = rows.join(F.broadcast(chosen), ["doc_id", "label"], "left_semi")
-    found = found.where(F.octet_length("text") <= ROW_BYTES).dropDuplicates(["doc_id", "label"])
-    return sorted((r.doc_id, str(r.label), r.text) for r in found.collect())
+    return bounded_sample(ids, texts, min(ROWS_PER_LANGUAGE, ROWS // labels), SAMPLE_BYTES // labels)
 
 
 def fit_language_model(
@@ -196,7 +193,7 @@ def fit_language_model(
 ) -> LanguageModel:
     """Model learned from the rows where ``usable`` holds and the language is not null."""
     rows = training_sample(docs, usable, doc_id, text, lang)
-    return train([r[2] for r in rows], [r[1] for r in rows])
+    return train(rows["text"], [str(x) for x in rows["label"].to_pylist()])
 
 
 def identify(model: LanguageModel, docs: DataFrame, text: str = "text") -> Column:

@@ -263,12 +263,35 @@ def _load(path: str) -> RankArrayBpe:
     return RankArrayBpe(path)
 
 
+def _id_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
+@functools.lru_cache(maxsize=2)
+def _ids_remembered(path: str) -> Remembered:
+    """One memory for all tasks of a worker process."""
+    return Remembered(path, _id_bytes)
+
+
+@functools.lru_cache(maxsize=2)
+def _digests_remembered(path: str) -> Remembered:
+    """Decimal ids and decoded tokens, each with a blank behind, so that a text is a concatenation."""
+    bpe = _load(path)
+    number = {i: b"%d " % i for i in bpe.token}
+    token = {i: t.encode() + b" " for i, t in bpe.token.items()}
+    return Remembered(
+        path,
+        lambda ids: b"".join([number[i] for i in ids]),
+        lambda ids: b"".join([token[i] for i in ids]),
+    )
+
+
 def encode_ids(path: str, text: str = "text") -> Column:
     """Column of the ids of a text column, ``array<int>``."""
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        remembered = Remembered(path, lambda ids: np.array(ids, np.int32).tobytes())
+        remembered = _ids_remembered(path)
         known = remembered.known[0].__getitem__
         for batch in batches:
             rows = [
@@ -317,16 +340,7 @@ def round_trip(path: str, text: str = "text") -> Column:
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bpe = _load(path)
-        number = {i: b"%d " % i for i in bpe.token}
-        token = {i: t.encode() + b" " for i, t in bpe.token.items()}
-
-        remembered = Remembered(
-            path,
-            # with a blank at the end, so that a text is a plain concatenation
-            lambda ids: b"".join([number[i] for i in ids]),
-            lambda ids: b"".join([token[i] for i in ids]),
-        )
+        remembered = _digests_remembered(path)
         numbers, shown = (known.__getitem__ for known in remembered.known)
         for batch in batches:
             counts, one, two = [], [], []

@@ -17,6 +17,7 @@ gives no documents.
 
 from __future__ import annotations
 
+import functools
 import gc
 import json
 import os
@@ -223,6 +224,12 @@ class LibraryEncoder:
         return np.diff(doc_ends, prepend=0).tolist(), self.flat[source]
 
 
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str, end_id: int) -> LibraryEncoder:
+    """One encoder for all tasks of a worker process: what it has learned stays."""
+    return LibraryEncoder(path, end_id)
+
+
 def write_texts(
     docs: DataFrame,
     folder: str,
@@ -253,7 +260,7 @@ def write_texts(
             texts = batch.column(1).fill_null("").cast(pa.large_binary()).to_pylist()
             if writer is None and ids:
                 writer = PlaneWriter(store.open_output_stream(own), kind)
-                encoder = LibraryEncoder(path, end_id)
+                encoder = _encoder(path, end_id)
             i = 0
             while i < len(ids):
                 j, size = i, 0

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from stormgauge.contracts import TABLES
 from catalogue.scratch import shared_folder
-from catalogue.fixtures import airports, readings
-from stormgauge.functions.calendar import HOUR_SECONDS, bucket_number, utc_wall_time
+from catalogue.fixtures import airports, dense, readings
+from stormgauge.functions.calendar import HOUR_SECONDS, bucket_number, utc_wall_time, wall_seconds
 from stormgauge.operators import ranking
+from stormgauge.operators.asof import as_of_join
 from stormgauge.sinks.changelog import changelog_sink, read_latest
 from stormgauge.sources import readings as feed
 from stormgauge.sources.files import read_airports
@@ -59,6 +60,32 @@ def stream_static_join(spark, sf_dir):
     )
 
 
+def _event_starts(spark, sf_dir):
+    events = dense(spark, sf_dir).where("severity <> 'Light'")
+    return events.select(
+        "airport_code", F.col("event_id").alias("last_event"), "type", "severity", wall_seconds("local_start_ts").alias("start_s")
+    )
+
+
+def as_of_event_state(spark, sf_dir):
+    """Each reading with the last event of its airport that began before it, up to an hour."""
+    rows = readings(spark, sf_dir).select("event_id", "airport_code", F.unix_seconds("start_time_utc").alias("sec"))
+    events = _event_starts(spark, sf_dir)
+    return as_of_join(
+        rows, events, ["airport_code"], "sec", "start_s", ["last_event", "type", "severity"],
+        tolerance=3600, exact=False,
+    )
+
+
+def as_of_next_event(spark, sf_dir):
+    """Each reading with the event of its airport that begins next, at the same second or later."""
+    rows = readings(spark, sf_dir).select("event_id", "airport_code", F.unix_seconds("start_time_utc").alias("sec"))
+    events = _event_starts(spark, sf_dir)
+    return as_of_join(
+        rows, events, ["airport_code"], "sec", "start_s", ["last_event", "type"], direction="forward"
+    )
+
+
 def latest_by_key(spark, sf_dir):
     """Upsert view over a log with one version of each airport hour per reading."""
     log = readings(spark, sf_dir).select(
@@ -94,12 +121,15 @@ def changelog_upsert(spark, sf_dir):
 def stream_run_sliding_kpi(spark, sf_dir):
     """The sliding KPI as a streaming query over JSON files into a changelog."""
     folder, path = shared_folder(spark, "feed"), shared_folder(spark, "live")
-    # one airport reports a second county now and then, and some messages are cut off
+    # one airport reports a second county now and then, some messages are cut off or lack a key
     moved = F.when(F.expr("airport_code = 'K3' and event_id % 4 = 1"), "D3").otherwise(F.col("county"))
     rows = readings(spark, sf_dir).withColumn("county", moved).drop("event_id")
     whole = F.to_json(F.struct("*"), {"timeZone": "UTC"})
     broken = F.substring(whole, 1, 40)
-    messages = rows.select(F.inline(F.array(F.struct(whole.alias("value")), F.struct(broken.alias("value")))))
+    # valid JSON with an event time, but without the airport that keys the table
+    keyless = F.to_json(F.struct(*[c for c in rows.columns if c != "airport_code"]), {"timeZone": "UTC"})
+    three = [F.struct(m.alias("value")) for m in (whole, broken, keyless)]
+    messages = rows.select(F.inline(F.array(*three)))
     messages.write.text(folder)
     job, source = LIVE_JOBS["weather_realtime_sliding"], feed.file_messages(spark, folder)
     sink = changelog_sink(path)
@@ -177,6 +207,8 @@ QUERIES = {
         stream_radiation,
         stream_instability,
         stream_static_join,
+        as_of_event_state,
+        as_of_next_event,
         latest_by_key,
         changelog_upsert,
         stream_run_sliding_kpi,

@@ -48,7 +48,34 @@ MEASURES = (
 ZONE = """case (user_id % 10) % 3 when 0 then 'US/Eastern' when 1 then 'US/Central'
     else 'US/Pacific' end"""
 
+# starts of events that are not light, one for each airport and second
+STARTS = f"""
+{READINGS},
+starts as (
+  select concat('K', cast(user_id % 10 as varchar)) as airport_code, max(event_id) as last_event,
+    cast(floor(epoch(ts)) as bigint) as start_s
+  from events where event_id % 4 <> 0 group by 1, 3
+),
+named as (
+  select s.*, case event_type when 'click' then 'FOG' when 'error' then 'STORM'
+      when 'purchase' then 'SNOW' when 'signup' then 'RAIN' else 'COLD' end as type,
+    case event_id % 4 when 1 then 'Moderate' when 2 then 'Heavy' else 'Other' end as severity
+  from starts as s join events on event_id = last_event
+)"""
+
 ORACLES = {
+    "as_of_event_state": f"""
+with {STARTS}
+select r.event_id, r.airport_code, r.sec, n.last_event, n.type, n.severity, n.start_s as as_of_s
+from readings as r left join named as n on n.airport_code = r.airport_code
+  and n.start_s = (select max(s.start_s) from starts as s where s.airport_code = r.airport_code
+    and s.start_s < r.sec and s.start_s >= r.sec - 3600)""",
+    "as_of_next_event": f"""
+with {STARTS}
+select r.event_id, r.airport_code, r.sec, n.last_event, n.type, n.start_s as as_of_s
+from readings as r left join named as n on n.airport_code = r.airport_code
+  and n.start_s = (select min(s.start_s) from starts as s where s.airport_code = r.airport_code
+    and s.start_s >= r.sec)""",
     "stream_tumbling_5h": f"""
 with {READINGS},
 placed as (select *, make_timestamp((sec // 18000) * 18000 * 1000000) as event_window_start

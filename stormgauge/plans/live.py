@@ -13,6 +13,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from stormgauge.contracts import TABLES, Table, conform
 from stormgauge.session import build_session
@@ -26,6 +27,7 @@ from stormgauge.sources.readings import (
     kafka_messages,
     route_readings,
 )
+from stormgauge.sources.schemas import READING_SCHEMA
 from stormgauge.streaming import kpis
 from stormgauge.streaming.runner import BatchSink, await_all, console_sink, start
 
@@ -39,6 +41,12 @@ class LiveJob:
     table: Table
     build: Callable[..., DataFrame]
 
+    @property
+    def required(self) -> tuple[str, ...]:
+        """Key columns of the table that come from the message itself."""
+        fields = StructType.fromDDL(READING_SCHEMA).names
+        return tuple(k for k in self.table.key if k in fields)
+
     def start(
         self,
         messages: DataFrame,
@@ -50,13 +58,14 @@ class LiveJob:
         """Stream text messages through the KPI into the sinks, in update mode.
 
         A window is emitted again whenever it changes, so sinks must be keyed.  Messages
-        that are no readings are left out here; :func:`start_dead_letters` keeps them.
+        that are no readings, or lack a key of the table, are left out here;
+        :func:`start_dead_letters` keeps them.
         """
 
         def conforming(sink: BatchSink) -> BatchSink:
             return lambda batch, epoch: sink(conform(batch, self.table), epoch)
 
-        result = self.build(good_readings(route_readings(messages)), airports)
+        result = self.build(good_readings(route_readings(messages, required=self.required)), airports)
         return start(
             result,
             [conforming(s) for s in sinks],
@@ -67,11 +76,15 @@ class LiveJob:
 
 
 def start_dead_letters(
-    messages: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    required: Sequence[str] = ("airport_code",),
 ) -> StreamingQuery:
-    """Append the text of messages that are no readings to a folder, by epoch."""
+    """Append the text of messages that fail to a folder, by epoch; ``required`` as in routing."""
     return start(
-        failed_messages(route_readings(messages)),
+        failed_messages(route_readings(messages, required=required)),
         [changelog_sink(path)],
         checkpoint,
         mode="append",
@@ -144,6 +157,7 @@ def main(argv: list[str] | None = None) -> None:
         args.dead_letters or f"{place}-dead-letters",
         f"{place}-dead-letters-checkpoint",
         args.available_now,
+        job.required,
     )
     query = job.start(messages, airports, sinks, args.checkpoint, args.available_now)
     await_all([query, dead_letters])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,22 +58,25 @@ def parse_readings(messages: DataFrame, column: str = "value") -> DataFrame:
     return messages.select(parsed.alias("data")).select("data.*")
 
 
-def route_readings(messages: DataFrame, column: str = "value") -> DataFrame:
+def route_readings(
+    messages: DataFrame, column: str = "value", required: Sequence[str] = ("airport_code",)
+) -> DataFrame:
     """Parsed readings plus the message text and a ``failed`` flag.
 
-    A message fails if it is not valid JSON for the schema or carries no event
-    time: without one it could join no time window and would vanish silently.
+    A message fails if it is not valid JSON for the schema, carries no event time (it
+    could join no time window and would vanish silently) or lacks a ``required`` field: those
+    are key columns of the table to be written, which may not be NULL.
     """
     options = {**JSON_OPTIONS, "columnNameOfCorruptRecord": CORRUPT}
     parsed = F.from_json(
         F.col(column).cast("string"), f"{READING_SCHEMA}, {CORRUPT} string", options
     )
+    failed = F.col(f"data.{CORRUPT}").isNotNull()
+    for name in ("start_time_utc", *required):
+        failed |= F.col(f"data.{name}").isNull()
     return (
         messages.withColumn("data", parsed)
-        .withColumn(
-            "failed",
-            F.col(f"data.{CORRUPT}").isNotNull() | F.col("data.start_time_utc").isNull(),
-        )
+        .withColumn("failed", failed)
         .withColumn("data", F.col("data").dropFields(CORRUPT))
     )
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -59,6 +61,29 @@ def console_sink(rows: int = 20) -> BatchSink:
     return write
 
 
-def await_all(queries: Sequence[StreamingQuery]) -> None:
+def await_all(queries: Sequence[StreamingQuery], poll_seconds: int = 5) -> None:
+    """Wait until all queries have ended.
+
+    If any of them fails, the others are stopped and its error is raised.
+    """
+    streams = SparkSession.active().streams
+    try:
+        while any(query.isActive for query in queries):
+            with contextlib.suppress(StreamingQueryException):
+                # the error may be another query's; those of ours are looked up
+                streams.awaitAnyTermination(poll_seconds)
+            streams.resetTerminated()
+            _raise_first(queries)
+        _raise_first(queries)
+    except BaseException:
+        for query in queries:
+            if query.isActive:
+                query.stop()
+        raise
+
+
+def _raise_first(queries: Sequence[StreamingQuery]) -> None:
     for query in queries:
-        query.awaitTermination()
+        error = None if query.isActive else query.exception()
+        if error is not None:
+            raise error

@@ -101,8 +101,20 @@ class Job:
         found = events.where(F.col("local_start_ts") < after.cast("timestamp_ntz"))
         if self.history_days is None:
             return found
-        before = F.date_sub(F.to_date(F.lit(first)), self.history_days)
-        return found.where(F.col("local_end_ts") >= before.cast("timestamp_ntz"))
+        before = F.date_sub(F.to_date(F.lit(first)), self.history_days).cast("timestamp_ntz")
+        # an end may lie before its start; rows count from where either reaches
+        return found.where((F.col("local_end_ts") >= before) | (F.col("local_start_ts") >= before))
+
+    def partitions_for(self, events: DataFrame, months: Months) -> DataFrame:
+        """Events without the partitions (UTC months) behind all that a period depends on.
+
+        There is no bound the other way, as an event may run on for any time.
+        """
+        if not {"event_year", "event_month"} <= set(events.columns):
+            return events
+        last = max(12 * y + m for y, m in map(_year_and_month, months))
+        ahead = last + 1 + (AHEAD_DAYS[self.period] + 34) // 28
+        return events.where(F.col("event_year") * 12 + F.col("event_month") <= ahead)
 
 
 def _year_and_month(text: str) -> tuple[int, int]:
@@ -156,6 +168,8 @@ def publish(
         if jdbc:
             raise ValueError("a period can only be replaced in files")
     spark = events.sparkSession
+    if months:
+        events = job.partitions_for(events, months)
     # two columns of the table; such events have no part in any measure
     unknown = events.where(F.col("local_start_ts").isNull() | F.col("local_end_ts").isNull()).count()
     if unknown:

@@ -501,7 +501,7 @@ def spanning_forest(met: np.ndarray) -> list[tuple[int, int]]:
 class Joined:
     """Which nodes a task has joined already; starts over when full, which only repeats edges."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 200_000):
         self.parent: dict[int, int] = {}
         self.limit = limit
 

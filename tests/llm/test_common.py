@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from stormgauge.llm import common
 from stormgauge.llm.common import first_rows_per
 
 
@@ -18,3 +19,23 @@ def test_first_rows_are_cut_before_a_group_meets(spark):
     assert len(rows) == 3000 and set(rows) == expected
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("row_number()") == 2
+
+
+def test_bounded_sample_takes_whole_texts_up_to_its_bytes(spark):
+    rows = [(i, "a", "x" * 10) for i in range(30)] + [(99, "b", "y" * 5000), (100, "b", None)]
+    rows += [(7, "a", "x" * 10), (7, "a", "another text of the same id"), (8, "a", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, label string, text string")
+    ids = frame.select(*common.text_keys("doc_id", "text"), "label")
+    texts = frame.select("doc_id", "text")
+
+    def sample(per_label, label_bytes):
+        return common.bounded_sample(ids, texts, per_label, label_bytes).to_pylist()
+
+    everything = sample(100, 10_000)
+    assert [r["doc_id"] for r in everything] == [*range(30), 99]
+    # the text that reaches the bound is the last one, and is taken whole
+    few = sample(100, 45)
+    assert sum(r["label"] == "a" for r in few) in (3, 4, 5) and few[-1]["text"] == "y" * 5000
+    assert len(sample(4, 10_000)) == 5 and all(r in everything for r in sample(4, 10_000))
+    assert sample(4, 10_000) == sample(4, 10_000)
+    assert common.bounded_sample(ids.limit(0), texts, 4, 100).num_rows == 0

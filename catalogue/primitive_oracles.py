@@ -151,6 +151,17 @@ select a.airport_code, a.event_id as left_event_id, b.event_id as right_event_id
   {_secs("greatest(a.s, b.s)", "least(a.e, b.e)")} as seconds
 from dense a join dense b on a.airport_code = b.airport_code and a.s < b.e and b.s < a.e
 where a.type = 'FOG' and b.type = 'SNOW' and a.e > a.s and b.e > b.s""",
+    "overlapping_pairs_nested": f"""
+with {DENSE},
+longer as (
+  select airport_code, event_id, type, s,
+    e + to_days(cast(case when event_id % 40 = 1 then event_id % 301 else 0 end as integer)) as e
+  from dense where e > s
+)
+select a.airport_code, a.event_id as left_event_id, b.event_id as right_event_id,
+  {_secs("greatest(a.s, b.s)", "least(a.e, b.e)")} as seconds
+from longer a join longer b on a.airport_code = b.airport_code and a.s < b.e and b.s < a.e
+where a.type = 'FOG' and b.type = 'SNOW'""",
     "rejected_events": f"""
 with {DENSE}
 select case when event_id % 107 = 11 then 'malformed line' else 'no event id' end as reason,

@@ -12,7 +12,7 @@ from catalogue.scratch import shared_folder
 from catalogue.fixtures import dense, flawed_raw_events, raw_events, readings, sparse
 from stormgauge.functions import calendar as cal
 from stormgauge.functions import weather
-from stormgauge.operators import cleaning, intervals, seasons, timeline
+from stormgauge.operators import cleaning, intervals, overlaps, seasons, timeline
 from stormgauge.operators.cooccurrence import cooccurrence_minutes_daily
 from stormgauge.operators.exposure import exposure_hours_daily
 from stormgauge.operators.ranking import keep_first, top_per_group
@@ -194,6 +194,25 @@ def overlapping_pairs_any_severity(spark, sf_dir):
     )
 
 
+def overlapping_pairs_nested(spark, sf_dir):
+    """All fog and snow of one airport that overlap, one event in forty for up to 300 days.
+
+    Covers of a few blocks per event meet starts, so a long event is not copied to its days.
+    """
+    spans = _spans(spark, sf_dir, "airport_code", "event_id", "type")
+    longer = F.when(F.col("event_id") % 40 == 1, (F.col("event_id") % 301) * 86400).otherwise(0)
+    spans = spans.withColumn("end_s", F.col("end_s") + longer)
+    pairs = overlaps.nested_overlap_join(
+        spans.where(weather.type_in("type", ["fog"])).drop("type"),
+        spans.where(weather.type_in("type", ["snow"])).drop("type"),
+        ["airport_code"],
+    )
+    end, start = F.least("left_end_s", "right_end_s"), F.greatest("left_start_s", "right_start_s")
+    return pairs.select(
+        "airport_code", "left_event_id", "right_event_id", (end - start).alias("seconds")
+    )
+
+
 def episodes_session_window(spark, sf_dir):
     """Episodes with a pause of at most a minute, by Spark's session windows."""
     return intervals.session_windows(dense(spark, sf_dir), AIRPORT_TYPE, 60)
@@ -519,6 +538,7 @@ _ALL = (
     interval_overlap_join,
     overlapping_pairs,
     overlapping_pairs_any_severity,
+    overlapping_pairs_nested,
     episodes_session_window,
     rejected_events,
     timeline_segments,

@@ -1,6 +1,9 @@
 """Fog and snow that overlap: every severity meets every other."""
 
+import pytest
+
 from catalogue.primitives import QUERIES
+from stormgauge.operators.overlaps import block_entries, nested_overlap_join
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -14,3 +17,41 @@ def test_all_severities_meet(spark):
     print("pairs", len(heavy), len(every))
     # a quarter of each side is heavy
     assert heavy < every and len(every) > 4 * len(heavy)
+
+
+SCHEMA = "k string, id int, start_s long, end_s long"
+
+
+@pytest.mark.parametrize("base, fan, levels", [(3600, 2, 1), (900, 4, 3), (10_800, 8, 4), (7, 2, 20)])
+def test_nested_join_finds_each_pair_once(spark, base, fan, levels):
+    # lengths from nothing to 300 days, times on both sides of 1970, ties and borders of blocks
+    spans = [(i, (i * 7919) % 300_000 - 150_000, 10_800 * (i % 5) + 12 ** (i % 8)) for i in range(60)]
+    spans = [(i, s - s % 900 if i % 3 else s, s + d - 1) for i, s, d in spans]
+    spans += [(60, 0, 300 * 86_400), (61, 0, 300 * 86_400), (62, 0, 0), (63, 10_800, 21_600)]
+    frame = spark.createDataFrame(
+        [("K", *s) for s in spans] + [("K", 70, None, 5), ("K", 71, 5, None), (None, 72, 0, 10)], SCHEMA
+    )
+    got = nested_overlap_join(frame, frame, ["k"], base, fan, levels).select("left_id", "right_id")
+    want = [
+        (a[0], b[0])
+        for a in spans for b in spans
+        if a[1] < b[2] and b[1] < a[2] and a[2] > a[1] and b[2] > b[1]
+    ]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
+def test_long_events_cost_few_rows(spark):
+    year = spark.createDataFrame([("K", 1, 0, 300 * 86_400), ("K", 2, 0, 3_600)], SCHEMA)
+    counts = dict(block_entries(year, True).groupBy("id").count().collect())
+    assert counts[1] <= 9 + 4 and counts[2] == 1 + 4
+
+
+def test_nested_join_of_nothing(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert nested_overlap_join(none, none, ["k"]).count() == 0
+
+
+def test_nested_join_is_one_equi_join(spark):
+    frame = spark.createDataFrame([("K", 1, 0, 10)], SCHEMA)
+    plan = nested_overlap_join(frame, frame, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Union" not in plan and "Aggregate" not in plan

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stormgauge.functions import calendar as cal
@@ -80,6 +80,20 @@ def rejected_events(raw: DataFrame) -> DataFrame:
     return rows.select("reason", F.col("eventid").alias("event_id"), line.alias("line"))
 
 
+def order_of_copies(typed: DataFrame) -> Column:
+    """What the copies of an event id are ordered by; the first one stays."""
+    rest = [c for c in typed.columns if c not in ("event_id", "start_time_utc")]
+    return F.struct("start_time_utc", *rest)
+
+
+def first_events(rows: DataFrame, typed: bool = False) -> DataFrame:
+    """One typed row per event id of raw rows, or of rows that are ``typed`` already."""
+    if not typed:
+        usable = _with_reason(rows).where(F.col("reason").isNull())
+        rows = typed_events(usable.drop(CORRUPT, "reason"))
+    return keep_first(rows, ["event_id"], ["start_time_utc"])
+
+
 def clean_events(raw: DataFrame) -> DataFrame:
     """Typed, enriched events, one row per event id: the one that starts first.
 
@@ -89,5 +103,4 @@ def clean_events(raw: DataFrame) -> DataFrame:
     Copies are dropped before enrichment, so only the typed source columns are
     shuffled, and of each id at most one row per map task.
     """
-    usable = _with_reason(raw).where(F.col("reason").isNull()).drop(CORRUPT, "reason")
-    return enrich_events(keep_first(typed_events(usable), ["event_id"], ["start_time_utc"]))
+    return enrich_events(first_events(raw))

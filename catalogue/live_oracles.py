@@ -90,6 +90,10 @@ from placed group by airport_code, state, county, event_window_start""",
     "stream_sliding_kpi": SLIDING_KPI,
     "stream_sliding_kpi_with_airports": SLIDING_KPI,
     "changelog_upsert": SLIDING_KPI,
+    "merge_on_read": SLIDING_KPI,
+    "merge_on_read_asked_keys": f"""
+select * from ({SLIDING_KPI}) where airport_code between 'K3' and 'K5'
+  and event_window_start between make_timestamp(1705276800000000) and make_timestamp(1705449600000000)""",
     # of the places read for an airport the smallest goes along
     "stream_run_sliding_kpi": SLIDING_KPI.replace(
         "concat('C', cast(user_id % 10 as varchar)) as county",

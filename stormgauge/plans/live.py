@@ -11,14 +11,18 @@ import argparse
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from stormgauge.contracts import TABLES, Table, conform
+from stormgauge.functions.calendar import DAY_SECONDS, bucket_number
 from stormgauge.session import build_session
 from stormgauge.sinks.changelog import changelog_sink
 from stormgauge.sinks.jdbc import JdbcTarget, append_sink, statement_runner, upsert_sink
+from stormgauge.sinks.ledger import once_per_epoch
+from stormgauge.sinks.ranged import RangedTable
 from stormgauge.sources.files import read_airports
 from stormgauge.sources.readings import (
     failed_messages,
@@ -41,6 +45,12 @@ class LiveJob:
     table: Table
     build: Callable[..., DataFrame]
 
+    def merged_table(self, spark: SparkSession, path: str) -> RangedTable:
+        """The table merged on reading; a day of windows is a place."""
+        start = next(f.name for f in self.table.schema if f.name.endswith("_start"))
+        place = bucket_number(F.unix_seconds(start), DAY_SECONDS)
+        return RangedTable(spark, path, self.table.key, place)
+
     @property
     def required(self) -> tuple[str, ...]:
         """Key columns of the table that come from the message itself."""
@@ -119,6 +129,7 @@ def main(argv: list[str] | None = None) -> None:
     cli.add_argument("--airports", help="airport dimension CSV")
     cli.add_argument("--checkpoint", required=True)
     cli.add_argument("--changelog", help="folder of the keyed changelog")
+    cli.add_argument("--merged-table", metavar="FOLDER", help="keyed table merged when it is read")
     cli.add_argument("--jdbc-url")
     cli.add_argument("--dbtable")
     cli.add_argument("--dbuser")
@@ -136,9 +147,12 @@ def main(argv: list[str] | None = None) -> None:
     sinks: list[BatchSink] = []
     if args.changelog:
         sinks.append(changelog_sink(args.changelog))
+    if args.merged_table:
+        sinks.append(job.merged_table(spark, args.merged_table).add_epoch)
     if args.jdbc_url and args.jdbc_mode == "append":
         # every version of a window, for tables without a key
-        sinks.append(append_sink(_target(args)))
+        ledger = f"{args.checkpoint.rstrip('/')}-appended"
+        sinks.append(once_per_epoch(append_sink(_target(args)), ledger))
     elif args.jdbc_url:
         sinks.append(_database_sink(args, job))
     if args.console or not sinks:

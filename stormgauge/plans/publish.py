@@ -28,6 +28,7 @@ from stormgauge.operators.sequences import risky_sequences
 from stormgauge.operators.sessions import longest_episodes, winter_burstiness
 from stormgauge.session import build_session, remove_folder, shared_folder
 from stormgauge.sinks.jdbc import JdbcTarget, write_jdbc
+from stormgauge.sinks.versions import write_snapshot
 from stormgauge.sources.files import read_events
 
 
@@ -154,19 +155,23 @@ def publish(
     parquet: str | None = None,
     jdbc: Callable[[DataFrame], None] | None = None,
     months: Months | None = None,
+    snapshots: bool = False,
     **parameters,
 ) -> None:
     """Build a table and write it to a folder, to a database, or both.
 
     Files lie in one folder per period.  With ``months`` the look-back is read, but only
     the rows of that range are written, and only their folders are replaced; a period
-    that has no rows any more loses its folder.  The staged result is deleted at the end.
+    that has no rows any more loses its folder.  With ``snapshots`` the files are a version of
+    their own that readers see once it is whole.  The staged result is deleted at the end.
     """
     if months:
         if job.period is None:
             raise ValueError(f"{job.table.name} can only be built as a whole")
         if jdbc:
             raise ValueError("a period can only be replaced in files")
+        if snapshots:
+            raise ValueError("a snapshot is always of the whole table")
     spark = events.sparkSession
     if months:
         events = job.partitions_for(events, months)
@@ -181,7 +186,9 @@ def publish(
         result = job.staged(source, staging, **parameters)
         if jdbc:
             jdbc(result)
-        if parquet and job.period is None:
+        if parquet and snapshots:
+            write_snapshot(result, parquet)
+        elif parquet and job.period is None:
             result.write.mode("overwrite").parquet(parquet)
         elif parquet:
             rows = job.with_period(result)
@@ -209,6 +216,7 @@ def main(argv: list[str] | None = None) -> None:
         "--months", nargs=2, metavar="YYYY-MM", help="replace only the rows of these local months"
     )
     cli.add_argument("--parquet", help="write to a folder of this name under the given path")
+    cli.add_argument("--snapshots", action="store_true", help="write each run as a version of its own")
     cli.add_argument("--jdbc-url")
     cli.add_argument("--dbtable")
     cli.add_argument("--dbuser")
@@ -223,6 +231,8 @@ def main(argv: list[str] | None = None) -> None:
     job = JOBS[args.job]
     if args.months and (job.period is None or args.jdbc_url):
         cli.error("--months needs a table with periods and goes to files only")
+    if args.snapshots and (args.months or not args.parquet):
+        cli.error("--snapshots writes whole tables to files")
 
     spark = build_session(f"publish_{args.job}")
     target = JdbcTarget(
@@ -237,6 +247,7 @@ def main(argv: list[str] | None = None) -> None:
         if args.jdbc_url
         else None,
         tuple(args.months) if args.months else None,
+        snapshots=args.snapshots,
         **_parameters(args),
     )
 

@@ -14,6 +14,7 @@ from stormgauge.plans import publish, transform
 from stormgauge.plans.publish import JOBS
 from stormgauge.session import shared_folder
 from stormgauge.sinks.jdbc import JdbcTarget, merge_statement, placed, statement_runner
+from stormgauge.sinks import versions
 from stormgauge.sinks.parquet import write_partitioned
 from stormgauge.sources.files import read_airports, read_events, read_raw
 from stormgauge.sources.schemas import EVENTS_CLEAN_SCHEMA, RAW_COLUMNS
@@ -260,3 +261,16 @@ def test_plans_form_no_products_and_scan_once(spark, name):
     assert "SinglePartition" not in plan
     for table in ("events.parquet", "orders.parquet"):
         assert plan.count(f"/{table}") <= 1
+
+
+def test_publish_keeps_versions(spark, landing, tmp_path):
+    path = str(tmp_path / "in")
+    write_partitioned(clean_events(read_raw(spark, str(landing / "raw" / "2025-09-01"))), path)
+    call = ["longest_episodes", "--input", path, "--parquet", str(tmp_path / "out"), "--snapshots"]
+    for _ in range(3):
+        publish.main(call)
+    out = str(tmp_path / "out" / "longest_episodes")
+    assert versions.versions(spark, out) == [2, 3]
+    assert versions.read_snapshot(spark, out, 2).count() == versions.read_snapshot(spark, out).count() > 0
+    with pytest.raises(SystemExit):
+        publish.main([*call, "--months", "2016-01", "2016-02"])

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stormgauge.plans import compact
 from stormgauge.plans.live import LIVE_JOBS, start_dead_letters
 from stormgauge.sinks.changelog import changelog_sink, read_latest
 from stormgauge.sources.readings import file_messages
@@ -53,3 +54,21 @@ def test_a_failing_query_stops_the_others(spark, tmp_path):
     with pytest.raises(Exception, match="no room left"):
         await_all([going, failing], 1)
     assert not going.isActive and not failing.isActive
+
+
+def test_a_live_table_merged_on_reading(spark, tmp_path):
+    job = LIVE_JOBS["weather_realtime_sliding"]
+    feed, path = tmp_path / "feed", str(tmp_path / "table")
+    feed.mkdir()
+    table = job.merged_table(spark, path)
+    for n, minute in enumerate(("10", "20")):
+        line = json.dumps({**GOOD, "start_time_utc": f"2024-01-01T00:{minute}:00"})
+        (feed / f"{n}.txt").write_text(line)
+        job.start(file_messages(spark, str(feed)), None, [table.add_epoch], str(tmp_path / "c"), True).awaitTermination()
+    counts = {r.event_count for r in table.read().collect()}
+    assert counts == {2} and table.read().count() == 4
+    compact.main(["weather_realtime_sliding", "--merged-table", path])
+    # windows begin on the last day of the year before as well
+    assert {f.kind for f in table.files().collect()} == {"base"} and table.files().count() == 2
+    assert {r.event_count for r in table.read({"airport_code": ("K1", "K1")}).collect()} == {2}
+    assert table.read({"airport_code": ("K2", None)}).isEmpty()

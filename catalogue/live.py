@@ -13,10 +13,13 @@ from stormgauge.operators import ranking
 from stormgauge.operators.asof import as_of_join
 from stormgauge.sinks.changelog import changelog_sink, read_latest
 from stormgauge.sinks.ranged import RangedTable
+from stormgauge.sinks.versions import ensure_folder
 from stormgauge.sources import readings as feed
 from stormgauge.sources.files import read_airports
 from stormgauge.sources.schemas import CURRENT_FIELDS
 from stormgauge.streaming import kpis
+from stormgauge.streaming.late import Span, late_rows, late_split_sink, on_time_rows
+from stormgauge.streaming.runner import start
 from stormgauge.plans.live import LIVE_JOBS
 
 WINDOW_KEY = list(TABLES["weather_realtime_sliding"].key)
@@ -174,6 +177,29 @@ def stream_run_sliding_kpi(spark, sf_dir):
     )
 
 
+def late_readings_aside(spark, sf_dir):
+    """Three landings by time, every tenth reading one landing late, split by a live query.
+
+    One row per reading: whether it went on, and how many of its windows were closed.
+    """
+    rows, at = readings(spark, sf_dir), F.unix_seconds("start_time_utc")
+    due = F.when(at < 1704931200, 0).when(at < 1705795200, 1).otherwise(2)
+    part = F.least(F.lit(2), due + F.when(F.expr("event_id % 10 = 0"), 1).otherwise(0))
+    landing, folder = shared_folder(spark, "landing"), shared_folder(spark, "split")
+    checkpoint, sink = shared_folder(spark, "checkpoint"), late_split_sink(folder, Span(900, 7200, 1800))
+    ensure_folder(spark, landing)
+    stream = spark.readStream.schema(rows.schema).parquet(landing)
+    for n in range(3):
+        rows.where(part == n).write.mode("append").parquet(landing)
+        start(stream, [sink], checkpoint, mode="append", available_now=True).awaitTermination()
+    passed = on_time_rows(spark, folder).select("event_id", F.lit(True).alias("passed"))
+    aside = late_rows(spark, folder).select("event_id", "n_closed")
+    both = passed.join(aside, "event_id", "full")
+    return both.select(
+        "event_id", F.coalesce("passed", F.lit(False)).alias("passed"), F.coalesce("n_closed", F.lit(0)).alias("n_closed")
+    )
+
+
 def dead_letter_split(spark, sf_dir):
     """Every 50th message is cut off, every 70th has no event time; both must fail."""
     fields = [c for c in readings(spark, sf_dir).columns if c != "event_id"]
@@ -247,6 +273,7 @@ QUERIES = {
         merge_on_read,
         merge_on_read_asked_keys,
         stream_run_sliding_kpi,
+        late_readings_aside,
         dead_letter_split,
         parsed_readings,
         flatten_payload,

@@ -49,15 +49,36 @@ def commit(spark: SparkSession, table: str, version: int, text: str) -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    option = getattr(fs, "Options$Rename")
-    none = spark.sparkContext._gateway.new_array(option, 0)
+    if not _renamed(spark, fs, context, draft, final):
+        system.delete(draft, False)
+        raise Conflict(f"{table} has a version {version}")
+
+
+def _renamed(spark: SparkSession, fs, context, source, target) -> bool:
+    none = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
     try:
-        context.rename(draft, final, none)
+        context.rename(source, target, none)
     except Py4JJavaError as error:
-        system.delete(draft, False)
         if "AlreadyExists" in error.java_exception.getClass().getName():
-            raise Conflict(f"{table} has a version {version}") from error
+            return False
         raise
+    return True
+
+
+def move_once(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder unless there is one at ``target``, which then stays; says whether it did."""
+    fs, system, context = _hadoop(spark, target)
+    ensure_folder(spark, target.rsplit("/", 1)[0])
+    # a rename may replace an empty folder, and a written one never is empty
+    if not system.exists(fs.Path(target)) and _renamed(spark, fs, context, fs.Path(source), fs.Path(target)):
+        return True
+    remove_folder(spark, source)
+    return False
+
+
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    fs, system, _ = _hadoop(spark, path)
+    system.mkdirs(fs.Path(path))
 
 
 def version_text(spark: SparkSession, table: str, version: int) -> str:

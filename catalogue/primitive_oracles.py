@@ -63,6 +63,14 @@ daily as (
 select airport_code, count(*) as days, r2(cast(max(secs) as double) / 3600) as worst_day,
   max(event_date) as last_date
 from daily group by airport_code""",
+    "colocated_join": f"""
+select * from (
+  select airport_code, count(*) as days, max(exposure_hours_day) as worst_day
+  from ({BATCH["exposure_hours_daily"]}) as d group by airport_code
+) as d full join (
+  select airport_code, count(*) as episodes, max(session_duration_hours) as longest_hours
+  from ({BATCH["longest_episodes"]}) as s group by airport_code
+) as s using (airport_code)""",
     "contract_violations": f"""
 with {SPARSE},
 per_key as (

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stormgauge.contracts import TABLES, Table, conform, violations
+from catalogue.batch import RISK
 from catalogue.scratch import shared_folder
 from catalogue.fixtures import dense, flawed_raw_events, raw_events, readings, sparse
 from stormgauge.functions import calendar as cal
@@ -16,7 +17,13 @@ from stormgauge.operators import cleaning, intervals, overlaps, seasons, timelin
 from stormgauge.operators.cooccurrence import cooccurrence_minutes_daily
 from stormgauge.operators.exposure import exposure_hours_daily
 from stormgauge.operators.ranking import keep_first, top_per_group
-from stormgauge.sinks.parquet import register_external_table, write_bucketed, write_partitioned
+from stormgauge.operators.sessions import longest_episodes
+from stormgauge.sinks.parquet import (
+    join_colocated,
+    register_external_table,
+    write_bucketed,
+    write_partitioned,
+)
 from stormgauge.sources.files import dated_path, read_events, read_raw
 
 AIRPORT_TYPE = ["airport_code", "type"]
@@ -100,6 +107,31 @@ def bucketed_table(spark, sf_dir):
     )
 
 
+def colocated_join(spark, sf_dir):
+    """Exposure and episodes stored by airport in the same buckets, joined per airport without a shuffle."""
+    frames = {
+        "exposure_hours_daily": exposure_hours_daily(dense(spark, sf_dir), RISK),
+        "longest_episodes": longest_episodes(dense(spark, sf_dir), RISK),
+    }
+    names = []
+    for table, frame in frames.items():
+        names.append(f"{table}_{uuid.uuid4().hex}")
+        rows = conform(frame, TABLES[table])
+        write_bucketed(rows, names[-1], shared_folder(spark, "bucketed"), "airport_code", 8, ["airport_code"])
+
+    def days(rows):
+        return rows.groupBy("airport_code").agg(
+            F.count(F.lit(1)).alias("days"), F.max("exposure_hours_day").alias("worst_day")
+        )
+
+    def spells(rows):
+        return rows.groupBy("airport_code").agg(
+            F.count(F.lit(1)).alias("episodes"), F.max("session_duration_hours").alias("longest_hours")
+        )
+
+    return join_colocated(spark, *names, "full", days, spells)
+
+
 def contract_violations(spark, sf_dir):
     """Counts of missing values and repeated keys, on rows that do break a contract."""
     table = Table(
@@ -529,6 +561,7 @@ _ALL = (
     external_table,
     contract_conform,
     bucketed_table,
+    colocated_join,
     contract_violations,
     valid_intervals,
     split_by_day,

@@ -33,6 +33,7 @@ from stormgauge.sources.readings import (
 )
 from stormgauge.sources.schemas import READING_SCHEMA
 from stormgauge.streaming import kpis
+from stormgauge.streaming.late import Span, late_split_sink, on_time_stream
 from stormgauge.streaming.runner import BatchSink, await_all, console_sink, start
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -44,6 +45,7 @@ class LiveJob:
 
     table: Table
     build: Callable[..., DataFrame]
+    span: Span
 
     def merged_table(self, spark: SparkSession, path: str) -> RangedTable:
         """The table merged on reading; a day of windows is a place."""
@@ -72,10 +74,26 @@ class LiveJob:
         :func:`start_dead_letters` keeps them.
         """
 
+        return self.start_readings(self.good(messages), airports, sinks, checkpoint, available_now)
+
+    def good(self, messages: DataFrame) -> DataFrame:
+        """Parsed readings that have what the table's key needs."""
+        return good_readings(route_readings(messages, required=self.required))
+
+    def start_readings(
+        self,
+        readings: DataFrame,
+        airports: DataFrame | None,
+        sinks: Sequence[BatchSink],
+        checkpoint: str,
+        available_now: bool = False,
+    ) -> StreamingQuery:
+        """As :meth:`start`, for parsed readings."""
+
         def conforming(sink: BatchSink) -> BatchSink:
             return lambda batch, epoch: sink(conform(batch, self.table), epoch)
 
-        result = self.build(good_readings(route_readings(messages, required=self.required)), airports)
+        result = self.build(readings, airports)
         return start(
             result,
             [conforming(s) for s in sinks],
@@ -103,14 +121,17 @@ def start_dead_letters(
     )
 
 
+# delay, width and slide as in the KPIs
+_SLIDING = Span(900, 7200, 1800)
+
 LIVE_JOBS = {
-    name: LiveJob(TABLES[name], build)
-    for name, build in {
-        "weather_events_realtime": kpis.tumbling_means,
-        "weather_realtime_sliding": kpis.sliding_kpis,
-        "weather_state_analytics": kpis.state_volatility,
-        "weather_realtime_radiation": kpis.radiation_kpis,
-        "weather_realtime_instability": kpis.instability,
+    name: LiveJob(TABLES[name], build, span)
+    for name, (build, span) in {
+        "weather_events_realtime": (kpis.tumbling_means, Span(600, 18000, 18000)),
+        "weather_realtime_sliding": (kpis.sliding_kpis, _SLIDING),
+        "weather_state_analytics": (kpis.state_volatility, Span(86400, 21600, 21600)),
+        "weather_realtime_radiation": (kpis.radiation_kpis, _SLIDING),
+        "weather_realtime_instability": (kpis.instability, _SLIDING),
     }.items()
 }
 
@@ -126,6 +147,7 @@ def main(argv: list[str] | None = None) -> None:
     cli.add_argument("--offsets-per-batch", type=int, default=1_000_000)
     cli.add_argument("--files-per-batch", type=int, default=100)
     cli.add_argument("--dead-letters", help="folder of bad messages; default: beside the checkpoint")
+    cli.add_argument("--late", metavar="FOLDER", help="keep readings that come too late there")
     cli.add_argument("--airports", help="airport dimension CSV")
     cli.add_argument("--checkpoint", required=True)
     cli.add_argument("--changelog", help="folder of the keyed changelog")
@@ -173,8 +195,24 @@ def main(argv: list[str] | None = None) -> None:
         args.available_now,
         job.required,
     )
-    query = job.start(messages, airports, sinks, args.checkpoint, args.available_now)
-    await_all([query, dead_letters])
+    if not args.late:
+        query = job.start(messages, airports, sinks, args.checkpoint, args.available_now)
+        await_all([query, dead_letters])
+        return
+    folder, readings = args.late.rstrip("/"), job.good(messages)
+    split = start(
+        readings,
+        [late_split_sink(folder, job.span)],
+        f"{place}-late-checkpoint",
+        "append",
+        args.available_now,
+        name="late",
+    )
+    if args.available_now:
+        await_all([split])  # only then is there all that the KPI shall read
+    on_time = on_time_stream(spark, folder, readings.schema)
+    query = job.start_readings(on_time, airports, sinks, args.checkpoint, args.available_now)
+    await_all([query, dead_letters, split])
 
 
 def _target(args: argparse.Namespace) -> JdbcTarget:

@@ -43,6 +43,34 @@ def write_bucketed(
     writer.saveAsTable(table)
 
 
+def buckets_of(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """Number of buckets of a catalog table and the columns they go by; (0, []) without."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    columns = told.get("Bucket Columns", "[]").strip("[]").replace("`", "")
+    return int(told.get("Num Buckets", 0)), [c.strip() for c in columns.split(",") if c.strip()]
+
+
+def join_colocated(
+    spark: SparkSession, left: str, right: str, how: str = "inner", prepare_left=None, prepare_right=None
+) -> DataFrame:
+    """Join of two tables of the same buckets on their bucket column; neither is shuffled.
+
+    ``prepare_left`` and ``prepare_right`` (``DataFrame -> DataFrame``) may filter a side or sum it
+    up per key first, which needs no shuffle either.  Tables whose buckets differ would be shuffled
+    unnoticed and are refused.  A key's rows are in one bucket, so a table should be summed up
+    per key, or have bounded rows per key, before it is joined to many rows of the same key.
+    """
+    mine, theirs = buckets_of(spark, left), buckets_of(spark, right)
+    if mine != theirs or not mine[0]:
+        raise ValueError(f"{left} has buckets {mine}, {right} has {theirs}")
+    sides = [
+        prepare(spark.table(name)) if prepare else spark.table(name)
+        for name, prepare in ((left, prepare_left), (right, prepare_right))
+    ]
+    # sorted buckets are merged; without the hint a side that looks small is broadcast
+    return sides[0].hint("merge").join(sides[1], mine[1], how)
+
+
 def register_external_table(
     spark: SparkSession,
     table: str,

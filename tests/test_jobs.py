@@ -15,7 +15,7 @@ from stormgauge.plans.publish import JOBS
 from stormgauge.session import shared_folder
 from stormgauge.sinks.jdbc import JdbcTarget, merge_statement, placed, statement_runner
 from stormgauge.sinks import versions
-from stormgauge.sinks.parquet import write_partitioned
+from stormgauge.sinks.parquet import buckets_of, join_colocated, write_bucketed, write_partitioned
 from stormgauge.sources.files import read_airports, read_events, read_raw
 from stormgauge.sources.schemas import EVENTS_CLEAN_SCHEMA, RAW_COLUMNS
 from tests.helpers import events, rows
@@ -164,6 +164,27 @@ def test_bucketed_table_is_grouped_without_a_shuffle(spark):
     assert "Exchange" not in plan
 
 
+def test_tables_of_the_same_buckets_are_joined_without_a_shuffle(spark):
+    frame = queries()["colocated_join"](spark, "/root/testdata/sf0.001")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert frame.count() > 1
+
+
+def test_tables_of_other_buckets_are_refused(spark, tmp_path):
+    rows = spark.range(10).withColumnRenamed("id", "k")
+    for name, buckets in (("two_buckets", 2), ("four_buckets", 4)):
+        write_bucketed(rows, name, str(tmp_path / name), "k", buckets)
+    rows.write.option("path", str(tmp_path / "plain")).saveAsTable("no_buckets")
+    assert buckets_of(spark, "four_buckets") == (4, ["k"]) and buckets_of(spark, "no_buckets") == (0, [])
+    for right in ("four_buckets", "no_buckets"):
+        with pytest.raises(ValueError, match="buckets"):
+            join_colocated(spark, "two_buckets", right)
+    with pytest.raises(ValueError, match="buckets"):
+        join_colocated(spark, "no_buckets", "no_buckets")
+    assert join_colocated(spark, "two_buckets", "two_buckets").count() == 10
+
+
 def test_there_are_fifteen_tables():
     assert len(TABLES) == 15
     assert {t.place for t in TABLES.values()} == {"airport_code", "state"}

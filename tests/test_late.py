@@ -1,9 +1,16 @@
 """Late readings kept aside, and the KPI over those that go on."""
 
+import json
+import re
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
+from stormgauge.plans import live
 from stormgauge.sinks import versions
+from stormgauge.sinks.changelog import read_latest
+from stormgauge.sources.schemas import READING_SCHEMA
 from stormgauge.streaming import late
 from stormgauge.streaming.late import Span, late_rows, late_split_sink, on_time_rows, on_time_stream
 from stormgauge.streaming.runner import start
@@ -100,3 +107,34 @@ def test_a_live_count_misses_nothing_that_went_on(spark, tmp_path):
     for w, n in windows.collect():
         # id 5 went on for the one window that was open
         assert seen[w.start] - n in ((0, 1) if str(w.start).endswith(("08:30:00", "09:00:00")) else (0,))
+
+
+def test_live_job_with_a_folder_for_late_readings(spark, tmp_path):
+    feed, out, aside = tmp_path / "feed", str(tmp_path / "out"), str(tmp_path / "aside")
+    feed.mkdir()
+    call = ["weather_realtime_sliding", "--folder", str(feed), "--changelog", out, "--late", aside]
+    call += ["--checkpoint", str(tmp_path / "c"), "--available-now"]
+    for n, time in enumerate(("10:10:00", "14:10:00", "10:20:00")):
+        line = {"airport_code": "K1", "start_time_utc": f"2024-01-01T{time}", "temp_c": 1.0}
+        (feed / f"{n}.txt").write_text(json.dumps(line) + "\n")
+        live.main(call)
+    kept = late_rows(spark, aside).collect()
+    assert [(r.airport_code, r.n_closed) for r in kept] == [("K1", 4)]
+    now = read_latest(spark, out, live.LIVE_JOBS["weather_realtime_sliding"].table.key)
+    assert now.count() == 8 and {r.event_count for r in now.collect()} == {1}
+
+
+@pytest.mark.parametrize("name", sorted(live.LIVE_JOBS))
+def test_spans_are_those_of_the_kpis(spark, tmp_path, name):
+    job = live.LIVE_JOBS[name]
+    empty = spark.createDataFrame([], READING_SCHEMA)
+    one = empty.union(spark.createDataFrame([{"start_time_utc": datetime(2024, 1, 1)}], READING_SCHEMA))
+    made = job.build(one, None)
+    first, last = (next(c for c in made.columns if c.endswith(e)) for e in ("_start", "_end"))
+    seconds = made.select((F.unix_seconds(last) - F.unix_seconds(first)).alias("width")).distinct()
+    assert [r.width for r in seconds.collect()] == [job.span.width] and made.count() == job.span.per_row
+    stream = job.build(on_time_stream(spark, str(tmp_path), empty.schema), None)
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    delay = re.search(r"EventTimeWatermark .*?, start_time_utc#\d+: timestamp, (.*)", plan).group(1)
+    amount, unit = delay.split()[:2]
+    assert int(amount) * {"minutes": 60, "days": 86400}[unit] == job.span.delay

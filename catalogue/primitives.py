@@ -272,14 +272,10 @@ def running_active_count(spark, sf_dir):
     )
 
 
-def _state(spark, sf_dir):
-    spans = _spans(spark, sf_dir, *AIRPORT_TYPE)
-    return timeline.state_on_segments(spans, ["airport_code"], "type")
-
-
 def state_forward_fill(spark, sf_dir):
     """Active events of every type on every segment of the airport (as-of lookup)."""
-    return _state(spark, sf_dir).select(
+    found = timeline.state_on_segments(_spans(spark, sf_dir, *AIRPORT_TYPE), ["airport_code"], "type")
+    return found.select(
         *AIRPORT_TYPE,
         cal.wall_timestamp("ts_s").alias("ts"),
         cal.wall_timestamp("next_s").alias("next_ts"),
@@ -288,7 +284,7 @@ def state_forward_fill(spark, sf_dir):
 
 
 def active_type_sets(spark, sf_dir):
-    found = timeline.active_sets(_state(spark, sf_dir), ["airport_code"], "type")
+    found = timeline.sets_on_segments(_spans(spark, sf_dir, *AIRPORT_TYPE), ["airport_code"], "type")
     return found.select(
         "airport_code",
         cal.wall_timestamp("ts_s").alias("ts"),
@@ -299,7 +295,7 @@ def active_type_sets(spark, sf_dir):
 
 def active_type_pairs(spark, sf_dir):
     """Seconds per airport and unordered pair of types active together."""
-    found = timeline.active_sets(_state(spark, sf_dir), ["airport_code"], "type")
+    found = timeline.sets_on_segments(_spans(spark, sf_dir, *AIRPORT_TYPE), ["airport_code"], "type")
     pairs = found.select(
         "airport_code",
         (F.col("next_s") - F.col("ts_s")).alias("seconds"),

@@ -308,8 +308,8 @@ def net_markers(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def day_markers(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Net markers per (keys, ``day``, ``ts_s``), complete within each day.
+def marker_rows(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every start and end as a row: keys, ``day``, ``ts_s``, ``delta``, ``real``.
 
     An event running on from an earlier day also counts in at 00:00.  ``real``
     tells whether an event starts or ends at that second, or only runs on.
@@ -325,16 +325,17 @@ def day_markers(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.col("end_s").alias("ts_s"), F.lit(-1).alias("delta"), F.lit(True).alias("real")
     )
     ends_here = F.col("day") == last_day
-    return (
-        spans.withColumn("day", F.explode(F.sequence(first_day, last_day)))
-        .select(
-            *keys, "day", F.inline(F.when(ends_here, F.array(enter, leave)).otherwise(F.array(enter)))
-        )
-        .groupBy(*keys, "day", "ts_s")
-        .agg(F.sum("delta").alias("net"), F.bool_or("real").alias("real"))
+    return spans.withColumn("day", F.explode(F.sequence(first_day, last_day))).select(
+        *keys, "day", F.inline(F.when(ends_here, F.array(enter, leave)).otherwise(F.array(enter)))
     )
 
 
+def day_markers(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Net markers per (keys, ``day``, ``ts_s``), complete within each day; see :func:`marker_rows`."""
+    markers = marker_rows(spans, keys).groupBy(*keys, "day", "ts_s")
+    return markers.agg(F.sum("delta").alias("net"), F.bool_or("real").alias("real"))
+
+
 def overlap_seconds_daily(sides: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Seconds per (keys, day) during which both interval sets are active.
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stormgauge.functions.calendar import day_number
-from stormgauge.operators.intervals import EDGE, day_markers
+from stormgauge.operators.intervals import EDGE, day_markers, marker_rows
 
 
 def _chain(edge: Column) -> Column:
@@ -56,46 +56,60 @@ def running_counts(
     return placed.withColumn("active", F.sum("net").over(so_far)).drop("net")
 
 
-def state_on_segments(spans: DataFrame, place: Sequence[str], kind: str) -> DataFrame:
-    """Active events of each kind on every segment of a place, where there are any.
+def states_on_segments(spans: DataFrame, place: Sequence[str], kind: str) -> DataFrame:
+    """The active kinds on every segment of a place, where there are any, in one row.
 
-    Each marker is crossed with the kinds seen at the place that day (a small
-    vocabulary); the kinds it says nothing about get their last known count.
+    ``states`` holds structs of the kind and its number of active events, in order of the
+    kinds.  A marker is one row with a running count per kind, so the kinds are read first:
+    a small vocabulary, which becomes columns.
     """
+    found = spans.select(kind).where(F.col(kind).isNotNull()).distinct()
+    kinds = sorted(r[0] for r in found.collect()) or [None]
+    of_kind = {f"__{n}": F.lit(k).cast(spans.schema[kind].dataType) for n, k in enumerate(kinds)}
     day = [*place, "day"]
-    counts = running_counts(spans, [*place, kind], place=day)
-    kinds = F.collect_set(kind).over(Window.partitionBy(*day))
-    grid = (
-        counts.withColumn("kinds", kinds)
-        .withColumn("other", F.explode("kinds"))
-        .withColumn("known", F.when(F.col("other") == F.col(kind), F.col("active")))
-        .groupBy(*day, "ts_s", F.col("other").alias(kind))
-        .agg(F.max("known").alias("known"), F.max("real").alias("real"))
+    by_day = Window.partitionBy(*day).orderBy("ts_s")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # summed before rows are placed by day, so that a placed row is a distinct second
+    counts = marker_rows(spans, [*place, kind]).groupBy(*day, "ts_s").agg(
+        F.bool_or("real").alias("real"),
+        *[F.sum(F.when(F.col(kind) == k, F.col("delta"))).alias(n) for n, k in of_kind.items()],
     )
-    w = Window.partitionBy(*day, kind).orderBy("ts_s")
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = grid.withColumn(
-        "active", F.coalesce(F.last("known", ignorenulls=True).over(so_far), F.lit(0))
-    ).where("real")
-    within = filled.withColumns(
-        {"next_s": F.lead("ts_s").over(w), "position": F.row_number().over(w)}
+    filled = counts.withColumns({n: F.coalesce(F.sum(n).over(so_far), F.lit(0)) for n in of_kind})
+    states = [F.struct(k.alias(kind), F.col(n).alias("active")) for n, k in of_kind.items()]
+    within = filled.where("real").select(
+        *day,
+        "ts_s",
+        F.filter(F.array(*states), lambda state: state["active"] > 0).alias("states"),
+        F.lead("ts_s").over(by_day).alias("next_s"),
+        F.row_number().over(by_day).alias("position"),
     )
     edge = F.col("next_s").isNull() | (F.col("position") == 1)
-    # latest first: the smallest second seen so far is the nearest later marker
-    later = (
-        Window.partitionBy(*place, "chain")
-        .orderBy(-F.col("ts_s"))
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
+    along = Window.partitionBy(*place, "chain").orderBy("ts_s")
     return (
-        within.where(edge | (F.col("active") > 0))
+        within.where(edge | (F.size("states") > 0))
         .withColumn("chain", _chain(edge))
-        .withColumn("next_s", F.coalesce("next_s", F.min("ts_s").over(later)))
-        .where((F.col("active") > 0) & F.col("next_s").isNotNull())
-        .select(*place, kind, "ts_s", "next_s", "active")
+        .withColumn("next_s", F.coalesce("next_s", F.lead("ts_s").over(along)))
+        .where((F.size("states") > 0) & F.col("next_s").isNotNull())
+        .select(*place, "ts_s", "next_s", "states")
+    )
+
+
+def state_on_segments(spans: DataFrame, place: Sequence[str], kind: str) -> DataFrame:
+    """Active events of each kind on every segment of a place, where there are any."""
+    found = states_on_segments(spans, place, kind)
+    return found.select(*place, "ts_s", "next_s", F.inline("states")).select(
+        *place, kind, "ts_s", "next_s", "active"
     )
 
 
+def sets_on_segments(
+    spans: DataFrame, place: Sequence[str], kind: str, at_least: int = 2
+) -> DataFrame:
+    """Sorted set of active kinds per segment, as :func:`active_sets`, without regrouping."""
+    found = states_on_segments(spans, place, kind).where(F.size("states") >= at_least)
+    return found.select(*place, "ts_s", "next_s", F.col(f"states.{kind}").alias("kinds"))
+
+
 def active_sets(
     state: DataFrame, place: Sequence[str], kind: str, at_least: int = 2
 ) -> DataFrame:

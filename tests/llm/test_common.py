@@ -1,9 +1,11 @@
 """Rows ranked within parts of a group first."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from stormgauge.llm import common
-from stormgauge.llm.common import first_rows_per
+from stormgauge.llm.common import CLEANUP, first_rows_per, staged
 
 
 def test_first_rows_are_cut_before_a_group_meets(spark):
@@ -39,3 +41,20 @@ def test_bounded_sample_takes_whole_texts_up_to_its_bytes(spark):
     assert len(sample(4, 10_000)) == 5 and all(r in everything for r in sample(4, 10_000))
     assert sample(4, 10_000) == sample(4, 10_000)
     assert common.bounded_sample(ids.limit(0), texts, 4, 100).num_rows == 0
+
+
+def test_shuffle_files_of_a_staged_table_are_deleted(spark):
+    """op6: the files of every pass stayed on the disk until the driver collected its garbage."""
+
+    def files():
+        held = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+    before, key = files(), spark.conf.get(CLEANUP)
+    own = spark.range(1000).repartition(7, "id")
+    made = [staged(own.groupBy(F.col("id") % 10).count(), "one"), staged(own, "two")]
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(CLEANUP) == key
+    assert [frame.count() for frame in (*made, own)] == [10, 1000, 1000]

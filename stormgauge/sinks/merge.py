@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stormgauge import session
@@ -33,6 +33,11 @@ def _months(rows: DataFrame) -> set[Month]:
     return {tuple(r) for r in rows.select(*EVENTS_CLEAN_PARTITIONS).distinct().collect()}
 
 
+def _present() -> Column:
+    """The months of the rows that pass; a month of NULLs counts as one."""
+    return F.collect_set(F.struct(*EVENTS_CLEAN_PARTITIONS)).alias("months")
+
+
 def _folder(target: str, month: Month) -> str:
     named = zip(EVENTS_CLEAN_PARTITIONS, month)
     return "/".join([target, *(f"{c}={NO_VALUE if v is None else v}" for c, v in named)])
@@ -108,10 +113,11 @@ def merge_events(spark: SparkSession, raw: DataFrame, target: str, work: str) ->
         if not changed:
             return changed
         rows = held.where(_in_months(changed)).select(*new.columns).union(accepted)
-        enrich_events(first_events(rows, typed=True)).write.parquet(f"{work}/rows")
-        rewritten = spark.read.parquet(f"{work}/rows")
-        write_partitioned(rewritten, target)
-        for month in changed - _months(rewritten):
+        # the changed months are put in place when all of them are written, so they may be read till then
+        seen = Observation()
+        made = enrich_events(first_events(rows, typed=True)).observe(seen, _present())
+        write_partitioned(made, target)
+        for month in changed - {tuple(m) for m in seen.get["months"]}:
             session.remove_folder(spark, _folder(target, month))
         return changed
     finally:

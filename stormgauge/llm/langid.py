@@ -2,10 +2,11 @@
 
 A text is the mean of the embeddings of the byte n-grams of its marked words; a linear
 softmax over that mean gives the languages.  Both are trained by stochastic gradient
-descent in numpy on a bounded, stratified sample.  As the classifier is linear in the mean,
-embeddings and weights are multiplied once after training, and predicting is one small
-table lookup per n-gram.  A temperature makes scores probabilities, and a threshold, both
-set on sample rows that were not trained on, rejects what is too uncertain.
+descent in numpy on all usable rows: one task trains on each shard of them, all from the same
+start.  As the classifier is linear in the mean, embeddings and weights are multiplied after
+training, the products of the shards are averaged, and predicting is one small table lookup
+per n-gram.  A temperature makes scores probabilities, and a threshold, both set on rows that
+were not trained on, rejects what is too uncertain.
 
 Whole texts are predicted, whatever their length.  Null texts and texts without a letter
 are ``und`` with score 0 and rejected; so is everything if there is no labelled row.  Only
@@ -24,20 +25,24 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormgauge.llm.common import bounded_sample, small_batches, text_keys
+from stormgauge.llm.common import PARTS_SCHEMA, averaged, discard, sliced, small_batches, staged, training_rows
 from stormgauge.llm.words import Words, chunks, grams
 
 UNDETERMINED = "und"
 SIZES = (2, 3, 4)
 BITS = 16
 DIMENSIONS = 16
-# bounds of the training sample: rows for each language, rows in all, and bytes of text in all
-ROWS_PER_LANGUAGE = 1200
-ROWS = 24_000
-SAMPLE_BYTES = 64 << 20
+# most labels a model may have
+MOST_LABELS = 24_000
+# a shard goes over its rows until it has made about so many steps, once at least, EPOCHS times at most
+STEPS = 9_000
+EPOCHS = 6
+# steps of the score when thresholds are set
+BINS = 10_000
 # share of accepted rows that may be wrong, and the least score ever asked for
 ACCEPTED_ERROR = 0.01
 LEAST_SCORE = 0.4
+TEMPERATURES = np.geomspace(0.05, 20, 60)
 _HAS_LETTER = regex.compile(r"\p{L}")
 
 
@@ -99,19 +104,19 @@ def _features(texts: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray]]:
     out = []
     for _, count, words in chunks(texts):
         inverse, buckets, first = distinct_grams(words)
-        length = np.diff(first)
-        edge = words.first
+        by_place = buckets.T
+        valid = by_place < 1 << BITS
+        flat = by_place[valid].astype(np.uint16)
+        length = np.add.reduceat(valid.sum(axis=1), first[:-1]) if len(first) > 1 else first[:0]
+        begin, edge = np.cumsum(length) - length, words.first
         for k in range(count):
-            word, n = np.unique(inverse[edge[k] : edge[k + 1]], return_counts=True)
+            word = inverse[edge[k] : edge[k + 1]]
             size = length[word]
-            at = np.repeat(first[word], size) + _ranges(size)
-            found = np.bincount(
-                buckets[:, at].ravel(),
-                weights=np.tile(np.repeat(n, size), len(SIZES)),
-                minlength=(1 << BITS) + 1,
-            )[:-1]
-            bucket = np.flatnonzero(found)
-            out.append((bucket.astype(np.uint16), (found[bucket] / max(found.sum(), 1)).astype(np.float32)))
+            # 16-bit numbers are sorted by radix
+            found = np.sort(flat[np.repeat(begin[word], size) + _ranges(size)], kind="stable")
+            at = np.flatnonzero(np.concatenate(([len(found) > 0], found[1:] != found[:-1])))
+            n = np.diff(at, append=len(found))
+            out.append((found[at], (n / max(len(found), 1)).astype(np.float32)))
     return out
 
 
@@ -135,6 +140,16 @@ def train(texts, labels: list[str], epochs: int = 6, rate: float = 0.5, seed: in
     order = rng.permutation(n_texts)
     held = order[: len(order) // 5]
     fit = order[len(order) // 5 :]
+    scores, bias = _descend(features, target, fit, k, epochs, rate, rng)
+    model = LanguageModel(languages, scores, bias.astype(np.float64))
+    held = held if len(held) else fit
+    logits = np.array([features[i][1] @ model.scores[features[i][0]] + bias for i in held])
+    _calibrate(model, logits, target[held])
+    return model
+
+
+def _descend(features, target, fit, k: int, epochs: int, rate: float, rng) -> tuple[np.ndarray, np.ndarray]:
+    """Scores of the n-gram buckets and biases after ``epochs`` passes over the rows ``fit``."""
     embedding = rng.normal(0, 0.1, (1 << BITS, DIMENSIONS)).astype(np.float32)
     weights = rng.normal(0, 0.1, (DIMENSIONS, k)).astype(np.float32)
     bias = np.zeros(k, np.float32)
@@ -142,7 +157,8 @@ def train(texts, labels: list[str], epochs: int = 6, rate: float = 0.5, seed: in
     for _ in range(epochs):
         for i in rng.permutation(fit):
             bucket, share = features[i]
-            mean = share @ embedding[bucket]
+            rows = embedding[bucket]
+            mean = share @ rows
             error = _softmax(mean @ weights + bias)
             error[target[i]] -= 1
             now = rate * (1 - step / steps)
@@ -150,13 +166,10 @@ def train(texts, labels: list[str], epochs: int = 6, rate: float = 0.5, seed: in
             weights -= now * np.outer(mean, error)
             bias -= now * error
             # every n-gram of the text takes part in its share, scaled to a useful step
-            embedding[bucket] -= (now * 40 * share)[:, None] * back
+            rows -= (now * 40 * share)[:, None] * back
+            embedding[bucket] = rows
             step += 1
-    model = LanguageModel(languages, embedding @ weights, bias.astype(np.float64))
-    held = held if len(held) else fit
-    logits = np.array([features[i][1] @ model.scores[features[i][0]] + bias for i in held])
-    _calibrate(model, logits, target[held])
-    return model
+    return embedding @ weights, bias
 
 
 def _calibrate(model: LanguageModel, logits: np.ndarray, target: np.ndarray) -> None:
@@ -165,35 +178,108 @@ def _calibrate(model: LanguageModel, logits: np.ndarray, target: np.ndarray) ->
     def loss(temperature):
         return -np.log(_softmax(logits / temperature)[row, target] + 1e-12).mean()
 
-    model.temperature = float(min(np.geomspace(0.05, 20, 60), key=loss))
+    model.temperature = float(min(TEMPERATURES, key=loss))
     best, score = model.choose(logits)
     order = np.argsort(-score)
-    wrong = np.cumsum(best[order] != target[order]) / (row + 1)
-    fine = np.flatnonzero(wrong <= ACCEPTED_ERROR)
-    asked = score[order][fine[-1]] if len(fine) and fine[-1] < len(row) - 1 else 0.0
-    model.threshold = float(max(LEAST_SCORE, min(asked, 0.9)))
+    _set_threshold(model, score[order], np.ones(len(row)), best[order] != target[order])
 
 
-def training_sample(docs: DataFrame, usable: Column, doc_id: str, text: str, label: str) -> pa.Table:
-    """A bounded sample: for each label the rows whose hashed ids come first.
-
-    The labels share ``ROWS`` and ``SAMPLE_BYTES``; texts of any length are taken whole.
-    """
-    rows = docs.where(usable & F.col(label).isNotNull() & F.col(doc_id).isNotNull())
-    ids = rows.select(*text_keys(doc_id, text), F.col(label).alias("label"))
-    texts = rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    labels = max(1, ids.select("label").distinct().count())
-    if labels > ROWS:
-        raise ValueError(f"{labels} labels are more than {ROWS} training rows can hold")
-    return bounded_sample(ids, texts, min(ROWS_PER_LANGUAGE, ROWS // labels), SAMPLE_BYTES // labels)
+def _set_threshold(model: LanguageModel, score: np.ndarray, n: np.ndarray, wrong: np.ndarray) -> None:
+    """From falling scores, how often each occurs and how often it is wrong."""
+    share = np.cumsum(wrong) / np.cumsum(n)
+    fine = np.flatnonzero(share <= ACCEPTED_ERROR)
+    asked = score[fine[-1]] if len(fine) and fine[-1] < len(score) - 1 else 0.0
+    model.threshold = float(max(LEAST_SCORE, min(asked, 0.9)))
 
 
 def fit_language_model(
     docs: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> LanguageModel:
-    """Model learned from the rows where ``usable`` holds and the language is not null."""
-    rows = training_sample(docs, usable, doc_id, text, lang)
-    return train(rows["text"], [str(x) for x in rows["label"].to_pylist()])
+    """Model learned from all rows where ``usable`` holds and the language is not null."""
+    small_batches(docs.sparkSession)
+    rows = docs.where(usable).select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(lang).cast("string").alias("label"),
+        F.col(text).alias("text"),
+        F.octet_length(text).alias("bytes"),
+    )
+    rows = training_rows(rows)
+    counts = rows.groupBy("label").agg(F.count_if("held").alias("held"), F.count_if(~F.col("held")).alias("fit"))
+    counts = staged(counts.limit(MOST_LABELS + 1), "labels").collect()
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    languages = sorted(r.label for r in counts)
+    if not languages:
+        return train([], [])
+    fit = rows.where("not held") if any(r.fit for r in counts) else rows
+    model = _average_model(fit, languages)
+    _calibrate_all(model, rows.where("held") if any(r.held for r in counts) else rows)
+    return model
+
+
+def _average_model(rows: DataFrame, languages: list[str], rate: float = 0.5, seed: int = 7) -> LanguageModel:
+    number = {x: i for i, x in enumerate(languages)}
+    k = len(languages)
+
+    def part(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+        target = np.array([number[x] for x in table["label"].to_pylist()])
+        shard, n, features = table["shard"][0].as_py(), table.num_rows, _features(table["text"])
+        epochs = int(np.clip(np.rint(STEPS / n), 1, EPOCHS))
+        rng = np.random.default_rng(seed)
+        scores, bias = _descend(features, target, np.arange(n), k, epochs, rate, rng)
+        return sliced(shard, n, np.concatenate((scores.ravel(), bias)))
+
+    vector = averaged(rows.drop("held").groupBy("shard").applyInArrow(part, PARTS_SCHEMA))
+    return LanguageModel(languages, vector[:-k].reshape(1 << BITS, k).copy(), vector[-k:].astype(np.float64))
+
+
+def _calibrate_all(model: LanguageModel, rows: DataFrame) -> None:
+    """As ``_calibrate``, by sums over the rows of a table."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    number = {x: i for i, x in enumerate(model.languages)}
+
+    def logits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            target = np.array([number[x] for x in batch.column(0).to_pylist()])
+            for row, count, words in chunks(batch.column(1)):
+                logits = shared.value.logits(words)
+                yield pa.RecordBatch.from_pydict(
+                    {"target": target[row : row + count], "logits": pa.array(list(logits), pa.list_(pa.float64()))}
+                )
+
+    held = staged(rows.select("label", "text").mapInArrow(logits_of, "target long, logits array<double>"), "logits")
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        return batch.column(0).to_numpy(), np.array(batch.column(1).to_pylist()).reshape(batch.num_rows, -1)
+
+    def losses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            target, logits = read(batch)
+            if len(target):
+                p = [_softmax(logits / t)[np.arange(len(target)), target] for t in TEMPERATURES]
+                loss = -np.log(np.array(p) + 1e-12).sum(axis=1)
+                yield pa.RecordBatch.from_pydict({"t": np.arange(len(loss)), "loss": loss})
+
+    sums = held.mapInArrow(losses, "t long, loss double").groupBy("t").agg(F.sum("loss").alias("loss"))
+    best = min(sums.collect(), key=lambda r: (round(r.loss, 6), r.t))
+    model.temperature = float(TEMPERATURES[best.t])
+    temperature = model.temperature
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            target, logits = read(batch)
+            if len(target):
+                p = _softmax(logits / temperature)
+                at = np.floor(p.max(axis=1) * BINS).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"at": at, "wrong": (p.argmax(axis=1) != target).astype(np.int64)})
+
+    bins = held.mapInArrow(scored, "at long, wrong long").groupBy("at")
+    bins = bins.agg(F.count("*").alias("n"), F.sum("wrong").alias("wrong")).orderBy(F.desc("at")).collect()
+    at, n, wrong = (np.array([r[c] for r in bins], float) for c in range(3))
+    _set_threshold(model, at / BINS, n, wrong)
+    discard(held)
 
 
 def identify(model: LanguageModel, docs: DataFrame, text: str = "text") -> Column:

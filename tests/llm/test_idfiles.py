@@ -75,3 +75,21 @@ def test_nulls_repeats_and_long_texts(spark, tmp_path):
     assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
     none = idfiles.write_texts(frame.where("false"), str(tmp_path / "no"), WORD_VOCABULARY, END_ID)
     assert idfiles.read_documents(none, str(tmp_path / "no")).count() == 0
+
+
+def test_parts_of_texts_equal_the_library_and_words_skip_its_splitting():
+    signs = "a B é É ß × ÷ ' 's ! % 5 ½ ñ ÿ Ÿ İ ı ll ́ ̸ < <|endoftext|> <| ª … 中 ſ À ~ _".split(" ")
+    draw = np.random.default_rng(5)
+    texts = ["".join(draw.choice([*signs, " ", "\n"], draw.integers(0, 15))) for _ in range(5000)]
+    encoder = idfiles.LibraryEncoder(WORD_VOCABULARY, END_ID)
+    counts, ids = encoder.encode([t.encode() for t in texts])
+    ends = np.cumsum(counts)
+    for text, n, end in zip(texts, counts, ends):
+        assert ids[end - n : end].tolist() == with_end(text), text
+    # the slow steps of the library see no part that is one plain word
+    asked, ask = [], encoder._ids
+    encoder._ids = lambda parts: asked.extend(parts) or ask(parts)
+    words = ["Überraschung", "naïveté", "plainly!!", "x" * 200, "42", "it's"]
+    counts, ids = encoder.encode([" ".join(words).encode()])
+    assert ids.tolist() == with_end(" ".join(words)) and counts == [len(ids)]
+    assert set(asked) <= {b"!!", b"42", b"it's"}

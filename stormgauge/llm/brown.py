@@ -29,6 +29,7 @@ rows only the unknown word has any mass, and an empty table gives an empty resul
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,12 @@ PASSES = 4
 FEW = 0.01
 # words of a block of texts
 BLOCK_WORDS = 4_000_000
+# words of blocks in a part of the vocabulary, which a task holds at once
+PART_WORDS = 1 << 19
+# words of blocks a task packs together
+PACKED_ROWS = 1 << 20
+# words of blocks whose gains are summed together, few enough for a processor cache
+STEP_ROWS = 2000
 # a word met so often in a block sends counts by class instead of its contexts
 OFTEN = 256
 # gains are whole multiples of 1 / UNIT, so that their sums do not depend on the order
@@ -71,6 +78,9 @@ _CODED = (
 )
 
 
+_PACKED = (("block", pa.int64()), ("part", pa.int32()), ("words", pa.binary()))
+
+
 def _batch(schema: tuple, **columns) -> pa.RecordBatch:
     """A record batch of the given columns; those not given are null."""
     rows = len(next(iter(columns.values())))
@@ -138,6 +148,139 @@ def _coded(rows: DataFrame) -> DataFrame:
     return staged(made, "coded-texts")
 
 
+def _packed_words(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked_words(column: pa.ChunkedArray, schema: pa.Schema) -> tuple[pa.Table, np.ndarray]:
+    """Words of packed rows one after the other, and where each row begins."""
+    tables = [pa.ipc.open_stream(raw.as_buffer()).read_all() for raw in column if raw.is_valid]
+    tables = [pa.Table.from_arrays(t.columns, schema=schema) for t in tables]
+    first = np.concatenate(([0], np.cumsum([t.num_rows for t in tables], dtype=np.int64)))
+    return pa.concat_tables([schema.empty_table(), *tables]).combine_chunks(), first
+
+
+def _by_part(table: pa.Table, parts: int) -> dict[int, pa.Table]:
+    """The rows of a table with a column ``word`` by the part of the vocabulary they belong to."""
+    if not table.num_rows:
+        return {}
+    part = (table.column("word").to_numpy().view(np.uint64) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[order], np.arange(parts + 1)).tolist()
+    table = table.take(order)
+    return {p: table.slice(a, b - a) for p, (a, b) in enumerate(zip(ends, ends[1:])) if a < b}
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """All rows of one part at a time, of rows sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                if held and held[0].column("part")[0].as_py() != part[a]:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _placed(packed: DataFrame) -> DataFrame:
+    return packed.repartition("part").sortWithinPartitions("part")
+
+
+_COUNTED = pa.schema(
+    [("local", pa.int32()), ("word", pa.int64()), ("n", pa.int64()), ("trained", pa.bool_()), ("first", pa.bool_())]
+)
+
+
+def _word_counts(coded: DataFrame) -> tuple[DataFrame, int]:
+    """``(block, part, words)``: the words of blocks by part, with their counts in all training texts,
+    and the number of parts.
+
+    Words without any are left out; ``trained`` says whether the block has the word in such a
+    text, and ``first`` is set once per word.
+    """
+    rows = coded.where("word is not null").select("block", "local", "word", "n")
+    parts = max(1, -(-rows.count() // PART_WORDS))
+    schema = "block long, part int, words binary"
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def written():
+            table = pa.Table.from_batches(held)
+            block = table.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for a, b in zip(cuts, cuts[1:]):
+                made = _by_part(table.slice(a, b - a).select(["local", "word", "n"]), parts)
+                yield _batch(
+                    _PACKED,
+                    block=np.full(len(made), block[a]),
+                    part=list(made),
+                    words=[_packed_words(t) for t in made.values()],
+                )
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size > PACKED_ROWS:
+                yield from written()
+                held, size = [], 0
+        if held:
+            yield from written()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _parts(batches):
+            words, at = _unpacked_words(rows.column("words"), pa.schema(list(_COUNTED)[:3]))
+            word, n = words.column("word").to_numpy(), words.column("n").to_numpy()
+            order = np.argsort(word, kind="stable")
+            start = _starts(word[order])
+            times = np.diff(np.append(start, len(word)))
+            total, first = np.empty(len(word), np.int64), np.zeros(len(word), bool)
+            total[order] = np.repeat(np.add.reduceat(n[order], start), times)
+            first[order[start]] = True
+            columns = [words.column("local"), word, total, n > 0, first]
+            made = pa.Table.from_arrays([c if isinstance(c, pa.ChunkedArray) else pa.array(c) for c in columns], schema=_COUNTED)
+            packed = []
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                packed.append(_packed_words(made.slice(a, b - a).filter(pa.array(total[a:b] > 0))))
+            yield _batch(_PACKED, block=rows.column("block").to_numpy(), part=rows.column("part").to_numpy(), words=packed)
+
+    return staged(_placed(rows.mapInArrow(pack, schema)).mapInArrow(count, schema), "word-counts"), parts
+
+
+def _starts(word: np.ndarray) -> np.ndarray:
+    """Where each run of equal words begins."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(word)), bool), word[1:] != word[:-1])))
+
+
+def _most_frequent(counts: DataFrame, most: int) -> np.ndarray:
+    """The ``most`` most frequent words of those seen more than once."""
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            words, _ = _unpacked_words(batch.column("words"), _COUNTED)
+            own_n = words.column("n").to_numpy()
+            chosen = words.column("first").to_numpy() & (own_n > 1)
+            word = np.concatenate((word, words.column("word").to_numpy()[chosen]))
+            n = np.concatenate((n, own_n[chosen]))
+            order = np.lexsort((word, -n))[:most]
+            word, n = word[order], n[order]
+        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(n)], ["word", "n"])
+
+    found = counts.select("words").mapInArrow(top, "word long, n long")
+    return found.orderBy(F.desc("n"), "word").limit(most).toArrow()["word"].to_numpy()
+
+
 class Core:
     """The most frequent words, by hash, and a number for each (later: its class)."""
 
@@ -327,68 +470,110 @@ def _gains(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((before, after)), pairs.astype(np.int32)
 
 
-_STATE = (
-    ("block", pa.int64()),
-    ("local", pa.int32()),
-    ("word", pa.int64()),
-    ("class", pa.int64()),
-    ("first", pa.bool_()),
-    ("moved", pa.bool_()),
-)
+_STATE = pa.schema([("local", pa.int32()), ("word", pa.int64()), ("class", pa.int8())])
+_CONTEXT = pa.schema([f for f in _CONTEXTS if f[0] in ("local", "word", "class", "known", "contexts", "counts")])
+_PASS = (*_PACKED, ("rest", pa.binary()), ("pair", pa.int64()), ("n", pa.int64()))
+_STEPPED = (*_PACKED, ("seen", pa.int64()), ("moved", pa.int64()))
+
+
+def _turn(word: np.ndarray, number: int) -> np.ndarray:
+    """Whether it is a word's turn in a pass: all in the first one, later half of them.
+
+    The hash is that of Spark's ``xxhash64(word, number)``.
+    """
+    if not number:
+        return np.ones(len(word), bool)
+    p1, p2, p3, p4, p5 = (
+        np.uint64(p)
+        for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+    )
+
+    def rotated(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+    def mixed(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(33))) * p2
+        x = (x ^ (x >> np.uint64(29))) * p3
+        return x ^ (x >> np.uint64(32))
+
+    h = rotated(word.view(np.uint64) * p2, 31) * p1 ^ np.uint64((42 + int(p5) + 8) % 2**64)
+    h = mixed(rotated(h, 27) * p1 + p4)
+    h = h + np.uint64((int(p5) + 4) % 2**64) ^ np.uint64(number * int(p1) % 2**64)
+    return mixed(rotated(h, 23) * p2 + p3) & np.uint64(1) == 0
+
+
+def _pass_contexts(texts: pa.Table, state: pa.Table, number: int, parts: int) -> pa.Table:
+    """:func:`_block_contexts` by part, with the ``rest`` of the words, whose turn it is not."""
+    schema = pa.schema(_PASS)
+    if not texts.num_rows:
+        return schema.empty_table()
+    own, _ = _unpacked_words(state.column("words"), _STATE)
+    turn = _turn(own.column("word").to_numpy(), number)
+    made = _block_contexts(texts, own.append_column("turn", pa.array(turn)))
+    pairs = made.filter(made["word"].is_null())
+    words = _by_part(made.filter(made["word"].is_valid()).select(_CONTEXT.names), parts)
+    rest = _by_part(own.filter(pa.array(~turn)), parts)
+    out = [_batch(_PASS, **{c: pairs.column(c).combine_chunks() for c in ("block", "pair", "n")})]
+    both = sorted(words.keys() | rest.keys())
+    none = _CONTEXT.empty_table(), _STATE.empty_table()
+    packed = [[_packed_words(made.get(p, empty)) for p in both] for made, empty in zip((words, rest), none)]
+    out.append(_batch(_PASS, block=_block_of(texts, len(both)), part=both, words=packed[0], rest=packed[1]))
+    return pa.Table.from_batches(out, schema)
 
 
 def _step(contexts: DataFrame, table: np.ndarray) -> DataFrame:
-    """The state of the words of ``contexts`` after each has gone to its best class.
+    """The state of the words of ``contexts`` after each whose turn it is has gone to its best class.
 
-    Sorted by word, a task adds up the gains over a word's blocks; the rows of the last word
-    of a batch wait for the next one.
+    A task adds up the gains over a word's blocks, a part of the vocabulary at a time.
+    ``seen`` and ``moved`` count the words whose turn it was.
     """
     shared = contexts.sparkSession.sparkContext.broadcast(_gains(table))
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def best_classes(words: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """New class, whether it is a word's first row, and whether it moved, for words in order."""
         sides, pairs = shared.value
-        held: list[tuple] = []
-
-        def chosen(block, local, word, of, known, total):
-            start = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            total, known = np.add.reduceat(total, start, axis=0), np.add.reduceat(known, start)
+        word, of, known = (words.column(c).to_numpy() for c in ("word", "class", "known"))
+        start = _starts(word)
+        first = np.zeros(len(word), bool)
+        first[start] = True
+        new = np.empty(len(word), np.int64)
+        # runs of whole words
+        edges = np.append(start, len(word))[np.searchsorted(start, np.arange(0, len(word), STEP_ROWS))]
+        edges = np.unique(np.append(edges, len(word))).tolist()
+        for a, b in zip(edges, edges[1:]):
+            part = words.slice(a, b - a).combine_chunks()
+            total = _summed(sides, pairs, *(part.column(c).combine_chunks() for c in ("contexts", "counts")))
+            begin = _starts(word[a:b])
+            total, seen = np.add.reduceat(total, begin, axis=0), np.add.reduceat(known[a:b], begin)
+            own, name = of[a:b][begin].astype(np.int64), word[a:b][begin]
             best = total.argmax(axis=1)
             # words only met between words without a class are spread, or they stayed together
-            alike = (known == 0) & (of[start] == ONCE)
-            best = np.where(alike, (word[start].view(np.uint64) % np.uint64(CLASSES)).astype(np.int64), best)
+            alike = (seen == 0) & (own == ONCE)
+            best = np.where(alike, (name.view(np.uint64) % np.uint64(CLASSES)).astype(np.int64), best)
             # of equal gains the class of before
-            own = of[start]
-            same = (own < CLASSES) & (total[np.arange(len(start)), np.minimum(own, CLASSES - 1)] == total.max(axis=1))
+            same = (own < CLASSES) & (total[np.arange(len(begin)), np.minimum(own, CLASSES - 1)] == total.max(axis=1))
             best = np.where(same, own, best)
-            rows = np.diff(np.append(start, len(word)))
-            first = np.zeros(len(word), bool)
-            first[start] = True
-            new = np.repeat(best, rows)
-            return _batch(
-                _STATE, **{"block": block, "local": local, "word": word, "class": new}, first=first, moved=new != of
-            )
+            new[a:b] = np.repeat(best, np.diff(np.append(begin, b - a)))
+        return new, first, new != of
 
-        for batch in batches:
-            for i in range(0, batch.num_rows, 20_000):
-                part = batch.slice(i, 20_000)
-                block, local, word, of, known = (part.column(k).to_numpy(zero_copy_only=False) for k in range(5))
-                held.append((block, local, word, of, known, _summed(sides, pairs, part.column(5), part.column(6))))
-                if held[0][2][0] == word[-1]:
-                    continue
-                columns = [np.concatenate(c) for c in zip(*held)]
-                cut = int(np.searchsorted(columns[2], word[-1]))
-                yield chosen(*(c[:cut] for c in columns))
-                held = [tuple(c[cut:] for c in columns)]
-        if held:
-            yield chosen(*(np.concatenate(c) for c in zip(*held)))
-
-    placed = contexts.where("word is not null").select(
-        "block", "local", "word", "class", "known", "contexts", "counts"
-    )
-    placed = placed.repartition("word").sortWithinPartitions("word")
-    return placed.mapInArrow(
-        step, "block long, local int, word long, class long, first boolean, moved boolean"
-    )
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _parts(batches):
+            words, at = _unpacked_words(rows.column("words"), _CONTEXT)
+            rest, rest_at = _unpacked_words(rows.column("rest"), _STATE)
+            order = np.argsort(words.column("word").to_numpy(), kind="stable")
+            new, first, moved = (np.empty(len(order), t) for t in (np.int8, bool, bool))
+            new[order], first[order], moved[order] = best_classes(words.take(order))
+            made = words.select(["local", "word"]).append_column("class", pa.array(new))
+            packed, seen, gone = [], [], []
+            for a, b, c, d in zip(*(x.tolist() for x in (at[:-1], at[1:], rest_at[:-1], rest_at[1:]))):
+                packed.append(_packed_words(pa.concat_tables([made.slice(a, b - a), rest.slice(c, d - c)])))
+                seen.append(int(first[a:b].sum()))
+                gone.append(int((first & moved)[a:b].sum()) if b > a else 0)
+            block, part = (rows.column(c).to_numpy() for c in ("block", "part"))
+            yield _batch(_STEPPED, block=block, part=part, words=packed, seen=seen, moved=gone)
+
+    placed = _placed(contexts.where("words is not null").select("block", "part", "words", "rest"))
+    return placed.mapInArrow(step, "block long, part int, words binary, seen long, moved long")
 
 
 def _summed(sides: np.ndarray, pairs: np.ndarray, contexts: pa.Array, counts: pa.Array) -> np.ndarray:
@@ -419,27 +604,25 @@ def _counted(pairs: DataFrame) -> np.ndarray:
     return out.reshape(ALL, ALL)
 
 
-def exchange_all(texts: DataFrame, state: DataFrame) -> DataFrame:
+def exchange_all(texts: DataFrame, state: DataFrame, parts: int) -> DataFrame:
     """``state`` after exchange passes over all its words.
 
-    ``texts`` has the coded texts of blocks, ``state`` the class of each word of a block.
+    ``texts`` has the coded texts of blocks, ``state`` the packed words of blocks with their
+    classes.
     """
     best, number = None, 0
     while True:
         # words that stand beside each other would change places for ever, did they not take turns
-        turn = F.lit(True) if not number else F.pmod(F.xxhash64("word", F.lit(number)), F.lit(2)) == 0
-        asked = state.select("block", "local", "word", "class", turn.alias("turn"))
         contexts = staged(
             texts.groupBy("block")
-            .cogroup(asked.groupBy("block"))
+            .cogroup(state.select("block", "words").groupBy("block"))
             .applyInArrow(
-                _block_contexts,
-                "block long, local int, word long, class long, contexts binary, counts binary, "
-                "known long, pair long, n long",
+                functools.partial(_pass_contexts, number=number, parts=parts),
+                "block long, part int, words binary, rest binary, pair long, n long",
             ),
             "contexts",
         )
-        table = _counted(contexts.where("word is null").select("pair", "n"))
+        table = _counted(contexts.where("words is null").select("pair", "n"))
         reached = likelihood(table)
         # before the first pass words outside the core have no class to keep
         if number > 1 and reached <= best[0]:
@@ -449,13 +632,9 @@ def exchange_all(texts: DataFrame, state: DataFrame) -> DataFrame:
         if number:
             discard(best[1])
         best = reached, state
-        made = _step(contexts, table).withColumn("stepped", F.lit(True))
-        if number:
-            rest = state.where(~turn).withColumns({"moved": F.lit(False), "stepped": F.lit(False)})
-            made = made.union(rest)
-        state = staged(made, "classes")
+        state = staged(_step(contexts, table), "classes")
         discard(contexts)
-        words, moved = state.where("first and stepped").agg(F.count("*"), F.count_if("moved")).first()
+        words, moved = state.agg(F.sum("seen"), F.sum("moved")).first()
         if moved <= FEW * words:
             discard(best[1])
             return state
@@ -549,25 +728,72 @@ def _transitions(scored: DataFrame) -> np.ndarray:
     return _counted(rows)
 
 
-def class_vocabulary(training: DataFrame, coded: DataFrame) -> DataFrame:
-    """``(word, n, class)`` of all words of the training texts, as a written table."""
-    asked = coded.where("n > 0").select("block", "local", "word", "n")
-    counts = staged(asked.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(CORE).toArrow()
-    core = Core(top["word"].to_numpy())
+_CLASSED = pa.schema([*list(_COUNTED)[:3], ("class", pa.int8()), ("first", pa.bool_())])
+
+
+def block_classes(training: DataFrame, coded: DataFrame) -> DataFrame:
+    """``(block, part, words)``: the words of blocks with their counts and classes, written."""
+    counts, parts = _word_counts(coded)
+    core = Core(_most_frequent(counts, CORE))
     of = exchange(_core_bigrams(training, core))
-    rows = list(zip(core.words.view(np.int64).tolist(), of.tolist()))
-    start = training.sparkSession.createDataFrame(rows, "word long, class long")
-    state = asked.drop("n").join(counts.where("n > 1").select("word"), "word").join(start, "word", "left")
-    state = state.select(
-        "block", "local", "word", F.coalesce("class", F.lit(ONCE)).cast("long").alias("class")
-    )
-    texts = coded.where("ids is not null and not held_out").select("block", "ids")
-    if rows:
-        state = exchange_all(texts, staged(state, "classes"))
-    found = state.select("word", "class").groupBy("word").agg(F.first("class").alias("class"))
-    made = counts.join(found, "word", "left")
-    return staged(made.select("word", "n", F.coalesce("class", F.lit(ONCE)).alias("class")), "vocabulary")
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for raw in batch.column("words"):
+                words, _ = _unpacked_words([raw], _COUNTED)
+                words = words.filter(pa.array(words.column("trained").to_numpy() & (words.column("n").to_numpy() > 1)))
+                own = core.find(words.column("word").to_numpy().view(np.uint64), of, ONCE)
+                words = words.select(["local", "word"]).append_column("class", pa.array(own.astype(np.int8)))
+                made.append(_packed_words(words))
+            yield _batch(_PACKED, block=batch.column("block"), part=batch.column("part"), words=made)
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _parts(batches):
+            known, _ = _unpacked_words(rows.column("state"), _STATE)
+            word, at = np.unique(known.column("word").to_numpy(), return_index=True)
+            own_class = known.column("class").to_numpy()[at]
+            for block, part, raw in zip(*(rows.column(c) for c in ("block", "part", "words"))):
+                if not raw.is_valid:
+                    continue
+                words, _ = _unpacked_words([raw], _COUNTED)
+                asked = words.column("word").to_numpy()
+                found = np.full(len(asked), ONCE, np.int8)
+                if len(word):
+                    place = np.minimum(np.searchsorted(word, asked), len(word) - 1)
+                    found = np.where(word[place] == asked, own_class[place], found)
+                words = words.drop_columns(["trained"]).add_column(3, "class", pa.array(found))
+                yield _batch(_PACKED, block=[block.as_py()], part=[part.as_py()], words=[_packed_words(words)])
+
+    state = None
+    both = counts.withColumn("state", F.lit(None).cast("binary"))
+    if len(core.words):
+        texts = coded.where("ids is not null and not held_out").select("block", "ids")
+        state = staged(counts.mapInArrow(begin, "block long, part int, words binary"), "classes")
+        state = exchange_all(texts, state, parts)
+        both = both.union(state.select("block", "part", F.lit(None).cast("binary"), "words"))
+    made = staged(_placed(both).mapInArrow(give, "block long, part int, words binary"), "vocabulary")
+    for table in (counts, state):
+        if table is not None:
+            discard(table)
+    return made
+
+
+def words_of_blocks(classes: DataFrame) -> DataFrame:
+    """``(word, n, class)``, a row per word, of packed words."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, _ = _unpacked_words(batch.column("words"), _CLASSED)
+            words = words.filter(words.column("first")).select(["word", "n", "class"])
+            yield from words.set_column(2, "class", words.column("class").cast(pa.int64())).to_batches()
+
+    return classes.select("words").mapInArrow(unpack, "word long, n long, class long")
+
+
+def class_vocabulary(training: DataFrame, coded: DataFrame) -> DataFrame:
+    """``(word, n, class)`` of all words of the training texts."""
+    return words_of_blocks(block_classes(training, coded))
 
 
 def class_scores(
@@ -586,8 +812,8 @@ def class_scores(
     )
     training = rows.where("not held_out").select("text")
     coded = _coded(rows)
-    vocabulary = class_vocabulary(training, coded)
-    totals = vocabulary.groupBy("class").agg(
+    classes = block_classes(training, coded)
+    totals = words_of_blocks(classes).groupBy("class").agg(
         F.sum("n").alias("n"),
         F.count("*").alias("distinct"),
         F.count_if(F.col("n") == 1).alias("once"),
@@ -605,17 +831,19 @@ def class_scores(
         sum(row["twice"] for row in totals),
         class_total,
     )
-    asked = coded.where("word is not null").select("block", "local", "word")
-    needed = asked.join(vocabulary, "word").select(
-        F.col("block").alias("block"), "local", "n", "class"
-    )
+
+    def block_scores(texts: pa.Table, words: pa.Table) -> pa.Table:
+        if not texts.num_rows:
+            return _SCORED.empty_table()
+        return _block_scores(model, texts, _unpacked_words(words.column("words"), _CLASSED)[0])
+
     scored = (
         coded.where("ids is not null")
         .select("block", "doc_id", "held_out", "ids")
         .groupBy("block")
-        .cogroup(needed.groupBy("block"))
+        .cogroup(classes.select("block", "words").groupBy("block"))
         .applyInArrow(
-            lambda one, two: _block_scores(model, one, two) if one.num_rows else _SCORED.empty_table(),
+            block_scores,
             "doc_id long, held_out boolean, n_tokens long, n_known long, "
             "base_score double, emission double, classes binary",
         )

@@ -142,3 +142,29 @@ def test_contexts_and_counts_of_a_block_agree(spark, monkeypatch):
         total = brown._summed(sides, both, *(rest[c].combine_chunks() for c in ("contexts", "counts")))
         seen.append((rest["local"].to_pylist(), total.tolist(), int(table.sum())))
     assert seen[0] == seen[1]
+
+
+def test_words_travel_by_part_and_parts_decide_nothing(spark, monkeypatch):
+    draw = np.random.default_rng(9)
+    texts = [" ".join(f"w{k}" for k in draw.zipf(1.4, 40) % 300) for _ in range(80)]
+    frame = spark.createDataFrame([(i, i % 5 == 0, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
+    monkeypatch.setattr(brown, "CORE", 20)
+    coded = brown._coded(frame.repartition(3))
+    training, found = frame.where("not held_out").select("text"), []
+    for part_words, step_rows in ((1 << 19, 2000), (60, 7)):
+        monkeypatch.setattr(brown, "PART_WORDS", part_words)
+        monkeypatch.setattr(brown, "STEP_ROWS", step_rows)
+        made = brown.block_classes(training, coded)
+        parts = max(1, -(-coded.where("word is not null").count() // part_words))
+        assert made.count() <= parts * coded.select("block").distinct().count()
+        found.append(sorted(tuple(r) for r in brown.words_of_blocks(made).collect()))
+    assert found[0] == found[1] and len({r[2] for r in found[0]}) > 2
+
+
+def test_turns_are_those_of_spark(spark):
+    rows = spark.range(200).select(F.xxhash64("id").alias("w"))
+    for number in (1, 2, 9):
+        turn = F.pmod(F.xxhash64("w", F.lit(number)), F.lit(2)) == 0
+        got = rows.select("w", turn.alias("t")).toArrow()
+        assert (brown._turn(got["w"].to_numpy(), number) == got["t"].to_numpy()).all()
+    assert brown._turn(got["w"].to_numpy(), 0).all()

@@ -19,8 +19,8 @@ word and the end sum to one.
 
 Counts, contexts and transitions cover all training rows.  The vocabulary is a table, never
 a broadcast: texts are coded once, in blocks as the tasks read them, as numbers of the
-block's distinct words, and a block asks for the classes of those.  Words are named by
-64-bit hashes.
+block's distinct words, and a block asks for the classes of those.  Coded texts lie in buckets
+by block, so a pass moves words to them and no texts.  Words are named by 64-bit hashes.
 
 Null texts count as empty and consist of the end alone.  Very long texts are scored whole.
 Rows without id are scored like others; repeated rows get the same score.  Without training
@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stormgauge.llm.common import discard, small_batches, staged
+from stormgauge.llm.common import discard, small_batches, staged, staged_buckets
 from stormgauge.llm.words import chunks
 
 CLASSES = 64
@@ -61,6 +61,8 @@ PACKED_ROWS = 1 << 20
 STEP_ROWS = 2000
 # a word met so often in a block sends counts by class instead of its contexts
 OFTEN = 256
+# a word with more contexts in all is summed up from counts by class
+SELDOM = 6
 # gains are whole multiples of 1 / UNIT, so that their sums do not depend on the order
 UNIT = 4096
 # weight of the class frequencies in a transition
@@ -69,9 +71,9 @@ SMOOTHING = 20.0
 
 _CODED = (
     ("block", pa.int64()),
-    ("doc_id", pa.int64()),
     ("held_out", pa.bool_()),
     ("ids", pa.binary()),
+    ("docs", pa.binary()),
     ("local", pa.int32()),
     ("word", pa.int64()),
     ("n", pa.int64()),
@@ -111,9 +113,33 @@ def _unpacked(column: pa.Array, dtype: type) -> tuple[np.ndarray, np.ndarray]:
     return data.view(dtype), (offsets - offsets[0]) // np.dtype(dtype).itemsize
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, the most frequent first, and the number of each value among them."""
+    found = pa.array(values).dictionary_encode()
+    at = found.indices.to_numpy()
+    order = np.argsort(-np.bincount(at, minlength=len(found.dictionary)), kind="stable")
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order), dtype=np.int32)
+    return found.dictionary.to_numpy()[order], number[at]
+
+
+def _planes(ids: np.ndarray) -> bytes:
+    """Numbers as their lowest bytes, then the next ones: high bytes are alike and compress well."""
+    return np.ascontiguousarray(ids.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: pa.BinaryScalar) -> np.ndarray:
+    planes = np.frombuffer(raw.as_buffer(), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel()
+
+
 def _coded(rows: DataFrame) -> DataFrame:
-    """Texts as numbers of words within blocks: a row per text with its ``ids``, and a row
-    per distinct word of a block with its number, hash and count in training texts."""
+    """Texts as numbers of words within blocks, in buckets by block.
+
+    A row for a block's training texts and one for those held out, with ``ids``, the numbers of
+    the words of all these texts and -1 at the end of each, and the ids of the texts, ``docs``; and a
+    row per distinct word of a block with its number, hash and count in training texts.
+    """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 24
@@ -123,12 +149,21 @@ def _coded(rows: DataFrame) -> DataFrame:
         def written():
             doc_id, held_out = (pa.concat_arrays([h[k] for h in held]) for k in (0, 1))
             per_text = np.concatenate([h[2] for h in held])
-            word, ids = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
-            trained = np.repeat(~held_out.to_numpy(zero_copy_only=False), per_text)
-            n = np.bincount(ids[trained], minlength=len(word))
-            texts, numbers = np.full(len(per_text), block), np.arange(len(word), dtype=np.int32)
-            ids = _packed(ids.astype(np.int32), np.cumsum(per_text))
-            yield _batch(_CODED, block=texts, doc_id=doc_id, held_out=held_out, ids=ids)
+            word, ids = _numbered(np.concatenate([h[3] for h in held]))
+            held_out = held_out.to_numpy(zero_copy_only=False)
+            of_held = np.repeat(held_out, per_text)
+            n = np.bincount(ids[~of_held], minlength=len(word))
+            for side in (False, True):
+                some = held_out == side
+                if not some.any():
+                    continue
+                own = np.full(int(per_text[some].sum() + some.sum()), -1, np.int32)
+                inner = np.ones(len(own), bool)
+                inner[np.cumsum(per_text[some] + 1) - 1] = False
+                own[inner] = ids[of_held == side]
+                docs = _packed_words(pa.table({"doc_id": doc_id.filter(pa.array(some))}))
+                yield _batch(_CODED, block=[block], held_out=[side], ids=[_planes(own)], docs=[docs])
+            numbers = np.arange(len(word), dtype=np.int32)
             yield _batch(_CODED, block=np.full(len(word), block), local=numbers, word=word.view(np.int64), n=n)
 
         for batch in batches:
@@ -142,10 +177,12 @@ def _coded(rows: DataFrame) -> DataFrame:
         if held:
             yield from written()
 
-    made = rows.select("doc_id", "held_out", "text").mapInArrow(
-        code, "block long, doc_id long, held_out boolean, ids binary, local int, word long, n long"
+    rows = rows.select("doc_id", "held_out", "text")
+    made = rows.mapInArrow(
+        code, "block long, held_out boolean, ids binary, docs binary, local int, word long, n long"
     )
-    return staged(made, "coded-texts")
+    # a bucket for each task that reads texts
+    return staged_buckets(made, "block", max(1, rows.rdd.getNumPartitions()), "coded-texts")
 
 
 def _packed_words(table: pa.Table) -> bytes:
@@ -408,50 +445,47 @@ def _block_contexts(texts: pa.Table, state: pa.Table) -> pa.Table:
     schema = pa.schema(_CONTEXTS)
     if not texts.num_rows:
         return schema.empty_table()
-    ids, first = _unpacked(texts.column("ids"), np.int32)
+    ids = np.concatenate([_from_planes(raw) for raw in texts.column("ids")])
+    state = state.sort_by("local")
     local, of, turn = (state.column(c).to_numpy() for c in ("local", "class", "turn"))
-    classes = np.full(max(ids.max(initial=-1), local.max(initial=-1)) + 1, ONCE, np.int64)
-    classes[local] = of
-    # place of a word among the words whose turn it is
-    local, of = local[turn], of[turn]
-    place = np.full(len(classes), -1, np.int32)
-    place[local] = np.arange(len(local), dtype=np.int32)
+    # the last place is that of the mark -1 at the end of a text
+    classes = np.full(max(ids.max(initial=-1), local.max(initial=-1)) + 2, ONCE, np.uint8)
+    classes[local], classes[-1] = of, END
     here = classes[ids]
-    before, after = _before(here, first, END), _after(here, first, END)
-    empty = first[1:] == first[:-1]
-    pairs = np.bincount(before * ALL + here, minlength=ALL * ALL)
-    last = here[first[1:][~empty] - 1]
-    pairs += np.bincount(last * ALL + END, minlength=ALL * ALL)
-    pairs[END * ALL + END] += int(empty.sum())
+    before = np.concatenate((np.array([END], np.uint8), here[:-1]))
+    after = np.concatenate((here[1:], np.array([END], np.uint8)))
+    pairs = np.bincount(before.astype(np.uint16) * ALL + here, minlength=ALL * ALL)
     some = np.flatnonzero(pairs)
     out = [_batch(_CONTEXTS, block=_block_of(texts, len(some)), pair=some, n=pairs[some])]
-    at = place[ids]
-    turned = at >= 0
-    n = np.bincount(at[turned], minlength=len(local))
+    # occurrences of the words whose turn it is, by word
+    turned = np.zeros(len(classes), bool)
+    turned[local[turn]] = True
+    at = np.flatnonzero(turned[ids])
+    at = np.sort(ids[at].astype(np.int64) << 32 | at)
+    n = np.bincount(at >> 32, minlength=len(classes))[local]
+    at &= (1 << 32) - 1
+    met = turn & (n > 0)
+    n, rows = n[met], np.flatnonzero(met)
+    first = np.concatenate(([0], np.cumsum(n)))
+    before, after = before[at], after[at]
     # neighbours that have a class
-    known = (before < CLASSES).astype(np.int8) + (after < CLASSES)
-    known = np.bincount(at[turned], weights=known[turned], minlength=len(local)).astype(np.int64)
-    word, block = state.column("word").to_numpy()[turn], _block_of(texts, len(local))
+    classed = (before < CLASSES).astype(np.int64) + (after < CLASSES)
+    known = np.add.reduceat(classed, first[:-1]) if len(n) else np.zeros(0, np.int64)
+    word, block = state.column("word").to_numpy(), _block_of(texts, len(n))
 
-    def shown(rows, **column):
-        common = {"block": block[rows], "local": local[rows], "word": word[rows], "class": of[rows], "known": known[rows]}
+    def shown(chosen, **column):
+        own = rows[chosen]
+        common = {"block": block[chosen], "local": local[own], "word": word[own], "class": of[own], "known": known[chosen]}
         out.append(_batch(_CONTEXTS, **common, **column))
 
     often = np.flatnonzero(n > OFTEN)
-    rank = np.full(len(local) + 1, -1)
-    rank[often] = np.arange(len(often))
-    ranked = rank[at]
-    dense = ranked >= 0
     counts = np.zeros((len(often), 2, ALL), np.int32)
-    for side, value in enumerate((before, after)):
-        met = np.bincount(ranked[dense] * ALL + value[dense], minlength=len(often) * ALL)
-        counts[:, side] = met.reshape(len(often), ALL)
+    for own, a, b in zip(counts, first[often].tolist(), first[often + 1].tolist()):
+        own[:] = [np.bincount(value[a:b], minlength=ALL) for value in (before, after)]
     shown(often, counts=_packed(counts.ravel(), np.arange(1, len(often) + 1) * 2 * ALL))
-    rest = np.flatnonzero(turned & ~dense)
-    rest = rest[np.argsort(at[rest], kind="stable")]
-    seldom = np.flatnonzero((n > 0) & (n <= OFTEN))
-    code = (before[rest] * ALL + after[rest]).astype(np.uint16)
-    shown(seldom, contexts=_packed(code, np.cumsum(n[seldom])))
+    seldom = n <= OFTEN
+    code = (before.astype(np.uint16) * ALL + after)[np.repeat(seldom, n)]
+    shown(np.flatnonzero(seldom), contexts=_packed(code, np.cumsum(n[seldom])))
     return pa.Table.from_batches(out, schema)
 
 
@@ -533,6 +567,7 @@ def _step(contexts: DataFrame, table: np.ndarray) -> DataFrame:
         """New class, whether it is a word's first row, and whether it moved, for words in order."""
         sides, pairs = shared.value
         word, of, known = (words.column(c).to_numpy() for c in ("word", "class", "known"))
+        contexts, counts = (words.column(c).combine_chunks() for c in ("contexts", "counts"))
         start = _starts(word)
         first = np.zeros(len(word), bool)
         first[start] = True
@@ -541,10 +576,9 @@ def _step(contexts: DataFrame, table: np.ndarray) -> DataFrame:
         edges = np.append(start, len(word))[np.searchsorted(start, np.arange(0, len(word), STEP_ROWS))]
         edges = np.unique(np.append(edges, len(word))).tolist()
         for a, b in zip(edges, edges[1:]):
-            part = words.slice(a, b - a).combine_chunks()
-            total = _summed(sides, pairs, *(part.column(c).combine_chunks() for c in ("contexts", "counts")))
             begin = _starts(word[a:b])
-            total, seen = np.add.reduceat(total, begin, axis=0), np.add.reduceat(known[a:b], begin)
+            total = _summed(sides, pairs, contexts.slice(a, b - a), counts.slice(a, b - a), begin)
+            seen = np.add.reduceat(known[a:b], begin)
             own, name = of[a:b][begin].astype(np.int64), word[a:b][begin]
             best = total.argmax(axis=1)
             # words only met between words without a class are spread, or they stayed together
@@ -576,19 +610,37 @@ def _step(contexts: DataFrame, table: np.ndarray) -> DataFrame:
     return placed.mapInArrow(step, "block long, part int, words binary, seen long, moved long")
 
 
-def _summed(sides: np.ndarray, pairs: np.ndarray, contexts: pa.Array, counts: pa.Array) -> np.ndarray:
-    """Sum of the gains of each row's contexts, some contexts at a time."""
-    out = np.zeros((len(contexts), CLASSES), np.int64)
+def _summed(
+    sides: np.ndarray, pairs: np.ndarray, contexts: pa.Array, counts: pa.Array, begin: np.ndarray | None = None
+) -> np.ndarray:
+    """Sum of the gains of the contexts of each row, or of each run of rows that begins at ``begin``."""
+    rows = len(contexts)
+    begin = np.arange(rows) if begin is None else begin
+    run = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, rows)))
     often = counts.is_valid().to_numpy(zero_copy_only=False)
-    met, _ = _unpacked(counts.drop_null(), np.int32)
-    out[often] = met.reshape(-1, 2 * ALL).astype(float) @ sides
     code, first = _unpacked(contexts.drop_null(), np.uint16)
-    seldom, row = np.flatnonzero(~often), 0
-    while row < len(seldom):
-        last = max(row + 1, int(np.searchsorted(first, first[row] + 100_000, "right")) - 1)
-        part = pairs[code[first[row] : first[last]]]
-        out[seldom[row:last]] = np.add.reduceat(part, first[row:last] - first[row], axis=0)
-        row = last
+    length = np.zeros(rows, np.int64)
+    length[~often] = np.diff(first)
+    n = np.bincount(run, weights=length, minlength=len(begin)).astype(np.int64)
+    first = np.cumsum(n) - n
+    out = np.zeros((len(begin), CLASSES), np.int64)
+    few = n <= SELDOM
+    few[run[often]] = False
+    chosen = np.flatnonzero(few)
+    for k in range(SELDOM):
+        chosen = chosen[n[chosen] > k]
+        out[chosen] += pairs[code[first[chosen] + k]]
+    many = np.flatnonzero(~few)
+    place = np.zeros(len(begin), np.int64)
+    place[many] = np.arange(len(many))
+    code = code[np.repeat(~few, n)]
+    at = np.repeat(np.arange(len(many)) * (2 * ALL), n[many])
+    before, after = np.divmod(code, np.uint16(ALL))
+    met = np.bincount(np.concatenate((at + before, at + ALL + after)), minlength=len(many) * 2 * ALL)
+    met = met.reshape(-1, 2 * ALL).astype(float)
+    own, _ = _unpacked(counts.drop_null(), np.int32)
+    np.add.at(met, place[run[often]], own.reshape(-1, 2 * ALL))
+    out[many] = met @ sides
     return out
 
 
@@ -622,7 +674,7 @@ def exchange_all(texts: DataFrame, state: DataFrame, parts: int) -> DataFrame:
             ),
             "contexts",
         )
-        table = _counted(contexts.where("words is null").select("pair", "n"))
+        table = _counted(contexts.where("pair is not null").select("pair", "n"))
         reached = likelihood(table)
         # before the first pass words outside the core have no class to keep
         if number > 1 and reached <= best[0]:
@@ -683,44 +735,44 @@ _SCORED = pa.schema(
 
 def _block_scores(model: ClassModel, texts: pa.Table, vocabulary: pa.Table) -> pa.Table:
     """Everything about a block's texts but the transitions, and their class sequences."""
-    ids, first = _unpacked(texts.column("ids"), np.int32)
     local = vocabulary.column("local").to_numpy()
-    size = max(ids.max(initial=-1), local.max(initial=-1)) + 1
-    n, of = np.zeros(size, np.int64), np.full(size, ONCE)
-    n[local], of[local] = vocabulary.column("n").to_numpy(), vocabulary.column("class").to_numpy()
-    base, emission = model.base(n), model.emission(n, of)
-    end_base = float(model.base(np.array([model.texts]))[0])
-    end_known = int(model.texts > 0)
-    of = of.astype(np.uint8)
-    out: list[list] = [[] for _ in range(5)]
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        own = ids[a:b]
-        values = (
-            b - a + 1,
-            int(np.count_nonzero(n[own])) + end_known,
-            float(base[own].sum()) + end_base,
-            float(emission[own].sum()),
-            of[own].tobytes() + bytes([END]),
+    out = []
+    for held_out, ids, docs in zip(*(texts.column(c) for c in ("held_out", "ids", "docs"))):
+        doc_id = pa.ipc.open_stream(docs.as_buffer()).read_all().column("doc_id").combine_chunks()
+        ids = _from_planes(ids)
+        # the last place is that of the mark -1 at the end of a text
+        size = max(ids.max(initial=-1), local.max(initial=-1)) + 2
+        n, of = np.zeros(size, np.int64), np.full(size, ONCE, np.uint8)
+        n[local], of[local] = vocabulary.column("n").to_numpy(), vocabulary.column("class").to_numpy()
+        n[-1], of[-1] = model.texts, END
+        ends = np.flatnonzero(ids < 0) + 1
+        first = np.concatenate(([0], ends[:-1]))
+        columns = (
+            doc_id,
+            pa.array([held_out.as_py()] * len(ends)),
+            ends - first,
+            np.add.reduceat((n > 0).astype(np.int64)[ids], first),
+            np.add.reduceat(model.base(n)[ids], first),
+            np.add.reduceat(model.emission(n, of)[ids], first),
+            _packed(of[ids], ends),
         )
-        for column, value in zip(out, values):
-            column.append(value)
-    columns = [texts.column("doc_id").combine_chunks(), texts.column("held_out").combine_chunks()]
-    columns += [pa.array(c, f.type) for c, f in zip(out, list(_SCORED)[2:])]
-    return pa.Table.from_arrays(columns, schema=_SCORED)
+        out.append(_batch([(f.name, f.type) for f in _SCORED], **dict(zip(_SCORED.names, columns))))
+    return pa.Table.from_batches(out, _SCORED)
 
 
-def _sequence(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    after = np.frombuffer(raw, np.uint8).astype(np.int64)
-    return np.concatenate(([END], after[:-1])), after
+def _sequences(classes: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Class bigrams, as before * ALL + after, of some texts one after the other; where each begins."""
+    after, first = _unpacked(classes, np.uint8)
+    # a text ends with END, which stands before the next one's first word
+    before = np.concatenate((np.array([END], np.uint8), after[:-1]))
+    return before[: len(after)].astype(np.uint16) * ALL + after, first
 
 
 def _transitions(scored: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ALL * ALL, np.int64)
         for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                before, after = _sequence(raw)
-                total += np.bincount(before * ALL + after, minlength=ALL * ALL)
+            total += np.bincount(_sequences(batch.column(0))[0], minlength=ALL * ALL)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
 
@@ -839,7 +891,7 @@ def class_scores(
 
     scored = (
         coded.where("ids is not null")
-        .select("block", "doc_id", "held_out", "ids")
+        .select("block", "held_out", "ids", "docs")
         .groupBy("block")
         .cogroup(classes.select("block", "words").groupBy("block"))
         .applyInArrow(
@@ -849,12 +901,15 @@ def class_scores(
         )
     )
     scored = staged(scored, "class-sequences")
+    discard(coded)
+    discard(classes)
     model = model.with_transitions(_transitions(scored))
-    log_p = model.transitions
+    log_p = model.transitions.ravel()
 
     @F.arrow_udf("double")
     def walked(classes: pa.Array) -> pa.Array:
-        return pa.array([float(log_p[_sequence(raw)].sum()) for raw in classes.to_pylist()], pa.float64())
+        pairs, first = _sequences(classes)
+        return pa.array(np.add.reduceat(log_p[pairs], first[:-1]) if len(pairs) else [], pa.float64())
 
     return scored.select(
         "doc_id",

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +169,41 @@ def test_turns_are_those_of_spark(spark):
         got = rows.select("w", turn.alias("t")).toArrow()
         assert (brown._turn(got["w"].to_numpy(), number) == got["t"].to_numpy()).all()
     assert brown._turn(got["w"].to_numpy(), 0).all()
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_pass_shuffles_no_texts(spark):
+    rows = [(i, i % 3 == 0, f"a b{i} c a") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, held_out boolean, text string").repartition(3)
+    coded = brown._coded(frame)
+    texts = coded.where("ids is not null and not held_out").select("block", "ids")
+    assert "Exchange" not in plan(texts.groupBy("block").count())
+    words = spark.createDataFrame([(0, b"")], "block long, words binary")
+    both = texts.groupBy("block").cogroup(words.groupBy("block"))
+    made = both.applyInArrow(lambda t, w: t.select(["block"]), "block long")
+    assert plan(made).count("Exchange hashpartitioning") == 1
+    # a row for all training texts of a block and one for those held out
+    blocks = coded.select("block").distinct().count()
+    assert coded.where("ids is not null").count() <= 2 * blocks
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+
+
+def test_gains_of_runs_are_those_of_their_rows():
+    draw = np.random.default_rng(5)
+    sides, pairs = brown._gains(draw.integers(0, 50, (brown.ALL, brown.ALL)).astype(float))
+    contexts, counts, expected = [], [], []
+    for n in (1, brown.SELDOM, brown.SELDOM + 1, 40, 2, 300):
+        code = draw.integers(0, brown.ALL**2, n)
+        met = [np.bincount(x, minlength=brown.ALL) for x in np.divmod(code, brown.ALL)]
+        dense = n in (2, 300)
+        contexts.append(None if dense else code.astype(np.uint16).tobytes())
+        counts.append(np.concatenate(met).astype(np.int32).tobytes() if dense else None)
+        expected.append(pairs[code].sum(axis=0, dtype=np.int64))
+    columns = pa.array(contexts, pa.binary()), pa.array(counts, pa.binary())
+    assert (brown._summed(sides, pairs, *columns) == expected).all()
+    for begin in ([0], [0, 1, 4], [0, 3, 5]):
+        runs = np.add.reduceat(expected, begin, axis=0)
+        assert (brown._summed(sides, pairs, *columns, np.array(begin)) == runs).all()

@@ -83,3 +83,17 @@ def test_mean_of_shards_is_weighted(spark):
 
     parts = spark.range(3).groupBy("id").applyInArrow(part, common.PARTS_SCHEMA)
     assert np.allclose(common.averaged(parts), np.arange(wide) + (0 + 8 + 24) / 6)
+
+
+def test_more_buckets_than_spark_allows(spark):
+    key = "spark.sql.sources.bucketing.maxBuckets"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 2)
+    try:
+        made = common.staged_buckets(spark.range(20).selectExpr("id", "id % 5 AS k"), "k", 7, "buckets")
+    finally:
+        spark.conf.set(key, before)
+    counted = made.groupBy("k").count()
+    assert "Exchange" not in counted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in counted.collect()) == [(k, 4) for k in range(5)]
+    common.discard(made)
